@@ -1,0 +1,106 @@
+"""Driver-side file operations through the Hadoop FileSystem the session uses.
+
+Only small metadata passes through here (directory names, manifest JSON); row data
+is always read and written by Spark jobs. Going through Hadoop's FileSystem keeps
+the same code valid for local paths, HDFS and object stores.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import SparkSession
+
+
+@dataclass(frozen=True)
+class Entry:
+    path: str
+    name: str
+    is_dir: bool
+    size: int
+    mtime_ms: int
+
+
+class Storage:
+    def __init__(self, spark: SparkSession):
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _path(self, path: str):
+        return self._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self, path: str):
+        return self._path(path).getFileSystem(self._conf)
+
+    def qualify(self, path: str) -> str:
+        p = self._path(path)
+        return p.getFileSystem(self._conf).makeQualified(p).toString()
+
+    def exists(self, path: str) -> bool:
+        return bool(self._fs(path).exists(self._path(path)))
+
+    def mkdirs(self, path: str) -> None:
+        self._fs(path).mkdirs(self._path(path))
+
+    def ls(self, path: str) -> list[Entry]:
+        fs = self._fs(path)
+        p = self._path(path)
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            sp = st.getPath()
+            out.append(
+                Entry(
+                    path=sp.toString(),
+                    name=sp.getName(),
+                    is_dir=bool(st.isDirectory()),
+                    size=int(st.getLen()),
+                    mtime_ms=int(st.getModificationTime()),
+                )
+            )
+        return out
+
+    def data_files(self, path: str) -> list[Entry]:
+        """Parquet files directly or recursively under ``path`` (no hidden files)."""
+        out = []
+        for e in self.ls(path):
+            if e.name.startswith(("_", ".")):
+                continue
+            if e.is_dir:
+                out.extend(self.data_files(e.path))
+            elif e.name.endswith(".parquet"):
+                out.append(e)
+        return out
+
+    def delete(self, path: str, recursive: bool = True) -> bool:
+        return bool(self._fs(path).delete(self._path(path), recursive))
+
+    def write_text(self, path: str, text: str, *, overwrite: bool = False) -> None:
+        fs = self._fs(path)
+        out = fs.create(self._path(path), overwrite)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def read_text(self, path: str) -> str:
+        fs = self._fs(path)
+        stream = fs.open(self._path(path))
+        try:
+            data = self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+        finally:
+            stream.close()
+        return bytes(data).decode("utf-8")
+
+    def rename(self, src: str, dst: str) -> bool:
+        return bool(self._fs(src).rename(self._path(src), self._path(dst)))
+
+    def publish(self, tmp: str, final: str) -> None:
+        """Move a fully written temp file into place; refuse to replace a file."""
+        if self.exists(final):
+            self.delete(tmp, recursive=False)
+            raise FileExistsError(final)
+        if not self.rename(tmp, final):
+            self.delete(tmp, recursive=False)
+            raise FileExistsError(final)
