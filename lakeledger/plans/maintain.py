@@ -1,0 +1,177 @@
+"""Table maintenance: compact small files, expire unreferenced directories.
+
+Both are safe to repeat: compacting a compact table is a no-op, and expiry only
+removes directories no live snapshot reads.
+"""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from collections.abc import Iterable
+from datetime import UTC, datetime, timedelta
+
+from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+
+from lakeledger.schemas import DEFAULT_RETAIN_HOURS
+from lakeledger.sources import tables as tb
+from lakeledger.sources.storage import Storage
+
+
+def _partition_key(rel: str) -> str:
+    """Partition part of a live dir: 'ingest_date=2024-01-01' ('' if unpartitioned)."""
+    parts = rel.split("/")
+    return "/".join(parts[2:])
+
+
+def compact(spark: SparkSession, path: str) -> dict:
+    """Rewrite every partition held in more than one file into as few files as its
+    size needs (M1). Same rows; the ``txn`` map is carried over, so versions already
+    applied stay skipped. Reports file counts before and after.
+
+    The rewrite is ``REBALANCE`` on the partition columns: AQE coalesces small
+    partitions into one task and splits a hot partition over several, so a skewed
+    date never lands in one writer.
+    """
+    store = Storage(spark)
+    m = tb.require_manifest(spark, path)
+    files_by_dir = {rel: store.data_files(f"{path.rstrip('/')}/{rel}") for rel in m.live}
+    before = sum(len(v) for v in files_by_dir.values())
+    groups: dict[str, list[str]] = defaultdict(list)
+    for rel in m.live:
+        groups[_partition_key(rel)].append(rel)
+    targets = [
+        rel
+        for key, rels in groups.items()
+        if sum(len(files_by_dir[r]) for r in rels) > 1
+        for rel in rels
+    ]
+    if not targets:
+        return {"path": path, "files_before": before, "files_after": before}
+
+    schema = T.StructType(m.struct.fields + [T.StructField(tb.COMMIT_COLUMN, T.StringType())])
+    rows = (
+        spark.read.schema(schema)
+        .option("basePath", f"{path.rstrip('/')}/{tb.DATA}")
+        .parquet(*[f"{path.rstrip('/')}/{r}" for r in targets])
+        .drop(tb.COMMIT_COLUMN)
+    )
+    pb = list(m.partition_by)
+    rows = rows.hint("rebalance", *pb) if pb else rows.hint("rebalance")
+    commit_id = f"c{m.n + 1:012d}"
+    rel = tb._write_commit(rows, path, commit_id, pb)
+    new = tb._new_dirs(spark, path, rel, len(pb))
+    kept = [d for d in m.live if d not in set(targets)]
+    tb.commit_manifest(
+        spark, path, m, operation="compact", live=kept + new,
+        tombstones=m.tombstones + tb._tombstones(targets),
+    )
+    after = len(tb.input_files(spark, path))
+    return {"path": path, "files_before": before, "files_after": after}
+
+
+def expire(
+    spark: SparkSession,
+    path: str,
+    *,
+    retain_hours: float = DEFAULT_RETAIN_HOURS,
+    allow_short_retention: bool = False,
+    now: datetime | None = None,
+) -> dict:
+    """Delete directories no live snapshot reads and that left it before the cutoff
+    (M2). Also sweeps commit directories in no snapshot at all (crashed writes)
+    once their files are older than the cutoff, and old manifests but the newest.
+    A window under the default needs ``allow_short_retention``; no session state
+    is changed to allow it.
+    """
+    if retain_hours < DEFAULT_RETAIN_HOURS and not allow_short_retention:
+        raise ValueError(
+            f"retain_hours={retain_hours} is under the {DEFAULT_RETAIN_HOURS} h default; "
+            "readers of an older snapshot could lose files. Pass allow_short_retention=True."
+        )
+    store = Storage(spark)
+    root = path.rstrip("/")
+    now = now or datetime.now(UTC)
+    cutoff = now - timedelta(hours=retain_hours)
+    m = tb.require_manifest(spark, path)
+    live = set(m.live)
+
+    expired, kept_tombs = [], []
+    for t in m.tombstones:
+        if datetime.fromisoformat(t["removed_at"]) <= cutoff and t["dir"] not in live:
+            expired.append(t["dir"])
+        else:
+            kept_tombs.append(t)
+    for rel in expired:
+        store.delete(f"{root}/{rel}")
+
+    # Commit directories nothing references: crashed writes, or husks whose
+    # partition dirs were all expired.
+    referenced = {"/".join(r.split("/")[:2]) for r in live} | {
+        "/".join(t["dir"].split("/")[:2]) for t in kept_tombs
+    }
+    swept = []
+    cutoff_ms = int(cutoff.timestamp() * 1000)
+    for e in store.ls(f"{root}/{tb.DATA}"):
+        rel = f"{tb.DATA}/{e.name}"
+        if not e.is_dir or rel in referenced:
+            continue
+        files = store.data_files(e.path)
+        newest = max([f.mtime_ms for f in files], default=e.mtime_ms)
+        if newest <= cutoff_ms:
+            store.delete(e.path)
+            swept.append(rel)
+
+    if expired:
+        m = tb.commit_manifest(spark, path, m, operation="expire", tombstones=kept_tombs)
+    for n in tb.manifest_history(spark, path)[:-1]:
+        mpath = f"{root}/{tb.MANIFESTS}/{n:020d}.json"
+        st = [e for e in store.ls(f"{root}/{tb.MANIFESTS}") if e.name == f"{n:020d}.json"]
+        if st and st[0].mtime_ms <= cutoff_ms:
+            store.delete(mpath, recursive=False)
+    return {
+        "path": path,
+        "retained_hours": retain_hours,
+        "dirs_deleted": len(expired) + len(swept),
+    }
+
+
+MAINTAINED = ("bronze", "bronze_dlq", "silver", "quarantine", "gold", "dq_results")
+
+
+def maintain_tables(
+    spark: SparkSession,
+    layout,
+    command: str,
+    *,
+    tables: str | Iterable[str] = "bronze,silver,gold",
+    retain_hours: float = DEFAULT_RETAIN_HOURS,
+    allow_short_retention: bool = False,
+) -> list[dict]:
+    """Run ``optimize`` (compact) or ``vacuum`` (expire) over named tables (M3).
+
+    ``tables`` is a comma list or ``all``. Unknown or missing tables are reported and
+    skipped; one bad table does not fail the run.
+    """
+    if command not in ("optimize", "vacuum"):
+        raise ValueError(f"unknown command {command}")
+    names = list(MAINTAINED) if tables == "all" else (
+        tables.split(",") if isinstance(tables, str) else list(tables)
+    )
+    reports = []
+    for raw in names:
+        name = raw.strip()
+        target = layout.path_of(name) if name in MAINTAINED else None
+        if target is None:
+            reports.append({"table": name, "skipped": "unknown table"})
+            continue
+        try:
+            if command == "optimize":
+                rep = compact(spark, target)
+            else:
+                rep = expire(spark, target, retain_hours=retain_hours,
+                             allow_short_retention=allow_short_retention)
+            reports.append({"table": name, **rep})
+        except Exception as exc:  # one missing table must not fail the run
+            reports.append({"table": name, "skipped": f"{type(exc).__name__}: {exc}"})
+    return reports
