@@ -57,7 +57,8 @@ def compact(spark: SparkSession, path: str) -> dict:
         .drop(tb.COMMIT_COLUMN)
     )
     pb = list(m.partition_by)
-    rows = rows.hint("rebalance", *pb) if pb else rows.hint("rebalance")
+    if not pb:  # partitioned writes are rebalanced on their columns by the writer
+        rows = rows.hint("rebalance")
     commit_id = f"c{m.n + 1:012d}"
     rel = tb._write_commit(rows, path, commit_id, pb)
     new = tb._new_dirs(spark, path, rel, len(pb))

@@ -256,7 +256,12 @@ def _new_dirs(spark: SparkSession, path: str, commit_rel: str, depth: int) -> li
 
 
 def _write_commit(df: DataFrame, path: str, commit_id: str, partition_by: Sequence[str]) -> str:
+    """Write one commit directory. A partitioned write is rebalanced on its partition
+    columns first: AQE packs small partitions together and splits a hot one, so each
+    partition value lands in a few well-sized files instead of one file per task."""
     rel = f"{DATA}/{COMMIT_COLUMN}={commit_id}"
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
