@@ -1,0 +1,107 @@
+"""Compaction and expiry: same rows, fewer files, nothing live ever deleted."""
+
+from __future__ import annotations
+
+import os
+from datetime import UTC, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeledger.plans.maintain import compact, expire, maintain_tables
+from lakeledger.plans.medallion import Layout
+from lakeledger.sources import tables as tb
+
+
+def _many_small(spark, path, batches=4):
+    for v in range(batches):
+        df = spark.range(v * 100, (v + 1) * 100, numPartitions=4).withColumn(
+            "d", (F.col("id") % 2).cast("string"))
+        tb.append_once(df, path, app_id="s", version=v, partition_by=("d",))
+
+
+def test_compact_keeps_rows_and_cuts_files(spark, warehouse):
+    path = f"{warehouse}/t"
+    _many_small(spark, path)
+    before_rows = sorted(tb.read_table(spark, path).collect())
+    rep = compact(spark, path)
+    assert rep["files_before"] > rep["files_after"]
+    assert rep["files_after"] == 2
+    assert sorted(tb.read_table(spark, path).collect()) == before_rows
+
+
+def test_compact_is_a_noop_when_compact(spark, warehouse):
+    path = f"{warehouse}/t"
+    _many_small(spark, path)
+    compact(spark, path)
+    n = tb.latest_manifest(spark, path).n
+    rep = compact(spark, path)
+    assert rep["files_before"] == rep["files_after"]
+    assert tb.latest_manifest(spark, path).n == n, "no new snapshot for a no-op"
+
+
+def test_compact_keeps_applied_versions_skipped(spark, warehouse):
+    path = f"{warehouse}/t"
+    _many_small(spark, path)
+    compact(spark, path)
+    assert tb.append_once(spark.range(5).withColumn("d", F.lit("0")), path,
+                          app_id="s", version=2) is False
+    assert tb.read_table(spark, path).count() == 400
+
+
+def test_compact_unpartitioned(spark, warehouse):
+    path = f"{warehouse}/t"
+    for v in range(3):
+        tb.append_once(spark.range(50, numPartitions=3), path, app_id="u", version=v)
+    rep = compact(spark, path)
+    assert rep["files_after"] < rep["files_before"]
+    assert tb.read_table(spark, path).count() == 150
+
+
+def test_expire_refuses_short_retention_by_default(spark, warehouse):
+    path = f"{warehouse}/t"
+    _many_small(spark, path)
+    with pytest.raises(ValueError):
+        expire(spark, path, retain_hours=1)
+
+
+def test_expire_deletes_only_dropped_dirs_after_cutoff(spark, warehouse):
+    path = f"{warehouse}/t"
+    _many_small(spark, path)
+    compact(spark, path)
+    m = tb.latest_manifest(spark, path)
+    dropped = [t["dir"] for t in m.tombstones]
+    assert dropped and all(os.path.isdir(f"{path}/{d}") for d in dropped)
+    rep = expire(spark, path)  # default 168 h: everything is too recent
+    assert rep["dirs_deleted"] == 0
+    assert all(os.path.isdir(f"{path}/{d}") for d in dropped)
+    later = datetime.now(UTC) + timedelta(hours=200)
+    rep = expire(spark, path, now=later)
+    assert rep["dirs_deleted"] >= len(dropped)
+    assert not any(os.path.isdir(f"{path}/{d}") for d in dropped)
+    assert all(os.path.isdir(f"{path}/{d}") for d in tb.latest_manifest(spark, path).live)
+    assert tb.read_table(spark, path).count() == 400
+    assert tb.latest_manifest(spark, path).tombstones == []
+
+
+def test_expire_sweeps_crashed_writes(spark, warehouse):
+    path = f"{warehouse}/t"
+    tb.append_once(spark.range(10), path, app_id="s", version=0)
+    tb._write_commit(spark.range(3), path, "t-s-v1", [])  # crashed before its manifest
+    orphan = f"{path}/data/commit=t-s-v1"
+    assert os.path.isdir(orphan)
+    expire(spark, path, retain_hours=0, allow_short_retention=True,
+           now=datetime.now(UTC) + timedelta(seconds=5))
+    assert not os.path.isdir(orphan)
+    assert tb.read_table(spark, path).count() == 10
+
+
+def test_maintain_tables_skips_unknown_and_missing(spark, warehouse):
+    layout = Layout(warehouse)
+    _many_small(spark, layout.bronze)
+    reps = maintain_tables(spark, layout, "optimize", tables="bronze,silver,nope")
+    by = {r["table"]: r for r in reps}
+    assert by["bronze"]["files_after"] == 2
+    assert "skipped" in by["silver"] and "skipped" in by["nope"]
+    reps = maintain_tables(spark, layout, "vacuum", tables="all")
+    assert len(reps) == 6
