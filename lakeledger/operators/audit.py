@@ -73,9 +73,11 @@ def offset_gaps(landed: DataFrame, *, range_size: int = OFFSET_RANGE) -> DataFra
     ``range_size``: gaps inside a range come from a ``lag`` window partitioned by
     (topic, partition, range), whose groups hold at most ``range_size`` rows; gaps
     between ranges come from the same window over the tiny per-range (min, max)
-    summary. Repeated offsets are collapsed first (see ``offset_reconcile``).
+    summary. Repeated offsets need no distinct pass: a repeat lags onto itself (a
+    difference of 0), so it never reads as a gap; ``offset_reconcile`` counts them.
+    The window and the range summary share one shuffle on (topic, partition, range).
     """
-    pos = landed.select(*LOG_POSITION).distinct().withColumn(
+    pos = landed.select(*LOG_POSITION).withColumn(
         "_range", F.floor(F.col("kafka_offset") / F.lit(range_size))
     )
     inner_w = Window.partitionBy("kafka_topic", "kafka_partition", "_range").orderBy("kafka_offset")

@@ -67,6 +67,7 @@ class Manifest:
     live: list[str]
     txn: dict[str, int] = field(default_factory=dict)
     tombstones: list[dict] = field(default_factory=list)
+    settings: dict = field(default_factory=dict)
 
     @property
     def struct(self) -> T.StructType:
@@ -143,6 +144,7 @@ def _next(prev: Manifest | None, **changes) -> Manifest:
         live=list(prev.live) if prev else [],
         txn=dict(prev.txn) if prev else {},
         tombstones=list(prev.tombstones) if prev else [],
+        settings=dict(prev.settings) if prev else {},
     )
     base.update(changes)
     return Manifest(**base)
@@ -178,6 +180,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*schema.fieldNames())
 
 
+def table_settings(spark: SparkSession, path: str) -> dict:
+    m = latest_manifest(spark, path)
+    return {} if m is None else dict(m.settings)
+
+
+def record_settings(spark: SparkSession, path: str, **values) -> None:
+    """Store writer settings in the ledger (new snapshot only when they change)."""
+    m = require_manifest(spark, path)
+    merged = {**m.settings, **values}
+    if merged != m.settings:
+        commit_manifest(spark, path, m, operation="settings", settings=merged)
+
+
 def table_schema(spark: SparkSession, path: str) -> T.StructType:
     return require_manifest(spark, path).struct
 

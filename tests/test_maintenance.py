@@ -49,6 +49,13 @@ def test_compact_keeps_applied_versions_skipped(spark, warehouse):
     assert tb.read_table(spark, path).count() == 400
 
 
+def test_compact_skips_partitions_already_at_target_size(spark, warehouse):
+    path = f"{warehouse}/t"
+    _many_small(spark, path)
+    rep = compact(spark, path, target_file_bytes=1)  # every file is "big enough"
+    assert rep["files_before"] == rep["files_after"]
+
+
 def test_compact_unpartitioned(spark, warehouse):
     path = f"{warehouse}/t"
     for v in range(3):

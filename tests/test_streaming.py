@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeledger.operators.audit import landed_positions, offset_missing
-from lakeledger.plans.medallion import Layout, ingest
+from lakeledger.plans.medallion import BatchingChanged, Layout, ingest
 from lakeledger.sources import tables as tb
 from lakeledger.sources.fixtures import arrival_clock, payments_log
 from lakeledger.sources.log import read_log, read_log_stream, write_log
@@ -116,3 +116,17 @@ def test_log_files_are_range_clustered(spark, log_dir):
     )
     assert len(per_file) == FILES
     assert sum(r.n for r in per_file) == 1050
+
+
+def test_a_changed_batch_size_on_an_empty_checkpoint_is_refused(spark, log_dir, tmp_path):
+    layout = Layout(str(tmp_path / "wh"))
+    with pytest.raises(Exception, match="SimulatedCrash"):
+        ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock(),
+               on_written=_crash_at(1, "dlq"))
+    with pytest.raises(BatchingChanged):
+        ingest(spark, layout, log_dir, max_per_trigger=3, clock=arrival_clock(),
+               checkpoint_path=str(tmp_path / "cleared"))
+    # Same cap on an empty checkpoint re-draws the same boundaries: nothing is lost.
+    ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock(),
+           checkpoint_path=str(tmp_path / "cleared"))
+    assert tb.read_table(spark, layout.bronze).count() == 1040
