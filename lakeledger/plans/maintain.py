@@ -39,15 +39,17 @@ def compact(spark: SparkSession, path: str, *, target_file_bytes: int = TARGET_F
     """
     store = Storage(spark)
     m = tb.require_manifest(spark, path)
-    files_by_dir = {rel: store.data_files(f"{path.rstrip('/')}/{rel}") for rel in m.live}
-    before = sum(len(v) for v in files_by_dir.values())
+    # (files, bytes) per live dir: one summary call per directory, not per file.
+    size_of = {rel: store.summary(f"{path.rstrip('/')}/{rel}") for rel in m.live}
+    before = sum(n for n, _ in size_of.values())
     groups: dict[str, list[str]] = defaultdict(list)
     for rel in m.live:
         groups[_partition_key(rel)].append(rel)
+
     def needs_rewrite(rels: list[str]) -> bool:
-        files = [f for r in rels for f in files_by_dir[r]]
-        needed = max(1, -(-sum(f.size for f in files) // target_file_bytes))
-        return len(files) > needed
+        files = sum(size_of[r][0] for r in rels)
+        needed = max(1, -(-sum(size_of[r][1] for r in rels) // target_file_bytes))
+        return files > needed
 
     targets = [rel for rels in groups.values() if needs_rewrite(rels) for rel in rels]
     if not targets:
@@ -71,8 +73,7 @@ def compact(spark: SparkSession, path: str, *, target_file_bytes: int = TARGET_F
         spark, path, m, operation="compact", live=kept + new,
         tombstones=m.tombstones + tb._tombstones(targets),
     )
-    after = len(tb.input_files(spark, path))
-    return {"path": path, "files_before": before, "files_after": after}
+    return {"path": path, "files_before": before, "files_after": tb.file_count(spark, path)}
 
 
 def expire(
@@ -121,19 +122,20 @@ def expire(
         rel = f"{tb.DATA}/{e.name}"
         if not e.is_dir or rel in referenced:
             continue
-        files = store.data_files(e.path)
-        newest = max([f.mtime_ms for f in files], default=e.mtime_ms)
-        if newest <= cutoff_ms:
+        # Age of a commit dir: its own mtime and its direct children's (partition
+        # dirs or files), which change whenever a writer adds to it.
+        newest = max([c.mtime_ms for c in store.ls(e.path)], default=e.mtime_ms)
+        if max(newest, e.mtime_ms) <= cutoff_ms:
             store.delete(e.path)
             swept.append(rel)
 
     if expired:
         m = tb.commit_manifest(spark, path, m, operation="expire", tombstones=kept_tombs)
+    manifests = {e.name: e for e in store.ls(f"{root}/{tb.MANIFESTS}")}
     for n in tb.manifest_history(spark, path)[:-1]:
-        mpath = f"{root}/{tb.MANIFESTS}/{n:020d}.json"
-        st = [e for e in store.ls(f"{root}/{tb.MANIFESTS}") if e.name == f"{n:020d}.json"]
-        if st and st[0].mtime_ms <= cutoff_ms:
-            store.delete(mpath, recursive=False)
+        entry = manifests.get(f"{n:020d}.json")
+        if entry is not None and entry.mtime_ms <= cutoff_ms:
+            store.delete(entry.path, recursive=False)
     return {
         "path": path,
         "retained_hours": retain_hours,

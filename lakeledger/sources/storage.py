@@ -73,6 +73,25 @@ class Storage:
                 out.append(e)
         return out
 
+    def summary(self, path: str) -> tuple[int, int]:
+        """(data files, bytes) under ``path`` in one call per directory; the file
+        system walks the tree (checksum files are hidden by Hadoop, the empty
+        ``_SUCCESS`` marker is taken off)."""
+        fs = self._fs(path)
+        p = self._path(path)
+        if not fs.exists(p):
+            return 0, 0
+        cs = fs.getContentSummary(p)
+        files = int(cs.getFileCount())
+        if fs.exists(self._path(f"{path.rstrip('/')}/_SUCCESS")):
+            files -= 1
+        return files, int(cs.getLength())
+
+    def has_data_file(self, path: str) -> bool:
+        """Whether a directory holds at least one Parquet file (one glob call)."""
+        found = self._fs(path).globStatus(self._path(f"{path.rstrip('/')}/*.parquet"))
+        return found is not None and len(found) > 0
+
     def delete(self, path: str, recursive: bool = True) -> bool:
         return bool(self._fs(path).delete(self._path(path), recursive))
 

@@ -203,10 +203,18 @@ def committed_version(spark: SparkSession, path: str, app_id: str) -> int:
 
 
 def input_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files the latest snapshot reads (driver listing of live dirs only)."""
+    """Data files the latest snapshot reads (Spark's own file index lists them)."""
+    m = require_manifest(spark, path)
+    if not m.live:
+        return []
+    return list(read_table(spark, path).inputFiles())
+
+
+def file_count(spark: SparkSession, path: str) -> int:
+    """Number of data files in the latest snapshot: one summary call per live dir."""
     m = require_manifest(spark, path)
     store = Storage(spark)
-    return [e.path for p in live_paths(path, m) for e in store.data_files(p)]
+    return sum(store.summary(p)[0] for p in live_paths(path, m))
 
 
 def partition_value(rel_dir: str, column: str) -> str | None:
@@ -266,7 +274,7 @@ def _new_dirs(spark: SparkSession, path: str, commit_rel: str, depth: int) -> li
                     nxt.append(f"{rel}/{e.name}")
         level = nxt
     if depth == 0:
-        return [commit_rel] if store.data_files(f"{root}/{commit_rel}") else []
+        return [commit_rel] if store.has_data_file(f"{root}/{commit_rel}") else []
     return sorted(level)
 
 
