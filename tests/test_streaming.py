@@ -130,3 +130,10 @@ def test_a_changed_batch_size_on_an_empty_checkpoint_is_refused(spark, log_dir,
     ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock(),
            checkpoint_path=str(tmp_path / "cleared"))
     assert tb.read_table(spark, layout.bronze).count() == 1040
+
+
+def test_timed_ingest_runs_then_stops(spark, log_dir, tmp_path):
+    layout = Layout(str(tmp_path / "wh"))
+    ingest(spark, layout, log_dir, max_per_trigger=2, clock=arrival_clock(), run_seconds=20)
+    assert not any(q.isActive for q in spark.streams.active)
+    assert tb.read_table(spark, layout.bronze).count() == 1040
