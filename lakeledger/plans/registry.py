@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, date, datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from lakeledger.functions.rules import WIRE_RULES, reason_list
 from lakeledger.functions.wire import to_wire
 from lakeledger.operators import audit
-from lakeledger.operators.bronze import split_parseable, to_bronze
+from lakeledger.operators.bronze import split_parseable, split_tagged, tag_parseable, to_bronze
 from lakeledger.operators.generate import CLI_DEFECTS, generate_log
 from lakeledger.operators.gold import affected_dates, daily_account_totals, rebuild
 from lakeledger.operators.quality import breach_frame, dq_results, dq_results_by, dq_trend
@@ -207,8 +208,16 @@ def _gold_path(spark, name):
     return scratch_path(spark, name) + "/gold"
 
 
-def q_gold_rebuild_twice(spark, sf_dir):
+def _silver_table(spark, sf_dir, name) -> DataFrame:
+    """Silver as the pipeline holds it: written once, rebuilds read the table."""
     silver, _ = _silver(spark, sf_dir)
+    path = scratch_path(spark, name) + "/silver"
+    tb.replace_all(silver, path)
+    return tb.read_table(spark, path)
+
+
+def q_gold_rebuild_twice(spark, sf_dir):
+    silver = _silver_table(spark, sf_dir, "gold_rebuild_twice")
     path = _gold_path(spark, "gold_rebuild_twice")
     rebuild(silver, path)
     rebuild(silver, path)
@@ -216,7 +225,7 @@ def q_gold_rebuild_twice(spark, sf_dir):
 
 
 def q_gold_late_restate(spark, sf_dir):
-    silver, _ = _silver(spark, sf_dir)
+    silver = _silver_table(spark, sf_dir, "gold_late_restate")
     path = _gold_path(spark, "gold_late_restate")
     rebuild(silver.where(~F.col("is_late")), path)
     late_dates = affected_dates(silver.where(F.col("is_late")))
@@ -225,7 +234,7 @@ def q_gold_late_restate(spark, sf_dir):
 
 
 def q_gold_vanished_date(spark, sf_dir):
-    silver, _ = _silver(spark, sf_dir)
+    silver = _silver_table(spark, sf_dir, "gold_vanished_date")
     path = _gold_path(spark, "gold_vanished_date")
     dates = rebuild(silver, path)
     corrected = silver.where(F.to_date("event_time") != F.lit(dates[0]))
@@ -354,15 +363,21 @@ def q_stream_dedup_watermark(spark, sf_dir):
 
 
 def _bronze_in_table(spark, sf_dir, name) -> Layout:
-    good, dead = _good_dead(spark, sf_dir)
-    b0, b1 = _batches(good)
-    d0, d1 = _batches(dead)
-    layout = Layout(scratch_path(spark, name) + "/warehouse")
-    for version, (g, d) in enumerate([(b0, d0), (b1, d1)]):
-        tb.append_once(g, layout.bronze, app_id="bronze", version=version,
-                       partition_by=(BRONZE_PARTITION,))
-        tb.append_once(d, layout.bronze_dlq, app_id="bronze.dlq", version=version,
-                       partition_by=(BRONZE_PARTITION,))
+    """Bronze and DLQ tables as two micro-batches would leave them. The log is
+    parsed once; the tagged rows are persisted for the four appends."""
+    tagged = tag_parseable(_bronze(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, dead = split_tagged(tagged)
+        b0, b1 = _batches(good)
+        d0, d1 = _batches(dead)
+        layout = Layout(scratch_path(spark, name) + "/warehouse")
+        for version, (g, d) in enumerate([(b0, d0), (b1, d1)]):
+            tb.append_once(g, layout.bronze, app_id="bronze", version=version,
+                           partition_by=(BRONZE_PARTITION,))
+            tb.append_once(d, layout.bronze_dlq, app_id="bronze.dlq", version=version,
+                           partition_by=(BRONZE_PARTITION,))
+    finally:
+        tagged.unpersist()
     return layout
 
 
