@@ -24,14 +24,22 @@ def _partition_key(rel: str) -> str:
     return "/".join(parts[2:])
 
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
-
-
-def compact(spark: SparkSession, path: str, *, target_file_bytes: int = TARGET_FILE_BYTES) -> dict:
-    """Rewrite every partition held in more files than its size needs (M1): a
-    partition of B bytes needs ceil(B / target) files. Same rows; the ``txn`` map is
-    carried over, so versions already applied stay skipped. Reports file counts
-    before and after; a table that is already compact is left untouched.
+def advisory_bytes(spark: SparkSession) -> int:
+    """The session's AQE advisory partition size: the size a rebalanced write aims at."""
+    raw = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    text = str(raw).strip().lower().rstrip("b") or "0"
+    if text[-1] in units:
+        return int(float(text[:-1]) * units[text[-1]])
+    return int(text)
+
+
+def compact(spark: SparkSession, path: str, *, target_file_bytes: int | None = None) -> dict:
+    """Rewrite partitions made of small files (M1): more than one file, averaging
+    under half the target size (default: the AQE advisory size the rewrite itself
+    aims at, so a compacted table is left alone the next time). Same rows; the
+    ``txn`` map is carried over, so versions already applied stay skipped. Reports
+    file counts before and after.
 
     The rewrite is ``REBALANCE`` on the partition columns: AQE coalesces small
     partitions into one task and splits a hot partition over several, so a skewed
@@ -46,10 +54,11 @@ def compact(spark: SparkSession, path: str, *, target_file_bytes: int = TARGET_F
     for rel in m.live:
         groups[_partition_key(rel)].append(rel)
 
+    target = target_file_bytes or advisory_bytes(spark)
+
     def needs_rewrite(rels: list[str]) -> bool:
         files = sum(size_of[r][0] for r in rels)
-        needed = max(1, -(-sum(size_of[r][1] for r in rels) // target_file_bytes))
-        return files > needed
+        return files > 1 and sum(size_of[r][1] for r in rels) / files < target / 2
 
     targets = [rel for rels in groups.values() if needs_rewrite(rels) for rel in rels]
     if not targets:

@@ -98,10 +98,10 @@ def write_log(
     The count comes from an Observation on the write itself, not a second job.
     """
     obs = Observation("log_write")
-    observed = log.observe(obs, F.count(F.lit(1)).alias("rows"))
+    count = F.count(F.lit(1)).alias("rows")
     if bootstrap_servers:
         (
-            observed.select("key", "value")
+            log.observe(obs, count).select("key", "value")
             .write.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers)
             .option("topic", topic)
@@ -111,9 +111,16 @@ def write_log(
         if path is None:
             raise ValueError("a file log needs a path")
         ranged = (
-            observed.repartitionByRange(files, "partition", "offset")
+            log.repartitionByRange(files, "partition", "offset")
             if files
-            else observed.repartitionByRange("partition", "offset")
+            else log.repartitionByRange("partition", "offset")
+        )
+        # Observed above the exchange: the range partitioner's sampling pass runs the
+        # plan below it and must not add to the count.
+        (
+            ranged.observe(obs, count)
+            .sortWithinPartitions("partition", "offset")
+            .write.mode("append")
+            .parquet(path)
         )
-        ranged.sortWithinPartitions("partition", "offset").write.mode("append").parquet(path)
     return int(obs.get["rows"])

@@ -27,7 +27,8 @@ def log_dir(spark, tmp_path_factory):
     from lakeledger.session import ensure_utc
 
     ensure_utc(spark)
-    write_log(payments_log(spark, SF_SMALL), path, files=FILES)
+    delivered = write_log(payments_log(spark, SF_SMALL), path, files=FILES)
+    assert delivered == 1050, "the delivered count must not include the sampling pass"
     return path
 
 
