@@ -32,10 +32,6 @@ class Storage:
     def _fs(self, path: str):
         return self._path(path).getFileSystem(self._conf)
 
-    def qualify(self, path: str) -> str:
-        p = self._path(path)
-        return p.getFileSystem(self._conf).makeQualified(p).toString()
-
     def exists(self, path: str) -> bool:
         return bool(self._fs(path).exists(self._path(path)))
 

@@ -74,6 +74,8 @@ def test_schema_enforced_unless_merged(spark, warehouse):
     tb.append(wider, path, merge_schema=True)
     rows = tb.read_table(spark, path)
     assert rows.columns == ["id", "extra"]
+    assert tb.table_schema(spark, path).fieldNames() == ["id", "extra"]
+    assert len(tb.input_files(spark, path)) == tb.file_count(spark, path) > 0
     assert rows.where("extra IS NULL").count() == 3
     with pytest.raises(tb.SchemaMismatch):
         tb.append(spark.range(3).select(F.col("id").cast("string")), path)
