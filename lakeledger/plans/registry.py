@@ -22,7 +22,12 @@ from lakeledger.functions.wire import to_wire
 from lakeledger.operators import audit
 from lakeledger.operators.bronze import split_parseable, split_tagged, tag_parseable, to_bronze
 from lakeledger.operators.generate import CLI_DEFECTS, generate_log
-from lakeledger.operators.gold import affected_dates, daily_account_totals, rebuild
+from lakeledger.operators.gold import (
+    affected_dates,
+    affected_dates_frame,
+    daily_account_totals,
+    rebuild,
+)
 from lakeledger.operators.quality import breach_frame, dq_results, dq_results_by, dq_trend
 from lakeledger.operators.silver import deduplicate, flag_lateness, to_silver
 from lakeledger.plans.maintain import compact, expire
@@ -200,8 +205,7 @@ def q_daily_account_totals(spark, sf_dir):
 
 def q_affected_dates(spark, sf_dir):
     silver, _ = _silver(spark, sf_dir)
-    dates = affected_dates(silver)
-    return spark.createDataFrame([(d,) for d in dates], "event_date date")
+    return affected_dates_frame(silver)
 
 
 def _gold_path(spark, name):
