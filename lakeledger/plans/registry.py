@@ -74,6 +74,7 @@ _PLANS: dict[tuple[int, str], tuple[SparkSession, dict]] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, key: str, build):
+    ensure_utc(spark)
     slot = _PLANS.get((id(spark), sf_dir))
     if slot is None or slot[0] is not spark:
         slot = (spark, {})
