@@ -8,6 +8,31 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def build_session(
+    app_name: str = "lakeledger",
+    *,
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+) -> SparkSession:
+    """A session with the settings the pipeline relies on: UTC session zone, AQE on,
+    no web UI. On a cluster leave ``master`` and ``shuffle_partitions`` unset (the
+    cluster's defaults, coalesced by AQE); locally pass a small partition count.
+    Returns the running session if there is one, with the zone pinned."""
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.ui.enabled", "false")
+    )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    spark = builder.getOrCreate()
+    ensure_utc(spark)
+    return spark
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Pin the session zone to UTC: every instant on the wire is UTC-aware, and a
     host zone would shift event dates and ingest dates."""
