@@ -8,6 +8,7 @@ size follows the arrival rate times the horizon, not the history of the log.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeledger.operators.bronze import split_parseable, to_bronze
@@ -30,9 +31,11 @@ def start_dedup_stream(
     """log stream -> bronze (good rows) -> watermark dedup -> Parquet file sink.
 
     The file sink commits each batch through its own metadata log, so a replayed
-    batch is not written twice.
+    batch is not written twice. Without an explicit clock the ingest stamp is
+    ``current_timestamp()``, which Structured Streaming fixes once per micro-batch.
     """
-    good, _ = split_parseable(to_bronze(raw, ingested_at=clock))
+    stamp = clock if clock is not None else F.current_timestamp()
+    good, _ = split_parseable(to_bronze(raw, ingested_at=stamp))
     return (
         dedup_within_watermark(good, delay=delay)
         .writeStream.format("parquet")

@@ -138,3 +138,16 @@ def test_timed_ingest_runs_then_stops(spark, log_dir, tmp_path):
     ingest(spark, layout, log_dir, max_per_trigger=2, clock=arrival_clock(), run_seconds=20)
     assert not any(q.isActive for q in spark.streams.active)
     assert tb.read_table(spark, layout.bronze).count() == 1040
+
+
+def test_watermark_dedup_stamps_each_batch(spark, log_dir, tmp_path):
+    q = start_dedup_stream(
+        read_log_stream(spark, log_dir, max_per_trigger=2),
+        out_path=str(tmp_path / "out"), checkpoint_path=str(tmp_path / "ckpt"),
+        delay="40 days",
+    )
+    drain(q)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 990
+    stamps = out.select("ingested_at").distinct().count()
+    assert 1 <= stamps <= 3, "one ingest stamp per micro-batch"
