@@ -102,16 +102,42 @@ def _manifest_dir(path: str) -> str:
 
 
 def manifest_history(spark: SparkSession, path: str) -> list[int]:
+    """Every manifest number on disk (a full listing: expiry and recovery only)."""
     names = [e.name for e in Storage(spark).ls(_manifest_dir(path)) if e.name.endswith(".json")]
-    return sorted(int(n[: -len(".json")]) for n in names if not n.startswith("."))
+    return sorted(int(n[: -len(".json")]) for n in names if not n.startswith((".", "_")))
+
+
+LAST = "_last"
+
+
+def _manifest_file(path: str, n: int) -> str:
+    return f"{_manifest_dir(path)}/{n:020d}.json"
+
+
+def _latest_number(spark: SparkSession, path: str) -> int | None:
+    """Newest manifest number: start from the ``_last`` hint (O(1) calls) and probe
+    forward, since a writer that died after publishing may not have moved the hint;
+    list the folder only when there is no usable hint."""
+    store = Storage(spark)
+    hint = None
+    try:
+        hint = int(store.read_text(f"{_manifest_dir(path)}/{LAST}").strip())
+    except Exception:  # no hint yet, or one caught mid-write
+        hint = None
+    if hint is None or not store.exists(_manifest_file(path, hint)):
+        history = manifest_history(spark, path)
+        return history[-1] if history else None
+    n = hint
+    while store.exists(_manifest_file(path, n + 1)):
+        n += 1
+    return n
 
 
 def latest_manifest(spark: SparkSession, path: str) -> Manifest | None:
-    history = manifest_history(spark, path)
-    if not history:
+    n = _latest_number(spark, path)
+    if n is None:
         return None
-    text = Storage(spark).read_text(f"{_manifest_dir(path)}/{history[-1]:020d}.json")
-    return Manifest(**json.loads(text))
+    return Manifest(**json.loads(Storage(spark).read_text(_manifest_file(path, n))))
 
 
 def require_manifest(spark: SparkSession, path: str) -> Manifest:
@@ -131,7 +157,9 @@ def _publish(spark: SparkSession, path: str, m: Manifest) -> None:
     store.mkdirs(mdir)
     tmp = f"{mdir}/.tmp-{uuid.uuid4().hex}"
     store.write_text(tmp, json.dumps(asdict(m), sort_keys=True))
-    store.publish(tmp, f"{mdir}/{m.n:020d}.json")
+    store.publish(tmp, _manifest_file(path, m.n))
+    # A hint only: readers verify it and probe forward, so a lost update is harmless.
+    store.write_text(f"{mdir}/{LAST}", str(m.n), overwrite=True)
 
 
 def _next(prev: Manifest | None, **changes) -> Manifest:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeledger.sources import tables as tb
+from lakeledger.sources.storage import Storage
 
 
 def _count(spark, path):
@@ -119,3 +120,19 @@ def test_app_ids_are_path_safe(spark, warehouse):
     assert _count(spark, path) == 2
     assert all("/" not in d.split("commit=")[1] for d in tb.latest_manifest(spark, path).live)
     assert os.path.isdir(f"{path}/_manifests")
+
+
+def test_latest_snapshot_survives_a_stale_or_broken_hint(spark, warehouse):
+    path = f"{warehouse}/t"
+    for v in range(3):
+        tb.append_once(spark.range(5), path, app_id="h", version=v)
+    assert tb.latest_manifest(spark, path).n == 2
+    hint = f"{path}/_manifests/_last"
+    store = Storage(spark)
+    store.write_text(hint, "0", overwrite=True)  # a writer died before moving the hint
+    assert tb._latest_number(spark, path) == 2, "probe forward from a stale hint"
+    store.write_text(hint, "", overwrite=True)  # caught mid-write
+    assert tb.latest_manifest(spark, path).n == 2
+    store.write_text(hint, "7", overwrite=True)  # points past the end
+    assert tb.latest_manifest(spark, path).n == 2
+    assert tb.read_table(spark, path).count() == 15
