@@ -107,26 +107,23 @@ def offset_gaps(landed: DataFrame, *, range_size: int = OFFSET_RANGE) -> DataFra
 
 
 def retry_report(bronze: DataFrame, *, fields=BUSINESS_FIELDS) -> DataFrame:
-    """Transaction ids delivered more than once, and whether the copies disagree
-    on any business field (X2). ``min(struct) <> max(struct)`` detects a conflict
-    exactly, with plain partial aggregation (no distinct expansion)."""
-    version = F.struct(*[F.col(f) for f in fields])
+    """Transaction ids delivered more than once, with the number of distinct
+    versions of their business fields (X2); ``conflicting`` = more than one version.
+
+    Two exact hash aggregations: (id, fields) first, which collapses identical
+    copies map-side (a hot id costs one row per task), then per id. Grouping keys
+    may be any type, so no sort-based aggregate is needed; null fields compare equal.
+    """
+    versions = bronze.groupBy("transaction_id", *fields).agg(F.count(F.lit(1)).alias("_n"))
     return (
-        bronze.groupBy("transaction_id")
+        versions.groupBy("transaction_id")
         .agg(
-            F.count(F.lit(1)).alias("copies"),
-            F.min(version).alias("_lo"),
-            F.max(version).alias("_hi"),
-            F.min(F.struct("kafka_partition", "kafka_offset")).alias("_first"),
+            F.sum("_n").cast("long").alias("copies"),
+            F.count(F.lit(1)).alias("versions"),
         )
         .where(F.col("copies") > 1)
-        .select(
-            "transaction_id",
-            "copies",
-            (F.col("_lo") != F.col("_hi")).alias("conflicting"),
-            F.col("_first.kafka_partition").alias("first_partition"),
-            F.col("_first.kafka_offset").alias("first_offset"),
-        )
+        .select("transaction_id", "copies", "versions",
+                (F.col("versions") > 1).alias("conflicting"))
     )
 
 

@@ -327,15 +327,12 @@ SELECT kafka_topic, kafka_partition,
     max(kafka_offset) AS max_offset
 FROM pc GROUP BY 1, 2""".replace("\n, pc", ", pc", 1)),
     "retry_conflicts": _q("""
-SELECT g.transaction_id, g.copies, g.conflicting,
-    f.kafka_partition AS first_partition, f.kafka_offset AS first_offset
-FROM (
+SELECT transaction_id, copies, versions, versions > 1 AS conflicting FROM (
     SELECT transaction_id, count(*) AS copies,
-        count(DISTINCT (account_id, counterparty_id, amount_minor, currency, status, event_time)) > 1
-            AS conflicting
-    FROM b GROUP BY transaction_id) g
-JOIN d f USING (transaction_id)
-WHERE g.copies > 1"""),
+        count(DISTINCT (account_id, counterparty_id, amount_minor, currency, status, event_time))
+            AS versions
+    FROM b GROUP BY transaction_id)
+WHERE copies > 1"""),
     "ingest_lag": _q("""
 SELECT ingest_date, kafka_partition, count(*) AS messages,
     min(lag) AS min_lag_seconds, max(lag) AS max_lag_seconds, avg(lag) AS avg_lag_seconds,

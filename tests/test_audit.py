@@ -74,7 +74,8 @@ def test_retry_report_flags_conflicting_copies(spark):
     assert rep["same"].conflicting is False
     assert rep["diff"].conflicting is True
     assert rep["nulls"].conflicting is True
-    assert (rep["diff"].first_partition, rep["diff"].first_offset) == (0, 3)
+    assert (rep["diff"].copies, rep["diff"].versions) == (2, 2)
+    assert (rep["same"].copies, rep["same"].versions) == (2, 1)
 
 
 def test_key_spread_and_ingest_lag(spark):
