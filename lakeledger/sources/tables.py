@@ -306,12 +306,22 @@ def _new_dirs(spark: SparkSession, path: str, commit_rel: str, depth: int) -> li
     return sorted(level)
 
 
-def _write_commit(df: DataFrame, path: str, commit_id: str, partition_by: Sequence[str]) -> str:
-    """Write one commit directory. A partitioned write is rebalanced on its partition
-    columns first: AQE packs small partitions together and splits a hot one, so each
-    partition value lands in a few well-sized files instead of one file per task."""
+def _write_commit(
+    df: DataFrame,
+    path: str,
+    commit_id: str,
+    partition_by: Sequence[str],
+    *,
+    rebalance: bool = True,
+) -> str:
+    """Write one commit directory. A partitioned rewrite is rebalanced on its
+    partition columns first: AQE packs small partitions together and splits a hot
+    one, so each value lands in a few well-sized files instead of one per task.
+    Appends skip it: a micro-batch mostly holds one ingest date, so its tasks already
+    write one file each, and an extra shuffle per batch would double ingest I/O;
+    compaction merges what stays small."""
     rel = f"{DATA}/{COMMIT_COLUMN}={commit_id}"
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
@@ -353,7 +363,8 @@ def append_once(
     if prev is not None and partition_by and list(partition_by) != pb:
         raise SchemaMismatch(f"table is partitioned by {pb}, write asks for {list(partition_by)}")
     schema = _merged_schema(prev.struct if prev else None, df.schema, merge=merge_schema, replace=False)
-    rel = _write_commit(_ordered(df, schema), path, f"t-{_safe(app_id)}-v{version}", pb)
+    rel = _write_commit(_ordered(df, schema), path, f"t-{_safe(app_id)}-v{version}", pb,
+                        rebalance=False)
     new = _new_dirs(spark, path, rel, len(pb))
     txn = dict(prev.txn) if prev else {}
     txn[app_id] = int(version)
@@ -374,7 +385,8 @@ def append(
     pb = list(prev.partition_by) if prev is not None else list(partition_by)
     schema = _merged_schema(prev.struct if prev else None, df.schema, merge=merge_schema, replace=False)
     n = prev.n + 1 if prev else 0
-    rel = _write_commit(_ordered(df, schema), path, f"a{n:012d}-{uuid.uuid4().hex[:8]}", pb)
+    rel = _write_commit(_ordered(df, schema), path, f"a{n:012d}-{uuid.uuid4().hex[:8]}", pb,
+                        rebalance=False)
     new = _new_dirs(spark, path, rel, len(pb))
     commit_manifest(
         spark, path, prev, operation="append", schema=json.loads(schema.json()),
