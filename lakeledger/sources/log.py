@@ -27,12 +27,16 @@ def read_log_stream(
     topic: str = RAW_TOPIC,
     starting_offsets: str = "earliest",
     max_per_trigger: int | None = None,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
     """Unbounded log (S1). Offsets live in the query checkpoint; no consumer group.
 
     ``max_per_trigger`` caps one micro-batch (offsets for Kafka, files for a file
     log). It decides where batch boundaries fall, which the idempotent append keys
-    on, so keep it fixed for the life of a checkpoint.
+    on, so keep it fixed for the life of a checkpoint. For a long-lived file log,
+    ``clean_source`` ("archive" with ``archive_dir``, or "delete") moves committed
+    files out of the listed folder, so each trigger's listing stays small.
     """
     if bootstrap_servers:
         reader = (
@@ -50,6 +54,10 @@ def read_log_stream(
     reader = spark.readStream.schema(LOG_SCHEMA)
     if max_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     return reader.parquet(path)
 
 

@@ -43,3 +43,19 @@ def test_failed_gate_exits_1_with_a_readable_line(spark, tmp_path, capsys):
     err = capsys.readouterr().err
     assert err.startswith("DATA QUALITY GATE FAILED") and "unknown_currency" in err
     assert tb.read_table(spark, f"{wh}/gold_daily_account_totals").count() == 678
+
+
+def test_generate_then_ingest_and_refine(spark, tmp_path, capsys):
+    log, wh = str(tmp_path / "log"), str(tmp_path / "wh")
+    assert main(["generate", "--log", log, "--count", "400", "--seed", "3", "--files", "2"],
+                spark=spark) == 0
+    assert json.loads(capsys.readouterr().out.strip())["delivered"] == 400
+    assert main(["ingest", "--warehouse", wh, "--log", log], spark=spark) == 0
+    capsys.readouterr()
+    assert main(["refine", "--warehouse", wh, "--run-id", "g"], spark=spark) == 0
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    bronze = tb.read_table(spark, f"{wh}/bronze")
+    assert summary["bronze_rows"] + tb.read_table(spark, f"{wh}/bronze_dlq").count() == 400
+    distinct_ids = bronze.select("transaction_id").distinct().count()
+    assert summary["silver_rows"] + summary["quarantined_rows"] == distinct_ids
+    assert summary["bronze_rows"] - distinct_ids <= 20, "at most the 20 injected duplicates"
