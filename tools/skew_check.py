@@ -72,9 +72,9 @@ def main():
         print(f"{name:14s} {time.perf_counter() - t0:6.1f}s")
     spark.stop()
     tasks, names = {}, {}
-    for path in glob.glob(f"{out}/**/*", recursive=True):
-        if "local-" not in path or path.endswith(".inprogress") is False and not path.split("/")[-1].startswith(("events", "local")):
-            continue
+    logs = [p for p in glob.glob(f"{out}/**/*", recursive=True)
+            if p.split("/")[-1].startswith(("local-", "events_"))]
+    for path in logs:
         opener = open(path, "rb")
         stream = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(opener), encoding="utf-8") \
             if path.endswith(".zstd") else io.TextIOWrapper(opener, encoding="utf-8")
