@@ -151,3 +151,20 @@ def test_watermark_dedup_stamps_each_batch(spark, log_dir, tmp_path):
     assert out.count() == 990
     stamps = out.select("ingested_at").distinct().count()
     assert 1 <= stamps <= 3, "one ingest stamp per micro-batch"
+
+
+def test_clean_source_archives_consumed_log_files(spark, tmp_path):
+    import os
+
+    src = str(tmp_path / "log")
+    write_log(payments_log(spark, SF_SMALL), src, files=3)
+    archive = str(tmp_path / "archive")
+    raw = read_log_stream(spark, src, max_per_trigger=1, clean_source="archive",
+                          archive_dir=archive)
+    q = ingest_stream(raw, bronze_path=str(tmp_path / "b"), dlq_path=str(tmp_path / "d"),
+                      checkpoint_path=str(tmp_path / "ck"), trigger={"availableNow": True},
+                      clock=arrival_clock())
+    drain(q)
+    assert tb.read_table(spark, str(tmp_path / "b")).count() == 1040
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".parquet")]
+    assert archived, "consumed log files are moved out of the listed folder"
