@@ -145,6 +145,10 @@ def expire(
         entry = manifests.get(f"{n:020d}.json")
         if entry is not None and entry.mtime_ms <= cutoff_ms:
             store.delete(entry.path, recursive=False)
+    # Temp files of publishes that died before their rename.
+    for name, entry in manifests.items():
+        if name.startswith(".tmp-") and entry.mtime_ms <= cutoff_ms:
+            store.delete(entry.path, recursive=False)
     return {
         "path": path,
         "retained_hours": retain_hours,

@@ -97,9 +97,13 @@ def test_expire_sweeps_crashed_writes(spark, warehouse):
     tb._write_commit(spark.range(3), path, "t-s-v1", [])  # crashed before its manifest
     orphan = f"{path}/data/commit=t-s-v1"
     assert os.path.isdir(orphan)
+    stale_tmp = f"{path}/_manifests/.tmp-crashed"
+    with open(stale_tmp, "w") as fh:
+        fh.write("{")
     expire(spark, path, retain_hours=0, allow_short_retention=True,
            now=datetime.now(UTC) + timedelta(seconds=5))
     assert not os.path.isdir(orphan)
+    assert not os.path.exists(stale_tmp)
     assert tb.read_table(spark, path).count() == 10
 
 
