@@ -308,6 +308,9 @@ SELECT kafka_topic, kafka_partition, kafka_offset FROM landed"""),
 SELECT kafka_topic, kafka_partition, kafka_offset FROM x
 EXCEPT
 SELECT kafka_topic, kafka_partition, kafka_offset FROM b"""),
+    "offset_lost_after_rebatch": _q("""
+SELECT kafka_topic, kafka_partition, kafka_offset FROM x
+WHERE ingest_date >= DATE '2024-01-16' AND ingest_date < DATE '2024-01-21'"""),
     "offset_reconcile": _q("""
 , pc AS (
     SELECT kafka_topic, kafka_partition, kafka_offset,

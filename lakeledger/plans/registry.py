@@ -45,6 +45,7 @@ RUN_ID = "fixture-run"
 CHECKED_AT = datetime(2024, 2, 1, tzinfo=UTC)
 GATE_THRESHOLD = 0.02
 BATCH_SPLIT = date(2024, 1, 16)  # micro-batch 0 = rows ingested before this date
+REBATCH_SPLIT = date(2024, 1, 21)  # batch 0 after a cleared checkpoint, larger batches
 GEN_SEED = 42
 GEN_CLOCK = datetime(2024, 2, 1, 12, 0, tzinfo=UTC)
 LOG_FILES = 4
@@ -471,6 +472,38 @@ def q_offset_not_in_bronze(spark, sf_dir):
     return audit.offset_missing(_log(spark, sf_dir), good.select(*audit.LOG_POSITION))
 
 
+def q_offset_lost_after_rebatch(spark, sf_dir):
+    """The cleared-checkpoint hazard, replayed through the ledger, and X1 finding it.
+
+    A first run commits batch 0 (rows ingested before the 16th) and dies. The restart
+    runs on a cleared checkpoint with a larger batch: its batch 0 (before the 21st) is
+    skipped as already applied, its batch 1 lands. Rows ingested from the 16th to the
+    20th never land; the offset audit must report exactly those log positions.
+    """
+    tagged = tag_parseable(_bronze(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, dead = split_tagged(tagged)
+        layout = Layout(scratch_path(spark, "offset_lost_after_rebatch") + "/warehouse")
+        day = F.col(BRONZE_PARTITION)
+
+        def batch(frame, version, cond):
+            app = "bronze" if frame is good else "bronze.dlq"
+            path = layout.bronze if frame is good else layout.bronze_dlq
+            tb.append_once(frame.where(cond), path, app_id=app, version=version,
+                           partition_by=(BRONZE_PARTITION,))
+
+        for frame in (good, dead):  # first run: batch 0, then the crash
+            batch(frame, 0, day < F.lit(BATCH_SPLIT))
+        for frame in (good, dead):  # restart, cleared checkpoint, bigger batches
+            batch(frame, 0, day < F.lit(REBATCH_SPLIT))
+            batch(frame, 1, day >= F.lit(REBATCH_SPLIT))
+    finally:
+        tagged.unpersist()
+    landed = audit.landed_positions(tb.read_table(spark, layout.bronze),
+                                    tb.read_table(spark, layout.bronze_dlq))
+    return audit.offset_missing(_log(spark, sf_dir), landed)
+
+
 def q_offset_reconcile(spark, sf_dir):
     return audit.offset_reconcile(_log(spark, sf_dir), _landed(spark, sf_dir))
 
@@ -536,6 +569,7 @@ QUERIES: dict[str, Query] = {
     "offset_gaps": q_offset_gaps,
     "offset_missing": q_offset_missing,
     "offset_not_in_bronze": q_offset_not_in_bronze,
+    "offset_lost_after_rebatch": q_offset_lost_after_rebatch,
     "offset_reconcile": q_offset_reconcile,
     "retry_conflicts": q_retry_conflicts,
     "ingest_lag": q_ingest_lag,
