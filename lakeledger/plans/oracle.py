@@ -201,8 +201,7 @@ SELECT 'fixture-run' AS run_id, check_name AS "check", round(failure_rate, 4) AS
     0.02 :: DOUBLE AS threshold, CAST(rows_failed AS BIGINT) AS rows_failed,
     CAST(rows_checked AS BIGINT) AS rows_checked
 FROM dq_rates WHERE failure_rate > 0.02"""),
-    "dq_trend": _q("""
-, day_checked AS (
+    "dq_trend": _q(""", day_checked AS (
     SELECT ingest_date, count(*) AS rows_checked, max(ingested_at) AS checked_at
     FROM b GROUP BY 1
 ),
@@ -239,7 +238,7 @@ SELECT run_id, table_name, check_name, checked_at, failure_rate,
         AS previous_rate,
     failure_rate - lag(failure_rate) OVER (
         PARTITION BY table_name, check_name ORDER BY checked_at, run_id) AS rate_change
-FROM rated""".replace("\n, day_checked", ", day_checked", 1)),
+FROM rated"""),
     "daily_account_totals": _q("SELECT * FROM mart"),
     "affected_dates": _q("SELECT DISTINCT CAST(event_time AS DATE) AS event_date FROM silver"),
     "gold_rebuild_twice": _q("SELECT * FROM mart"),
@@ -311,8 +310,7 @@ SELECT kafka_topic, kafka_partition, kafka_offset FROM b"""),
     "offset_lost_after_rebatch": _q("""
 SELECT kafka_topic, kafka_partition, kafka_offset FROM x
 WHERE ingest_date >= DATE '2024-01-16' AND ingest_date < DATE '2024-01-21'"""),
-    "offset_reconcile": _q("""
-, pc AS (
+    "offset_reconcile": _q(""", pc AS (
     SELECT kafka_topic, kafka_partition, kafka_offset,
         sum(on_log) AS on_log, sum(landed) AS landed FROM (
         SELECT kafka_topic, kafka_partition, kafka_offset, 1 AS on_log, 0 AS landed FROM x
@@ -328,7 +326,7 @@ SELECT kafka_topic, kafka_partition,
     CAST(count_if(on_log = 0) AS BIGINT) AS unknown_positions,
     min(kafka_offset) AS min_offset,
     max(kafka_offset) AS max_offset
-FROM pc GROUP BY 1, 2""".replace("\n, pc", ", pc", 1)),
+FROM pc GROUP BY 1, 2"""),
     "retry_conflicts": _q("""
 SELECT transaction_id, copies, versions, versions > 1 AS conflicting FROM (
     SELECT transaction_id, count(*) AS copies,
