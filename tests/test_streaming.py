@@ -39,11 +39,6 @@ def _crash_at(batch, stage):
     return hook
 
 
-def _truth(spark, log_dir):
-    log = read_log(spark, log_dir)
-    return log.count(), log.select("offset").distinct().count()
-
-
 def test_ingest_lands_every_message_once(spark, log_dir, tmp_path):
     layout = Layout(str(tmp_path / "wh"))
     ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock())
