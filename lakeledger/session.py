@@ -52,6 +52,12 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            # Executors cannot see a folder on the driver's disk.
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared folder (HDFS or object "
+                "store) for stream checkpoints and scratch tables"
+            )
         configured = tempfile.mkdtemp(prefix="lakeledger-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
         spark.sparkContext.setCheckpointDir(configured)
