@@ -108,10 +108,16 @@ def _batches(good: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.where(early), good.where(~early)
 
 
-def _log_files(spark: SparkSession, sf_dir: str, name: str) -> str:
-    path = scratch_path(spark, name) + "/log"
-    write_log(_log(spark, sf_dir), path, files=LOG_FILES)
-    return path
+def _log_files(spark: SparkSession, sf_dir: str) -> str:
+    """The fixture log as Parquet files, written once per session and scale: the
+    folder is never modified afterwards, so every stream query can read it."""
+
+    def write() -> str:
+        path = scratch_path(spark, "log") + "/log"
+        write_log(_log(spark, sf_dir), path, files=LOG_FILES)
+        return path
+
+    return _memo(spark, sf_dir, "log_files", write)
 
 
 # --------------------------------------------------------------------- bronze
@@ -314,7 +320,7 @@ def q_append_merge_schema(spark, sf_dir):
 
 
 def _stream_layout(spark, sf_dir, name, *, crash_batch=None):
-    log_path = _log_files(spark, sf_dir, name)
+    log_path = _log_files(spark, sf_dir)
     layout = Layout(scratch_path(spark, name) + "/warehouse")
     if crash_batch is not None:
         class SimulatedCrash(RuntimeError):
@@ -354,7 +360,7 @@ def q_stream_dlq(spark, sf_dir):
 
 def q_stream_dedup_watermark(spark, sf_dir):
     ensure_utc(spark)
-    log_path = _log_files(spark, sf_dir, "stream_dedup")
+    log_path = _log_files(spark, sf_dir)
     root = scratch_path(spark, "stream_dedup")
     q = start_dedup_stream(
         read_log_stream(spark, log_path, max_per_trigger=1),
