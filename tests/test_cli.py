@@ -24,6 +24,10 @@ def test_ingest_refine_optimize_vacuum(spark, tmp_path, capsys):
     assert main(["refine", "--warehouse", wh, "--run-id", "cli-1"], spark=spark) == 0
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert summary["silver_rows"] == 925 and summary["quarantined_rows"] == 65
+    assert main(["refine", "--warehouse", wh, "--run-id", "cli-2", "--rules", "domain"],
+                spark=spark) == 0
+    assert "naive_event_time" in {r.check_name for r in tb.read_table(
+        spark, f"{wh}/dq_results").where("run_id = 'cli-2'").collect()}
     assert main(["optimize", "--warehouse", wh, "--tables", "all"], spark=spark) == 0
     assert main(["vacuum", "--warehouse", wh, "--tables", "bronze,nope"], spark=spark) == 0
     out = capsys.readouterr().out
