@@ -1,0 +1,6 @@
+"""Runs (ingest, refine, daily) and table maintenance."""
+
+from lakeledger.plans.maintain import compact, expire, maintain_tables
+from lakeledger.plans.medallion import Layout, ingest, refine, run_daily
+
+__all__ = ["compact", "expire", "maintain_tables", "Layout", "ingest", "refine", "run_daily"]

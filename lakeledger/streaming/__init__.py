@@ -1,0 +1,7 @@
+"""Structured Streaming jobs: effectively-once ingest and watermark dedup."""
+
+from lakeledger.streaming.dedup import dedup_within_watermark, start_dedup_stream
+from lakeledger.streaming.ingest import drain, ingest_batch, ingest_stream
+
+__all__ = ["dedup_within_watermark", "start_dedup_stream", "drain", "ingest_batch",
+           "ingest_stream"]
