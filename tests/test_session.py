@@ -27,3 +27,24 @@ def test_scratch_lives_under_the_shared_checkpoint_folder(spark):
     root = shared_dir(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(root) and b.startswith(root) and a != b
+
+
+def test_no_driver_local_scratch_on_a_cluster():
+    import pytest
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Ctx:
+        master = "yarn"
+
+        def getConf(self):
+            return _Conf()
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Ctx()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session())
