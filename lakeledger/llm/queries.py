@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import chat, mixing, sharding, urlfilter
+from lakeledger.llm import chat, mixing, quality, sharding, urlfilter
 
 SHARDS = 40
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -40,6 +40,14 @@ def op3_urlfilter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op4_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    judged = quality.judge(docs, measures=base)
+    failed = F.expr(" OR ".join(r.sql(frozenset(base)) for r in quality.BASE))
+    return judged.select("doc_id", *base, failed.alias("base_failed"), "kept", "failed_rule")
+
+
 def op9_chat(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -52,6 +60,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
     "op3_urlfilter": op3_urlfilter,
+    "op4_quality": op4_quality,
     "op9_chat": op9_chat,
 }
 
