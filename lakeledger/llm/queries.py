@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import chat, mixing, quality, sharding, urlfilter
+from lakeledger.llm import bpe, chat, mixing, quality, sharding, urlfilter
 
 SHARDS = 40
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -48,6 +49,15 @@ def op4_quality(spark, sf_dir):
     return judged.select("doc_id", *base, failed.alias("base_failed"), "kept", "failed_rule")
 
 
+def op8_bpe(spark, sf_dir, vocabulary: str | None = None):
+    vocab = bpe.load(spark, vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab)
+    counted = coded.select(
+        "doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
+    return bpe.decode(counted, vocab).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op9_chat(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -61,6 +71,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_urlfilter": op3_urlfilter,
     "op4_quality": op4_quality,
+    "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
 }
 
