@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, chat, mixing, quality, sharding, urlfilter
+from lakeledger.llm import ann, bpe, chat, langid, mixing, quality, sharding, urlfilter
 
 SHARDS = 40
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -49,6 +49,10 @@ def op4_quality(spark, sf_dir):
     return judged.select("doc_id", *base, failed.alias("base_failed"), "kept", "failed_rule")
 
 
+def op5_ann(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), 5, F.col("vec_id") % 50 == 0)
+
+
 def op8_bpe(spark, sf_dir, vocabulary: str | None = None):
     vocab = bpe.load(spark, vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab)
@@ -66,13 +70,23 @@ def op9_chat(spark, sf_dir):
     return chat.read_back(chat.format_chats(turns.unionByName(own)))
 
 
+def op10_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    share = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = langid.fit(docs.where(share != 2))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (share == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
     "op3_urlfilter": op3_urlfilter,
     "op4_quality": op4_quality,
+    "op5_ann": op5_ann,
     "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
+    "op10_langid": op10_langid,
 }
 
 ORACLE: dict[str, str] = {}
