@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import ann, bpe, chat, langid, mixing, quality, sharding, urlfilter
+from lakeledger.llm import ann, bpe, chat, langid, linededup, mixing, neardup, quality, sharding, urlfilter
 
 SHARDS = 40
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -53,6 +53,14 @@ def op5_ann(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"), 5, F.col("vec_id") % 50 == 0)
 
 
+def op6_linededup(spark, sf_dir):
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_neardup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op8_bpe(spark, sf_dir, vocabulary: str | None = None):
     vocab = bpe.load(spark, vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab)
@@ -84,6 +92,8 @@ QUERIES = {
     "op3_urlfilter": op3_urlfilter,
     "op4_quality": op4_quality,
     "op5_ann": op5_ann,
+    "op6_linededup": op6_linededup,
+    "op7_neardup": op7_neardup,
     "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
     "op10_langid": op10_langid,
