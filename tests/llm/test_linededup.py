@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from lakeledger.llm import linededup as ld
 from pyspark.sql import functions as F
 
@@ -22,7 +23,15 @@ def brute(docs, edits=ld.EDITS):
             if len(line) >= ld.MIN_CHARS:
                 place[line] = min(place.get(line, ((True, 9e9), 0)), (order(i), n))
     names = sorted(place, key=lambda x: place[x])
-    near = {b for k, b in enumerate(names) for a in names[:k] if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits}
+    # An edit changes the letter counts by two at most: all other pairs are compared.
+    counts = np.zeros((len(names), 64), np.int32)
+    for k, x in enumerate(names):
+        np.add.at(counts[k], [ord(c) % 64 for c in x], 1)
+    near = set()
+    for k, b in enumerate(names):
+        close = np.flatnonzero(np.abs(counts[:k] - counts[k]).sum(1) <= 2 * edits)
+        if any(abs(len(names[m]) - len(b)) <= edits and distance(names[m], b) <= edits for m in close):
+            near.add(b)
     out = []
     for i, t in docs:
         if t is None:
