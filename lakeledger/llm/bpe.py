@@ -24,7 +24,7 @@ import json
 import sys
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -34,7 +34,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakeledger.llm.common import col, others
+from lakeledger.llm.common import col, others, small_batches
 
 #: Fixed value: how byte-level vocabularies of this kind split text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -44,7 +44,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 #: Remembered pieces per worker, and the longest piece (in characters) remembered.
-REMEMBERED, LONGEST = 200_000, 40
+REMEMBERED, LONGEST = 150_000, 40
 #: Below this many bytes a fragment is merged by plain search for the best pair.
 SHORT = 24
 #: Rank of a pair that is never joined.
@@ -57,43 +57,57 @@ def printed_bytes() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Ids, merge ranks and certain cuts of one vocabulary file."""
+    """Ids, merge ranks and certain cuts of one vocabulary file. What only encoding needs
+    is built at its first use: a worker that decodes keeps the bytes of the tokens alone."""
 
     def __init__(self, text: str):
-        spec, byte_of = json.loads(text), printed_bytes()
-        raw = lambda token: bytes(byte_of[c] for c in token)
-        model = spec["model"]
-        self.id_of = {raw(token): i for token, i in model["vocab"].items()}
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.single = [self.id_of[bytes((b,))] for b in range(256)]
-        #: Two neighbouring ids, packed -> rank of their join; rank -> the joined id.
-        self.joins, self.joined = {}, []
-        for rank, (a, b) in enumerate(pairs):
-            self.joins.setdefault(self.id_of[raw(a)] << 32 | self.id_of[raw(b)], rank)
-            self.joined.append(self.id_of[raw(a) + raw(b)])
-        inside = {token[i:i + 2] for token in self.id_of for i in range(len(token) - 1)}
-        self.certain = frozenset(a * 256 + b for a in range(256) for b in range(256) if bytes((a, b)) not in inside)
-        special = {t["content"]: t["id"] for t in spec.get("added_tokens", []) if t.get("special")}
-        self.special = special
-        self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.pieces = regex.compile(PATTERN).findall
-        self.bytes_of = {i: b for b, i in self.id_of.items()} | {i: s.encode() for s, i in special.items()}
+        self.text, byte_of = text, printed_bytes()
+        spec = json.loads(text)
+        self.id_of = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
+        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", []) if t.get("special")}
+        self.bytes_of = {i: b for b, i in self.id_of.items()} | {i: s.encode() for s, i in self.special.items()}
         self.known = Remembered(self.piece_ids)
+        self.pieces = regex.compile(PATTERN).findall
+        names = sorted(self.special, key=len, reverse=True)
+        self.split_special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+
+    @cached_property
+    def single(self) -> list[int]:
+        """Ids of the 256 bytes."""
+        return [self.id_of[bytes((b,))] for b in range(256)]
+
+    @cached_property
+    def ranked(self) -> tuple[dict[int, int], list[int]]:
+        """Two neighbouring ids, packed -> rank of their join; rank -> the joined id."""
+        byte_of, joins, joined = printed_bytes(), {}, []
+        for rank, pair in enumerate(json.loads(self.text)["model"]["merges"]):
+            a, b = (bytes(byte_of[c] for c in part) for part in (pair.split(" ") if isinstance(pair, str) else pair))
+            joins.setdefault(self.id_of[a] << 32 | self.id_of[b], rank)
+            joined.append(self.id_of[a + b])
+        return joins, joined
+
+    @cached_property
+    def certain(self) -> frozenset[int]:
+        """Pairs of bytes (first * 256 + second) that lie inside no token."""
+        inside = {token[i] * 256 + token[i + 1] for token in self.id_of for i in range(len(token) - 1)}
+        return frozenset(range(1 << 16)) - inside
 
     def fragments(self, piece: bytes) -> list[bytes]:
         """The piece cut wherever a pair of bytes lies inside no token."""
-        cuts = [i for i in range(1, len(piece)) if piece[i - 1] * 256 + piece[i] in self.certain]
+        certain = self.certain
+        cuts = [i for i in range(1, len(piece)) if piece[i - 1] * 256 + piece[i] in certain]
         return [piece[a:b] for a, b in zip([0, *cuts], [*cuts, len(piece)])]
 
     def merge(self, fragment: bytes) -> list[int]:
         """Ids of one fragment: join the neighbours of lowest rank, leftmost first."""
         if len(fragment) > SHORT:
             return self._merge_long(fragment)
-        parts, joins = [self.single[b] for b in fragment], self.joins
+        single, (joins, joined) = self.single, self.ranked
+        parts = [single[b] for b in fragment]
         ranks = [joins.get(a << 32 | b, NEVER) for a, b in zip(parts, parts[1:])]
         while ranks and (best := min(ranks)) != NEVER:
             i = ranks.index(best)
-            parts[i:i + 2] = [self.joined[best]]
+            parts[i:i + 2] = [joined[best]]
             del ranks[i]
             if i:
                 ranks[i - 1] = joins.get(parts[i - 1] << 32 | parts[i], NEVER)
@@ -102,8 +116,8 @@ class Vocabulary:
         return parts
 
     def _merge_long(self, fragment: bytes) -> list[int]:
-        n, joins = len(fragment), self.joins
-        parts = [self.single[b] for b in fragment]  # -1: joined into an earlier one
+        n, single, (joins, joined) = len(fragment), self.single, self.ranked
+        parts = [single[b] for b in fragment]  # -1: joined into an earlier one
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         open_ = [(r, i) for i in range(n - 1) if (r := joins.get(parts[i] << 32 | parts[i + 1], NEVER)) != NEVER]
         heapify(open_)
@@ -112,7 +126,7 @@ class Vocabulary:
             j = after[i]
             if parts[i] < 0 or j >= n or joins.get(parts[i] << 32 | parts[j], NEVER) != rank:
                 continue  # one of the two has been joined since
-            parts[i], parts[j] = self.joined[rank], -1
+            parts[i], parts[j] = joined[rank], -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
@@ -185,7 +199,7 @@ def _mapped(df: DataFrame, source: str, out: str, kind: T.DataType, each) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         do = each()
-        for batch in batches:
+        for batch in small_batches(batches):
             values = batch.column(batch.num_columns - 1)
             made = pa.array((do(v.as_py()) for v in values), type=arrow)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*keep, out])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Views of at most ``rows`` rows, so that what a task makes of a batch goes out before
+    the next part is made."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def lookup_join(df: DataFrame, table: DataFrame, on, values: int, how: str = "inner") -> DataFrame:
     """Join ``df`` with a lookup ``table`` of ``values`` values: broadcast within
     BROADCAST_VALUES, else as an ordinary (shuffled, skew-split by AQE) join."""

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeledger.llm.common import col, others
+from lakeledger.llm.common import col, others, small_batches
 
 DIMS = 1 << 14
 UNKNOWN = "und"
@@ -143,7 +143,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in small_batches(batches):
             langs, scores, doubts = [], [], []
             for t in batch.column(batch.num_columns - 1):
                 a, b, c = own.predict(t.as_py())
