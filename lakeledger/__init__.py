@@ -1,8 +1,8 @@
 """lakeledger: a PySpark-native medallion pipeline for a keyed payments log.
 
-Subpackages: ``sources`` (log, ledger tables, fixture), ``functions`` (rules, wire
+Subpackages: ``sources`` (log, Parquet tables, fixture), ``functions`` (rules, wire
 codec), ``operators`` (bronze, silver, quality, gold, generator, audits),
-``streaming`` (ingest, watermark dedup), ``plans`` (runs, maintenance, registry).
+``streaming`` (ingest, watermark dedup), ``plans`` (runs, registry).
 """
 
 __version__ = "0.1.0"

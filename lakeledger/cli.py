@@ -13,10 +13,10 @@ import sys
 
 from lakeledger.functions.rules import QUARANTINE_RULES, WIRE_RULES
 from lakeledger.operators.quality import DataQualityBreach
-from lakeledger.plans.maintain import maintain_tables
 from lakeledger.plans.medallion import Layout, ingest, refine, run_daily, threshold_override
 from lakeledger.schemas import DEFAULT_RETAIN_HOURS
 from lakeledger.session import build_session
+from lakeledger.sources import tables as tb
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -36,12 +36,15 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--tables", default="bronze,silver,gold",
                    help="optimize/vacuum: comma list of tables, or 'all'")
     p.add_argument("--retain-hours", type=float, default=DEFAULT_RETAIN_HOURS)
-    p.add_argument("--allow-short-retention", action="store_true")
+    p.add_argument("--bootstrap-servers", default=None, help="ingest/generate: Kafka brokers (with --topic)")
+    p.add_argument("--topic", default=None, help="ingest/generate: Kafka topic")
+    p.add_argument("--starting-offsets", default="earliest", help="ingest: where a new checkpoint starts")
+    p.add_argument("--app-id", default="bronze", help="ingest: name of this line of batches")
     p.add_argument("--master", default=None)
     g = p.add_argument_group("generate (writes --count messages to --log)")
     g.add_argument("--count", type=int, default=500)
     g.add_argument("--seed", type=int, default=0)
-    g.add_argument("--files", type=int, default=None, help="log files to write")
+    g.add_argument("--records-per-file", type=int, default=None, help="cut log files at so many rows")
     for name, default in (("duplicate", 0.05), ("late", 0.02), ("null-field", 0.01),
                           ("negative-amount", 0.01), ("unknown-currency", 0.01)):
         g.add_argument(f"--{name}", type=float, default=default)
@@ -54,8 +57,8 @@ def _generate(spark, args) -> int:
     from lakeledger.operators.generate import DefectRates, generate_log
     from lakeledger.sources.log import write_log
 
-    if not args.log:
-        print("generate needs --log", file=sys.stderr)
+    if not (args.log or args.bootstrap_servers):
+        print("generate needs --log or --bootstrap-servers", file=sys.stderr)
         return 2
     defects = DefectRates(duplicate=args.duplicate, late=args.late, null_field=args.null_field,
                           negative_amount=args.negative_amount,
@@ -63,11 +66,26 @@ def _generate(spark, args) -> int:
     ids = spark.range(args.count).withColumnRenamed("id", "seq")
     log = generate_log(ids, args.count, seed=args.seed, defects=defects,
                        clock=datetime.now(UTC))
-    delivered = write_log(log, args.log, files=args.files)
+    topic = {"topic": args.topic} if args.topic else {}
+    delivered = write_log(log, args.log, bootstrap_servers=args.bootstrap_servers,
+                          max_records_per_file=args.records_per_file, **topic)
     print(json.dumps({"delivered": delivered, "log": args.log}))
     return 0
 
 
+def _upkeep(spark, layout, args, name: str) -> dict:
+    """optimize: a compacted copy beside the table; vacuum: remove crashed batches."""
+    if name not in layout.TABLES:
+        return {"table": name, "skipped": "unknown table"}
+    path, (_, schema, parts) = layout.path(name), layout.TABLES[name]
+    if not tb.exists(spark, path):
+        return {"table": name, "skipped": "not written yet"}
+    if args.command == "vacuum":
+        return {"table": name, "removed": tb.sweep(spark, path, retain_hours=args.retain_hours)}
+    out = f"{path}_compacted"
+    return {"table": name, "out": out, "rows": tb.compact(spark, path, out, schema=schema, partition_by=parts)}
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = _parser().parse_args(argv)
     spark = spark or build_session(f"lakeledger-{args.command}", master=args.master)
@@ -79,12 +97,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     layout = Layout(args.warehouse)
     try:
         if args.command == "ingest":
-            if not args.log:
-                print("ingest needs --log", file=sys.stderr)
+            if not (args.log or args.bootstrap_servers):
+                print("ingest needs --log or --bootstrap-servers", file=sys.stderr)
                 return 2
-            ingest(spark, layout, args.log, max_per_trigger=args.max_per_trigger,
-                   run_seconds=args.seconds)
-            print(json.dumps({"ingested_into": layout.bronze}))
+            ingest(spark, layout, args.log, bootstrap_servers=args.bootstrap_servers, topic=args.topic,
+                   starting_offsets=args.starting_offsets, app_id=args.app_id,
+                   max_per_trigger=args.max_per_trigger, run_seconds=args.seconds)
+            print(json.dumps({"ingested_into": layout.path("bronze")}))
         elif args.command == "refine":
             rules = WIRE_RULES if args.rules == "domain" else QUARANTINE_RULES
             out = refine(spark, layout, run_id=args.run_id, rules=rules,
@@ -92,16 +111,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             print(json.dumps(out, default=str))
         elif args.command == "daily":
             out = run_daily(spark, layout, args.run_id or "daily",
-                            thresholds=threshold_override(args.dq_threshold),
-                            retain_hours=args.retain_hours,
-                            allow_short_retention=args.allow_short_retention)
+                            thresholds=threshold_override(args.dq_threshold), retain_hours=args.retain_hours)
             print(json.dumps(out, default=str))
         else:
-            verb = "optimize" if args.command == "optimize" else "vacuum"
-            for rep in maintain_tables(spark, layout, verb, tables=args.tables,
-                                       retain_hours=args.retain_hours,
-                                       allow_short_retention=args.allow_short_retention):
-                print(json.dumps(rep, default=str))
+            for name in layout.TABLES if args.tables == "all" else args.tables.split(","):
+                print(json.dumps(_upkeep(spark, layout, args, name), default=str))
     except DataQualityBreach as exc:
         print(f"DATA QUALITY GATE FAILED: {exc.args[0]}", file=sys.stderr)
         return 1

@@ -139,11 +139,23 @@ def ingest_lag(bronze: DataFrame, *, slow_seconds: int = 60) -> DataFrame:
             F.min("_lag").alias("min_lag_seconds"),
             F.max("_lag").alias("max_lag_seconds"),
             F.avg("_lag").alias("avg_lag_seconds"),
+            F.percentile_approx("_lag", F.lit(0.5), F.lit(10_000)).alias("p50_lag_seconds"),
+            F.percentile_approx("_lag", F.lit(0.99), F.lit(10_000)).alias("p99_lag_seconds"),
             F.count_if(F.col("_lag") > slow_seconds).alias("slow_messages"),
         )
     )
 
 
+def distinct_counts(bronze: DataFrame) -> DataFrame:
+    """Exact distinct transactions, accounts and ingest stamps per ingest date (A11)."""
+    return bronze.groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_distinct("transaction_id").alias("transactions"),
+        F.count_distinct("account_id").alias("accounts"),
+        F.count_distinct("ingested_at").alias("stamps"),
+    )
+
+
 def key_spread(bronze: DataFrame) -> DataFrame:
     """Accounts seen on more than one log partition (X6): keying discipline broken."""
     return (

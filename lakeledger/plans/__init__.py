@@ -1,6 +1,5 @@
-"""Runs (ingest, refine, daily) and table maintenance."""
+"""Runs: ingest, refine, the daily sequence."""
 
-from lakeledger.plans.maintain import compact, expire, maintain_tables
 from lakeledger.plans.medallion import Layout, ingest, refine, run_daily
 
-__all__ = ["compact", "expire", "maintain_tables", "Layout", "ingest", "refine", "run_daily"]
+__all__ = ["Layout", "ingest", "refine", "run_daily"]

@@ -19,14 +19,17 @@ w AS (
         event_id, copy, ts,
         event_id % 500 = 29 AS not_json,
         CASE WHEN event_id % 700 = 31 THEN NULL
+             WHEN event_id % 750 = 71 THEN ''
              ELSE 'txn_' || lpad(CAST(event_id AS VARCHAR), 12, '0') END AS transaction_id,
         CASE WHEN event_id % 300 = 17 THEN NULL
+             WHEN event_id % 450 = 19 THEN ''
              ELSE 'acc_' || lpad(CAST(user_id % 200 AS VARCHAR), 4, '0') END AS account_id,
         CASE WHEN event_id % 97 = 13 THEN NULL
              ELSE 'acc_' || lpad(CAST((user_id * 7 + event_id) % 200 AS VARCHAR), 4, '0')
         END AS counterparty_id,
         CAST(CASE WHEN event_id % 3 = 1 THEN ceil(value) ELSE round(value * 100) END AS BIGINT)
-            * CASE WHEN event_id % 50 = 23 THEN -1 ELSE 1 END AS amount_minor,
+            * CASE WHEN event_id % 50 = 23 THEN -1 ELSE 1 END
+            + CASE WHEN copy = 1 AND event_id % 200 = 47 THEN 1 ELSE 0 END AS amount_minor,
         CASE WHEN event_id % 211 = 5 THEN NULL
              WHEN event_id % 50 = 11 THEN 'XYZ'
              WHEN event_id % 3 = 0 THEN 'INR'
@@ -39,9 +42,12 @@ w AS (
              WHEN event_type = 'signup' THEN 'CANCELLED'
              ELSE 'REFUNDED' END AS status,
         CASE WHEN event_id % 900 = 41 THEN NULL
+             WHEN event_id % 650 = 61 THEN ts + INTERVAL 3 DAY
+             WHEN event_id % 600 = 59 THEN ts
              WHEN event_id % 40 = 3 THEN ts - INTERVAL 2 HOUR
              ELSE ts END AS event_time,
-        CAST(user_id % 6 AS INTEGER) AS kafka_partition,
+        event_id % 900 <> 41 AND event_id % 650 <> 61 AND event_id % 600 = 59 AS naive,
+        CAST((user_id + CASE WHEN event_id % 400 = 9 THEN 1 ELSE 0 END) % 6 AS INTEGER) AS kafka_partition,
         event_id * 2 + copy * 21 AS kafka_offset,
         ts + to_seconds(5 + 30 * copy) AS ingested_at
     FROM e
@@ -56,7 +62,7 @@ x AS (
         CASE WHEN not_json THEN NULL ELSE status END AS status,
         CASE WHEN not_json THEN NULL ELSE event_time END AS event_time,
         CASE WHEN not_json THEN NULL ELSE ts END AS produced_at,
-        account_id AS kafka_key,
+        nullif(account_id, '') AS kafka_key,
         'txn.raw' AS kafka_topic,
         kafka_partition,
         kafka_offset,
@@ -64,16 +70,15 @@ x AS (
         ingested_at,
         CAST(ingested_at AS DATE) AS ingest_date,
         not_json,
-        ts AS raw_event_ts,
-        event_id
+        naive
     FROM w
 ),
 b AS (
-    SELECT * EXCLUDE (not_json, raw_event_ts, event_id) FROM x
+    SELECT * EXCLUDE (not_json, naive) FROM x
     WHERE transaction_id IS NOT NULL AND account_id IS NOT NULL AND event_time IS NOT NULL
 ),
 dlq AS (
-    SELECT * EXCLUDE (not_json, raw_event_ts, event_id),
+    SELECT * EXCLUDE (not_json, naive),
         concat_ws(',',
             CASE WHEN transaction_id IS NULL THEN 'missing:transaction_id' END,
             CASE WHEN account_id IS NULL THEN 'missing:account_id' END,
@@ -175,14 +180,12 @@ SELECT transaction_id, kafka_partition, kafka_offset, violations FROM (
             CASE WHEN status IS NULL OR status NOT IN
                  ('CANCELLED', 'FAILED', 'PENDING', 'REFUNDED', 'SETTLED')
                  THEN 'unknown_status' END,
-            CASE WHEN NOT regexp_matches(
-                     strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00',
-                     '(Z|[+-][0-9]{2}(:?[0-9]{2})?)$')
-                 THEN 'naive_event_time' END,
-            CASE WHEN event_time > produced_at THEN 'future_event_time' END,
-            CASE WHEN account_id = '' THEN 'empty_account_id' END
+            CASE WHEN naive THEN 'naive_event_time' END,
+            CASE WHEN event_time > ingested_at THEN 'future_event_time' END,
+            CASE WHEN account_id = '' THEN 'empty_account_id' END,
+            CASE WHEN transaction_id = '' THEN 'empty_transaction_id' END
         ) AS violations
-    FROM b) WHERE violations <> ''
+    FROM x WHERE transaction_id IS NOT NULL AND account_id IS NOT NULL AND event_time IS NOT NULL) WHERE violations <> ''
 """),
     "silver_dedup": _q(f"SELECT {BRONZE_COLS} FROM d"),
     "silver_lateness": _q(f"SELECT {BRONZE_COLS}, lateness_seconds, lateness_seconds > 300 AS is_late FROM lt"),
@@ -264,6 +267,7 @@ FROM dq_rates"""),
     "stream_ingest": _q("SELECT * FROM b"),
     "stream_crash_replay": _q("SELECT * FROM b"),
     "stream_dlq": _q("SELECT * FROM dlq"),
+    "stream_cleared_checkpoint": _q("SELECT * FROM b"),
     "stream_dedup_watermark": _q("SELECT DISTINCT transaction_id FROM b"),
     "refine_summary": _q("""
 SELECT 'fixture-run' AS run_id,
@@ -272,6 +276,11 @@ SELECT 'fixture-run' AS run_id,
     (SELECT count(*) FROM quarantine) AS quarantined_rows,
     (SELECT count(DISTINCT CAST(event_time AS DATE)) FROM silver) AS gold_dates,
     (SELECT count(*) FROM dq_rates WHERE failure_rate > 0.05) AS dq_breaches"""),
+    "refine_gate": _q("""
+SELECT 4 :: BIGINT AS dq_rows, (SELECT count(*) FROM dq_rates WHERE failure_rate > 0.02) AS failed_checks,
+    (SELECT count(*) FROM mart) AS gold_rows,
+    (SELECT CAST(coalesce(sum(total_amount_minor), 0) AS BIGINT) FROM mart) AS gold_amount,
+    (SELECT count(*) FROM dq_rates WHERE failure_rate > 0.02) > 0 AS raised"""),
     "compact_rows": _q("SELECT * FROM b"),
     "expire_rows": _q("SELECT * FROM b"),
     "log_roundtrip": _q("""
@@ -302,7 +311,7 @@ WHERE after_offset IS NOT NULL AND before_offset - after_offset > 1"""),
     "offset_missing": _q("""
 SELECT kafka_topic, kafka_partition, kafka_offset FROM x
 EXCEPT
-SELECT kafka_topic, kafka_partition, kafka_offset FROM landed"""),
+SELECT kafka_topic, kafka_partition, kafka_offset FROM landed WHERE kafka_offset % 1000 <> 14"""),
     "offset_not_in_bronze": _q("""
 SELECT kafka_topic, kafka_partition, kafka_offset FROM x
 EXCEPT
@@ -337,6 +346,7 @@ WHERE copies > 1"""),
     "ingest_lag": _q("""
 SELECT ingest_date, kafka_partition, count(*) AS messages,
     min(lag) AS min_lag_seconds, max(lag) AS max_lag_seconds, avg(lag) AS avg_lag_seconds,
+    quantile_disc(lag, 0.5) AS p50_lag_seconds, quantile_disc(lag, 0.99) AS p99_lag_seconds,
     CAST(count_if(lag > 60) AS BIGINT) AS slow_messages
 FROM (SELECT *, (epoch_us(ingested_at) - epoch_us(produced_at)) / 1000000.0 AS lag
       FROM b WHERE produced_at IS NOT NULL)
@@ -344,6 +354,10 @@ GROUP BY 1, 2"""),
     "key_spread": _q("""
 SELECT account_id, count(DISTINCT kafka_partition) AS partitions, count(*) AS messages
 FROM b WHERE account_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT kafka_partition) > 1"""),
+    "distinct_counts": _q("""
+SELECT ingest_date, count(*) AS messages, count(DISTINCT transaction_id) AS transactions,
+    count(DISTINCT account_id) AS accounts, count(DISTINCT ingested_at) AS stamps
+FROM b GROUP BY 1"""),
     "dlq_replay": _q(f"""
 SELECT transaction_id, account_id, counterparty_id, amount_minor, currency, status,
     coalesce(event_time, kafka_timestamp) AS event_time, produced_at, kafka_key, kafka_topic,

@@ -1,7 +1,6 @@
 """Registered queries: each reads the supplied tables under ``sf_dir`` and returns a
-DataFrame. Queries that exercise storage (tables, streams, maintenance) write to a
-fresh folder under the session's shared checkpoint folder and return what they
-read back.
+DataFrame. Queries that exercise tables or streams write to a fresh scratch folder of
+their own and return what they read back; no query reads another one's folder.
 
 Outputs drop ``raw_payload`` (JSON text formatting differs between engines) and
 carry instants as TIMESTAMP_NTZ in UTC, so an independent SQL engine can compare.
@@ -12,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, date, datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,25 +18,19 @@ from pyspark.sql import types as T
 from lakeledger.functions.rules import WIRE_RULES, reason_list
 from lakeledger.functions.wire import to_wire
 from lakeledger.operators import audit
-from lakeledger.operators.bronze import split_parseable, split_tagged, tag_parseable, to_bronze
+from lakeledger.operators.bronze import good_of, split_parseable, tag_parseable, to_bronze
 from lakeledger.operators.generate import CLI_DEFECTS, generate_log
-from lakeledger.operators.gold import (
-    affected_dates,
-    affected_dates_frame,
-    daily_account_totals,
-    rebuild,
-)
-from lakeledger.operators.quality import breach_frame, dq_results, dq_results_by, dq_trend
+from lakeledger.operators.gold import affected_dates, affected_dates_frame, daily_account_totals, rebuild
+from lakeledger.operators.quality import DataQualityBreach, breach_frame, dq_results, dq_results_by, dq_trend
 from lakeledger.operators.silver import deduplicate, flag_lateness, to_silver
-from lakeledger.plans.maintain import compact, expire
-from lakeledger.plans.medallion import Layout, ingest, refine
-from lakeledger.schemas import BRONZE_PARTITION, DQ_PARTITION, GOLD_PARTITION
+from lakeledger.plans.medallion import CheckpointLost, Layout, ingest, refine, threshold_override
+from lakeledger.schemas import BRONZE_PARTITION, BRONZE_SCHEMA, DQ_PARTITION, DQ_SCHEMA, GOLD_PARTITION, MART_SCHEMA, SILVER_SCHEMA
 from lakeledger.session import ensure_utc, scratch_path
 from lakeledger.sources import tables as tb
 from lakeledger.sources.fixtures import arrival_clock, events, payments_log
 from lakeledger.sources.log import keyed_log, read_log, read_log_stream, write_log
-from lakeledger.streaming.dedup import start_dedup_stream
-from lakeledger.streaming.ingest import drain
+from lakeledger.streaming.dedup import kept_rows, late_rows, start_dedup_stream
+from lakeledger.streaming.ingest import dead_letters_of, drain, land_batch, start
 
 # Fixed parameters of the registered runs (the oracle SQL states the same values).
 RUN_ID = "fixture-run"
@@ -48,8 +40,10 @@ BATCH_SPLIT = date(2024, 1, 16)  # micro-batch 0 = rows ingested before this dat
 REBATCH_SPLIT = date(2024, 1, 21)  # batch 0 after a cleared checkpoint, larger batches
 GEN_SEED = 42
 GEN_CLOCK = datetime(2024, 2, 1, 12, 0, tzinfo=UTC)
-LOG_FILES = 4
-WATERMARK_DELAY = "40 days"
+RECORDS_PER_FILE = 400  # of the log files the streams read
+BATCHES = 4  # about so many micro-batches a stream query runs
+WATERMARK_DELAY = "1 hour"  # the log spans 30 days: almost all state is evicted on the way
+LOST_OFFSETS = 14  # offset_missing: rows with offset % 1000 = 14 never land
 STREAM_TIMEOUT_S = 600
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,40 +61,21 @@ def _out(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-# Base logical plans per (session, sf_dir). DataFrames are immutable plans, so a
-# query derived from a shared base re-reads and recomputes everything from the
-# Parquet source; only the Python-side construction (hundreds of py4j calls for the
-# fixture's column expressions) is done once.
-_PLANS: dict[tuple[int, str], tuple[SparkSession, dict]] = {}
-
-
-def _memo(spark: SparkSession, sf_dir: str, key: str, build):
-    ensure_utc(spark)
-    slot = _PLANS.get((id(spark), sf_dir))
-    if slot is None or slot[0] is not spark:
-        slot = (spark, {})
-        _PLANS[(id(spark), sf_dir)] = slot
-    if key not in slot[1]:
-        slot[1][key] = build()
-    return slot[1][key]
-
-
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    return _memo(spark, sf_dir, "log", lambda: payments_log(spark, sf_dir))
+    return payments_log(spark, sf_dir)
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, sf_dir, "bronze",
-                 lambda: to_bronze(_log(spark, sf_dir), ingested_at=arrival_clock()))
+    return to_bronze(_log(spark, sf_dir), ingested_at=arrival_clock())
 
 
 def _good_dead(spark, sf_dir):
-    return _memo(spark, sf_dir, "good_dead", lambda: split_parseable(_bronze(spark, sf_dir)))
+    return split_parseable(_bronze(spark, sf_dir))
 
 
 def _silver(spark, sf_dir):
-    return _memo(spark, sf_dir, "silver", lambda: to_silver(_good_dead(spark, sf_dir)[0]))
+    return to_silver(_good_dead(spark, sf_dir)[0])
 
 
 def _batches(good: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -108,16 +83,11 @@ def _batches(good: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.where(early), good.where(~early)
 
 
-def _log_files(spark: SparkSession, sf_dir: str) -> str:
-    """The fixture log as Parquet files, written once per session and scale: the
-    folder is never modified afterwards, so every stream query can read it."""
-
-    def write() -> str:
-        path = scratch_path(spark, "log") + "/log"
-        write_log(_log(spark, sf_dir), path, files=LOG_FILES)
-        return path
-
-    return _memo(spark, sf_dir, "log_files", write)
+def _log_files(spark: SparkSession, log: DataFrame, root: str) -> tuple[str, int]:
+    """The log as Parquet files, and how many of them a trigger admits."""
+    path = f"{root}/log"
+    rows = write_log(log, path, max_records_per_file=RECORDS_PER_FILE)
+    return path, max(1, rows // (BATCHES * RECORDS_PER_FILE))
 
 
 # --------------------------------------------------------------------- bronze
@@ -216,190 +186,193 @@ def q_affected_dates(spark, sf_dir):
     return affected_dates_frame(silver)
 
 
-def _gold_path(spark, name):
-    return scratch_path(spark, name) + "/gold"
-
-
-def _silver_table(spark, sf_dir) -> DataFrame:
-    """Silver as the pipeline holds it: written once per session and scale, then only
-    read (gold rebuilds never modify it)."""
+def _silver_table(spark, sf_dir, root) -> DataFrame:
+    """Silver as the pipeline stores it: partitioned by event date."""
+    silver, _ = _silver(spark, sf_dir)
+    tb.replace_all(silver.withColumn(GOLD_PARTITION, F.to_date("event_time")), f"{root}/silver", partition_by=(GOLD_PARTITION,))
+    return tb.read_table(spark, f"{root}/silver", T.StructType([*SILVER_SCHEMA.fields, T.StructField(GOLD_PARTITION, T.DateType())]))
 
-    def write() -> str:
-        silver, _ = _silver(spark, sf_dir)
-        path = scratch_path(spark, "silver") + "/silver"
-        tb.replace_all(silver, path)
-        return path
 
-    return tb.read_table(spark, _memo(spark, sf_dir, "silver_table", write))
+def _mart(spark, root):
+    return _out(tb.read_table(spark, f"{root}/gold", MART_SCHEMA))
 
 
 def q_gold_rebuild_twice(spark, sf_dir):
-    silver = _silver_table(spark, sf_dir)
-    path = _gold_path(spark, "gold_rebuild_twice")
-    rebuild(silver, path)
-    rebuild(silver, path)
-    return _out(tb.read_table(spark, path))
+    root = scratch_path(spark, "gold_rebuild_twice")
+    silver = _silver_table(spark, sf_dir, root)
+    for _ in range(2):
+        rebuild(silver, f"{root}/gold")
+    return _mart(spark, root)
 
 
 def q_gold_late_restate(spark, sf_dir):
-    silver = _silver_table(spark, sf_dir)
-    path = _gold_path(spark, "gold_late_restate")
-    rebuild(silver.where(~F.col("is_late")), path)
-    late_dates = affected_dates(silver.where(F.col("is_late")))
-    rebuild(silver, path, dates=late_dates)
-    return _out(tb.read_table(spark, path))
+    root = scratch_path(spark, "gold_late_restate")
+    silver = _silver_table(spark, sf_dir, root)
+    rebuild(silver.where("NOT is_late"), f"{root}/gold")
+    rebuild(silver, f"{root}/gold", dates=affected_dates(silver.where("is_late")))
+    return _mart(spark, root)
 
 
 def q_gold_vanished_date(spark, sf_dir):
-    silver = _silver_table(spark, sf_dir)
-    path = _gold_path(spark, "gold_vanished_date")
-    dates = rebuild(silver, path)
-    corrected = silver.where(F.to_date("event_time") != F.lit(dates[0]))
-    held = tb.live_partition_values(spark, path, GOLD_PARTITION)
-    touched = {str(d) for d in affected_dates(corrected)}
-    rebuild(corrected, path, dates=sorted(touched | set(held)))
-    return _out(tb.read_table(spark, path))
+    root = scratch_path(spark, "gold_vanished_date")
+    silver = _silver_table(spark, sf_dir, root)
+    first = rebuild(silver, f"{root}/gold")[0]
+    corrected = silver.where(F.col(GOLD_PARTITION) != F.lit(first))
+    held = tb.partition_values(spark, f"{root}/gold", GOLD_PARTITION)
+    rebuild(corrected, f"{root}/gold", dates={*map(str, affected_dates(corrected)), *held})
+    return _mart(spark, root)
 
 
 # --------------------------------------------------------------------- tables
 
 
-def _bronze_table(spark, name):
-    return scratch_path(spark, name) + "/bronze"
+def _appended(spark, name, *batches) -> DataFrame:
+    """Bronze after appending (frame, app id, version) in order."""
+    path = scratch_path(spark, name) + "/bronze"
+    for frame, app, version in batches:
+        tb.append_once(frame, path, app_id=app, version=version, partition_by=(BRONZE_PARTITION,))
+    return _out(tb.read_table(spark, path, BRONZE_SCHEMA))
 
 
 def q_append_replay(spark, sf_dir):
-    good, _ = _good_dead(spark, sf_dir)
-    b0, b1 = _batches(good)
-    path = _bronze_table(spark, "append_replay")
-    tb.append_once(b0, path, app_id="bronze", version=0, partition_by=(BRONZE_PARTITION,))
-    tb.append_once(b0, path, app_id="bronze", version=0, partition_by=(BRONZE_PARTITION,))
-    tb.append_once(b1, path, app_id="bronze", version=1, partition_by=(BRONZE_PARTITION,))
-    return _out(tb.read_table(spark, path))
+    b0, b1 = _batches(_good_dead(spark, sf_dir)[0])
+    return _appended(spark, "append_replay", (b0, "bronze", 0), (b0, "bronze", 0), (b1, "bronze", 1))
 
 
 def q_append_old_version(spark, sf_dir):
-    good, _ = _good_dead(spark, sf_dir)
-    b0, b1 = _batches(good)
-    path = _bronze_table(spark, "append_old_version")
-    tb.append_once(b0, path, app_id="bronze", version=0, partition_by=(BRONZE_PARTITION,))
-    tb.append_once(b1, path, app_id="bronze", version=1, partition_by=(BRONZE_PARTITION,))
-    tb.append_once(b1, path, app_id="bronze", version=0, partition_by=(BRONZE_PARTITION,))
-    return _out(tb.read_table(spark, path))
+    b0, b1 = _batches(_good_dead(spark, sf_dir)[0])
+    return _appended(spark, "append_old_version", (b0, "bronze", 0), (b1, "bronze", 1), (b1, "bronze", 0))
 
 
 def q_append_other_app(spark, sf_dir):
-    good, _ = _good_dead(spark, sf_dir)
-    b0, b1 = _batches(good)
-    path = _bronze_table(spark, "append_other_app")
-    tb.append_once(b0, path, app_id="bronze", version=0, partition_by=(BRONZE_PARTITION,))
-    tb.append_once(b1, path, app_id="bronze", version=1, partition_by=(BRONZE_PARTITION,))
-    tb.append_once(b0, path, app_id="bronze-restarted", version=0,
-                   partition_by=(BRONZE_PARTITION,))
-    return _out(tb.read_table(spark, path))
+    b0, b1 = _batches(_good_dead(spark, sf_dir)[0])
+    return _appended(spark, "append_other_app", (b0, "bronze", 0), (b1, "bronze", 1), (b0, "bronze-restarted", 0))
 
 
 def q_replace_all(spark, sf_dir):
     good, _ = _good_dead(spark, sf_dir)
-    silver, _ = _silver(spark, sf_dir)
+    silver, _ = to_silver(good)
     path = scratch_path(spark, "replace_all") + "/silver"
     tb.replace_all(good, path)  # a stale table with another schema
     tb.replace_all(silver, path)
-    return _out(tb.read_table(spark, path))
+    return _out(tb.read_table(spark, path, SILVER_SCHEMA))
 
 
 def q_append_merge_schema(spark, sf_dir):
     good, _ = _good_dead(spark, sf_dir)
-    _, quarantined = _silver(spark, sf_dir)
+    _, quarantined = to_silver(good)
     path = scratch_path(spark, "append_merge_schema") + "/dq_results"
-    old = dq_results(source=good, quarantined=quarantined, run_id="r-old",
-                     checked_at=CHECKED_AT).drop("threshold", "passed")
-    new = dq_results(source=good, quarantined=quarantined, run_id="r-new",
-                     checked_at=CHECKED_AT)
-    tb.append(old, path, partition_by=(DQ_PARTITION,))
-    tb.append(new, path, merge_schema=True)
-    return _out(tb.read_table(spark, path))
+
+    def results(run):
+        return dq_results(source=good, quarantined=quarantined, run_id=run, checked_at=CHECKED_AT)
+
+    tb.append(results("r-old").drop("threshold", "passed"), path, partition_by=(DQ_PARTITION,))
+    tb.append(results("r-new"), path, partition_by=(DQ_PARTITION,))
+    return _out(tb.read_table(spark, path, DQ_SCHEMA))
 
 
 # --------------------------------------------------------------------- streams
 
 
-def _stream_layout(spark, sf_dir, name, *, crash_batch=None):
-    log_path = _log_files(spark, sf_dir)
-    layout = Layout(scratch_path(spark, name) + "/warehouse")
-    if crash_batch is not None:
-        class SimulatedCrash(RuntimeError):
-            pass
+class Crash(RuntimeError):
+    """Injected: the driver dies after a batch's first write, before Spark's commit."""
+
+
+def _crash_in(layout: Layout, crash_batch: int):
+    """A micro-batch body that lands bronze of ``crash_batch`` and then dies."""
 
-        def fault(batch_id, stage):
-            if batch_id == crash_batch and stage == "bronze":
-                raise SimulatedCrash(f"driver died after batch {batch_id} wrote bronze")
+    def body(batch, batch_id):
+        if batch_id != crash_batch:
+            land_batch(batch, batch_id, bronze_path=layout.path("bronze"), dlq_path=layout.path("bronze_dlq"), clock=arrival_clock())
+            return
+        rows = tag_parseable(to_bronze(batch, ingested_at=arrival_clock()))
+        tb.append_once(good_of(rows), layout.path("bronze"), app_id="bronze", version=batch_id, partition_by=(BRONZE_PARTITION,))
+        raise Crash(f"after bronze of batch {batch_id}")
 
+    return body
+
+
+def _streamed(spark, sf_dir, name, *, crash_batch=None) -> Layout:
+    root = scratch_path(spark, name)
+    log, admitted = _log_files(spark, _log(spark, sf_dir), root)
+    layout = Layout(f"{root}/warehouse")
+    if crash_batch is not None:
+        query = start(read_log_stream(spark, log, max_per_trigger=admitted), _crash_in(layout, crash_batch),
+                      checkpoint_path=layout.checkpoints, trigger={"availableNow": True})
         try:
-            ingest(spark, layout, log_path, max_per_trigger=1, clock=arrival_clock(),
-                   timeout_s=STREAM_TIMEOUT_S, on_written=fault)
-        except Exception as exc:  # the crash is the point; anything else is real
-            if "SimulatedCrash" not in f"{type(exc).__name__} {exc}":
+            drain(query, STREAM_TIMEOUT_S)
+        except Exception as exc:  # the injected crash is expected; anything else is real
+            if "Crash" not in str(exc):
                 raise
         else:
-            raise RuntimeError("the simulated crash did not happen")
-    ingest(spark, layout, log_path, max_per_trigger=1, clock=arrival_clock(),
-           timeout_s=STREAM_TIMEOUT_S)
-    return layout, log_path
+            raise RuntimeError("the injected crash did not happen")
+    ingest(spark, layout, log, max_per_trigger=admitted, clock=arrival_clock(), timeout_s=STREAM_TIMEOUT_S)
+    return layout
 
 
 def q_stream_ingest(spark, sf_dir):
-    layout, _ = _stream_layout(spark, sf_dir, "stream_ingest")
-    return _out(tb.read_table(spark, layout.bronze))
+    return _out(_streamed(spark, sf_dir, "stream_ingest").read(spark, "bronze"))
 
 
 def q_stream_crash_replay(spark, sf_dir):
-    layout, _ = _stream_layout(spark, sf_dir, "stream_crash_replay", crash_batch=1)
-    return _out(tb.read_table(spark, layout.bronze))
+    return _out(_streamed(spark, sf_dir, "stream_crash_replay", crash_batch=1).read(spark, "bronze"))
 
 
 def q_stream_dlq(spark, sf_dir):
-    layout, _ = _stream_layout(spark, sf_dir, "stream_dlq", crash_batch=0)
-    return _out(tb.read_table(spark, layout.bronze_dlq))
+    return _out(_streamed(spark, sf_dir, "stream_dlq", crash_batch=0).read(spark, "bronze_dlq"))
+
+
+def q_stream_cleared_checkpoint(spark, sf_dir):
+    """The log grows between two runs and the checkpoint is lost: the second run is refused;
+    under a new app id the whole log lands again, and log positions tell copies apart."""
+    root = scratch_path(spark, "stream_cleared_checkpoint")
+    log = _log(spark, sf_dir)
+    early = F.col("timestamp") < F.lit(datetime(2024, 1, 16, tzinfo=UTC))
+    path, admitted = _log_files(spark, log.where(early), root)
+    layout = Layout(f"{root}/warehouse")
+
+    def run(**where):
+        ingest(spark, layout, path, max_per_trigger=admitted, clock=arrival_clock(), timeout_s=STREAM_TIMEOUT_S, **where)
+
+    run()
+    write_log(log.where(~early), path, max_records_per_file=RECORDS_PER_FILE)
+    cleared = f"{root}/cleared"
+    try:
+        run(checkpoint_path=cleared)
+    except CheckpointLost:
+        run(checkpoint_path=cleared, app_id="bronze-2")
+    else:
+        raise RuntimeError("an empty checkpoint over landed batches was not refused")
+    landed = layout.read(spark, "bronze")
+    return _out(landed.dropDuplicates(["kafka_topic", "kafka_partition", "kafka_offset"]))
 
 
 def q_stream_dedup_watermark(spark, sf_dir):
-    ensure_utc(spark)
-    log_path = _log_files(spark, sf_dir)
+    """Every id of the log, from the kept rows or the late ones."""
     root = scratch_path(spark, "stream_dedup")
-    q = start_dedup_stream(
-        read_log_stream(spark, log_path, max_per_trigger=1),
-        out_path=f"{root}/out", checkpoint_path=f"{root}/_checkpoint",
-        delay=WATERMARK_DELAY, clock=arrival_clock(),
-    )
-    drain(q, STREAM_TIMEOUT_S)
-    return spark.read.parquet(f"{root}/out").select("transaction_id")
+    log, admitted = _log_files(spark, _log(spark, sf_dir), root)
+    drain(start_dedup_stream(read_log_stream(spark, log, max_per_trigger=admitted), root=f"{root}/out",
+                             checkpoint_path=f"{root}/_checkpoint", delay=WATERMARK_DELAY, clock=arrival_clock()),
+          STREAM_TIMEOUT_S)
+    kept, late = (rows(spark, f"{root}/out").select("transaction_id") for rows in (kept_rows, late_rows))
+    return kept.union(late).distinct()
 
 
 # --------------------------------------------------------------------- runs
 
 
-def _bronze_in_table(spark, sf_dir, name) -> Layout:
-    """Bronze and DLQ tables as two micro-batches would leave them. The log is
-    parsed once; the tagged rows are persisted for the four appends."""
-    tagged = tag_parseable(_bronze(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good, dead = split_tagged(tagged)
-        b0, b1 = _batches(good)
-        d0, d1 = _batches(dead)
-        layout = Layout(scratch_path(spark, name) + "/warehouse")
-        for version, (g, d) in enumerate([(b0, d0), (b1, d1)]):
-            tb.append_once(g, layout.bronze, app_id="bronze", version=version,
-                           partition_by=(BRONZE_PARTITION,))
-            tb.append_once(d, layout.bronze_dlq, app_id="bronze.dlq", version=version,
-                           partition_by=(BRONZE_PARTITION,))
-    finally:
-        tagged.unpersist()
+def _landed_batches(spark, sf_dir, name) -> Layout:
+    """Bronze and dead letters as two micro-batches leave them."""
+    layout = Layout(scratch_path(spark, name) + "/warehouse")
+    good, dead = _good_dead(spark, sf_dir)
+    for rows, table, app in ((good, "bronze", "bronze"), (dead, "bronze_dlq", dead_letters_of("bronze"))):
+        for version, part in enumerate(_batches(rows)):
+            tb.append_once(part, layout.path(table), app_id=app, version=version, partition_by=(BRONZE_PARTITION,))
     return layout
 
 
 def q_refine_summary(spark, sf_dir):
-    layout = _bronze_in_table(spark, sf_dir, "refine_summary")
+    layout = _landed_batches(spark, sf_dir, "refine_summary")
     s = refine(spark, layout, run_id=RUN_ID, checked_at=CHECKED_AT)
     return spark.createDataFrame(
         [(s["run_id"], s["bronze_rows"], s["silver_rows"], s["quarantined_rows"],
@@ -409,21 +382,36 @@ def q_refine_summary(spark, sf_dir):
     )
 
 
-def _compacted(spark, sf_dir, name) -> Layout:
-    layout = _bronze_in_table(spark, sf_dir, name)
-    compact(spark, layout.bronze)
-    return layout
+def q_refine_gate(spark, sf_dir):
+    """A run whose gate trips: what it wrote before it raised."""
+    layout = _landed_batches(spark, sf_dir, "refine_gate")
+    try:
+        refine(spark, layout, run_id=RUN_ID, checked_at=CHECKED_AT, thresholds=threshold_override(GATE_THRESHOLD))
+        raised = False
+    except DataQualityBreach:
+        raised = True
+    checks = layout.read(spark, "dq_results").agg(F.count(F.lit(1)).alias("dq_rows"), F.count_if(~F.col("passed")).alias("failed_checks"))
+    mart = layout.read(spark, "gold").agg(F.count(F.lit(1)).alias("gold_rows"),
+                                          F.coalesce(F.sum("total_amount_minor"), F.lit(0)).cast("long").alias("gold_amount"))
+    return checks.join(mart).withColumn("raised", F.lit(raised))
 
 
 def q_compact_rows(spark, sf_dir):
-    layout = _compacted(spark, sf_dir, "compact_rows")
-    return _out(tb.read_table(spark, layout.bronze))
+    layout = _landed_batches(spark, sf_dir, "compact_rows")
+    out = layout.path("bronze") + "_compacted"
+    tb.compact(spark, layout.path("bronze"), out, schema=BRONZE_SCHEMA, partition_by=(BRONZE_PARTITION,))
+    return _out(tb.read_table(spark, out, BRONZE_SCHEMA))
 
 
 def q_expire_rows(spark, sf_dir):
-    layout = _compacted(spark, sf_dir, "expire_rows")
-    expire(spark, layout.bronze, retain_hours=0, allow_short_retention=True)
-    return _out(tb.read_table(spark, layout.bronze))
+    """A crashed batch leaves a folder without its end mark; a sweep removes it alone."""
+    layout = _landed_batches(spark, sf_dir, "expire_rows")
+    good, _ = _good_dead(spark, sf_dir)
+    crashed = tb.batch_folder(layout.path("bronze"), "bronze", 2)
+    good.write.partitionBy(BRONZE_PARTITION).parquet(crashed)
+    tb.drop_folder(spark, f"{crashed}/{tb.DONE}")
+    tb.sweep(spark, layout.path("bronze"), retain_hours=0)
+    return _out(layout.read(spark, "bronze"))
 
 
 # --------------------------------------------------------------------- log & generator
@@ -475,7 +463,10 @@ def q_offset_gaps(spark, sf_dir):
 
 
 def q_offset_missing(spark, sf_dir):
-    return audit.offset_missing(_log(spark, sf_dir), _landed(spark, sf_dir))
+    log = _log(spark, sf_dir)
+    arrived = log.where(F.col("offset") % 1000 != LOST_OFFSETS)  # the others never land
+    good, dead = split_parseable(to_bronze(arrived, ingested_at=arrival_clock()))
+    return audit.offset_missing(log, audit.landed_positions(good, dead))
 
 
 def q_offset_not_in_bronze(spark, sf_dir):
@@ -484,34 +475,19 @@ def q_offset_not_in_bronze(spark, sf_dir):
 
 
 def q_offset_lost_after_rebatch(spark, sf_dir):
-    """The cleared-checkpoint hazard, replayed through the ledger, and X1 finding it.
+    """The loss that ``ingest`` refuses to risk, forced through the tables, and X1 finding it.
 
-    A first run commits batch 0 (rows ingested before the 16th) and dies. The restart
-    runs on a cleared checkpoint with a larger batch: its batch 0 (before the 21st) is
-    skipped as already applied, its batch 1 lands. Rows ingested from the 16th to the
-    20th never land; the offset audit must report exactly those log positions.
+    A first run lands batch 0 (rows ingested before the 16th) and dies. A restart on a
+    cleared checkpoint draws larger batches: its batch 0 (before the 21st) counts as done,
+    its batch 1 lands. Rows of the 16th to the 20th are lost; the audit reports them.
     """
-    tagged = tag_parseable(_bronze(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good, dead = split_tagged(tagged)
-        layout = Layout(scratch_path(spark, "offset_lost_after_rebatch") + "/warehouse")
-        day = F.col(BRONZE_PARTITION)
-
-        def batch(frame, version, cond):
-            app = "bronze" if frame is good else "bronze.dlq"
-            path = layout.bronze if frame is good else layout.bronze_dlq
-            tb.append_once(frame.where(cond), path, app_id=app, version=version,
-                           partition_by=(BRONZE_PARTITION,))
-
-        for frame in (good, dead):  # first run: batch 0, then the crash
-            batch(frame, 0, day < F.lit(BATCH_SPLIT))
-        for frame in (good, dead):  # restart, cleared checkpoint, bigger batches
-            batch(frame, 0, day < F.lit(REBATCH_SPLIT))
-            batch(frame, 1, day >= F.lit(REBATCH_SPLIT))
-    finally:
-        tagged.unpersist()
-    landed = audit.landed_positions(tb.read_table(spark, layout.bronze),
-                                    tb.read_table(spark, layout.bronze_dlq))
+    layout = Layout(scratch_path(spark, "offset_lost_after_rebatch") + "/warehouse")
+    day = F.col(BRONZE_PARTITION)
+    runs = [(0, day < F.lit(BATCH_SPLIT)), (0, day < F.lit(REBATCH_SPLIT)), (1, day >= F.lit(REBATCH_SPLIT))]
+    for rows, table, app in zip(_good_dead(spark, sf_dir), ("bronze", "bronze_dlq"), ("bronze", dead_letters_of("bronze"))):
+        for version, part in runs:
+            tb.append_once(rows.where(part), layout.path(table), app_id=app, version=version, partition_by=(BRONZE_PARTITION,))
+    landed = audit.landed_positions(layout.read(spark, "bronze"), layout.read(spark, "bronze_dlq"))
     return audit.offset_missing(_log(spark, sf_dir), landed)
 
 
@@ -534,14 +510,14 @@ def q_key_spread(spark, sf_dir):
     return audit.key_spread(good)
 
 
+def q_distinct_counts(spark, sf_dir):
+    return audit.distinct_counts(_good_dead(spark, sf_dir)[0])
+
+
 def q_dlq_replay(spark, sf_dir):
-    _, dead = _good_dead(spark, sf_dir)
-    recovered = audit.replay_dlq(dead)
-    path = _bronze_table(spark, "dlq_replay")
-    for _ in range(2):  # a replayed replay lands once
-        tb.append_once(recovered, path, app_id="replay.event-time-fallback", version=0,
-                       partition_by=(BRONZE_PARTITION,))
-    return _out(tb.read_table(spark, path))
+    recovered = audit.replay_dlq(_good_dead(spark, sf_dir)[1])
+    again = (recovered, "replay.event-time-fallback", 0)  # a replayed replay lands once
+    return _appended(spark, "dlq_replay", again, again)
 
 
 QUERIES: dict[str, Query] = {
@@ -571,8 +547,10 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": q_stream_ingest,
     "stream_crash_replay": q_stream_crash_replay,
     "stream_dlq": q_stream_dlq,
+    "stream_cleared_checkpoint": q_stream_cleared_checkpoint,
     "stream_dedup_watermark": q_stream_dedup_watermark,
     "refine_summary": q_refine_summary,
+    "refine_gate": q_refine_gate,
     "compact_rows": q_compact_rows,
     "expire_rows": q_expire_rows,
     "log_roundtrip": q_log_roundtrip,
@@ -585,5 +563,6 @@ QUERIES: dict[str, Query] = {
     "retry_conflicts": q_retry_conflicts,
     "ingest_lag": q_ingest_lag,
     "key_spread": q_key_spread,
+    "distinct_counts": q_distinct_counts,
     "dlq_replay": q_dlq_replay,
 }

@@ -64,6 +64,22 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared folder."""
-    return f"{shared_dir(spark)}/lakeledger/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/lakeledger/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove every scratch folder this process has named so far; returns how many. For
+    callers that are done with the frames read from them (a frame is lazy, so a folder
+    can't go when its query returns)."""
+    paths, _SCRATCH[:] = list(_SCRATCH), []
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)

@@ -9,9 +9,11 @@ is used; the arithmetic only decides which defect a message carries.
 Fixed values of the fixture (the oracle SQL states the same numbers):
 
 * retried when ``event_id % 20 = 7``; retry offset ``+21``; retry ingest ``ts + 35 s``,
-  original ingest ``ts + 5 s``
-* transaction_id null when ``event_id % 700 = 31``, else ``txn_`` + 12-digit id
-* account_id null when ``event_id % 300 = 17``, else ``acc_`` + 4-digit ``user_id % 200``
+  original ingest ``ts + 5 s``; the retry's amount is one more when ``event_id % 200 = 47``
+* transaction_id null when ``event_id % 700 = 31``, empty when ``event_id % 750 = 71``,
+  else ``txn_`` + 12-digit id
+* account_id null when ``event_id % 300 = 17``, empty when ``event_id % 450 = 19``, else
+  ``acc_`` + 4-digit ``user_id % 200``
 * counterparty_id null when ``event_id % 97 = 13``, else ``acc_`` + 4-digit
   ``(user_id * 7 + event_id) % 200``
 * currency null when ``event_id % 211 = 5``; ``XYZ`` when ``event_id % 50 = 11``;
@@ -20,10 +22,12 @@ Fixed values of the fixture (the oracle SQL states the same numbers):
   ``event_id % 50 = 23``
 * status ``TELEPORTED`` when ``event_id % 101 = 7``; else purchase, click -> SETTLED;
   view -> PENDING; error -> FAILED; signup -> CANCELLED; anything else -> REFUNDED
-* event_time ``"garbage"`` when ``event_id % 900 = 41``; ``ts - 2 h`` when
-  ``event_id % 40 = 3``; else ``ts``
+* event_time ``"garbage"`` when ``event_id % 900 = 41``; ``ts + 3 days`` when
+  ``event_id % 650 = 61``; ``ts`` without a zone when ``event_id % 600 = 59``;
+  ``ts - 2 h`` when ``event_id % 40 = 3``; else ``ts``
 * payload ``{not json`` when ``event_id % 500 = 29``
-* log partition ``user_id % 6``; offset ``event_id * 2 + copy * 21``; broker time ``ts``
+* log partition ``user_id % 6``, one further when ``event_id % 400 = 9``; offset
+  ``event_id * 2 + copy * 21``; broker time ``ts``
 """
 
 from __future__ import annotations
@@ -40,23 +44,8 @@ def _m(k: int, r: int) -> Column:
     return F.pmod(F.col("event_id"), F.lit(k)) == r
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-split input over the cluster's task slots.
-
-    A small file stored as one row group scans as one partition, which would put
-    every JSON encode and parse of the log on one core. A large table already has
-    more splits than slots and is returned unchanged (no shuffle added).
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access keep the scan as it is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def payments_messages(ev: DataFrame) -> DataFrame:
@@ -79,7 +68,8 @@ def payments_messages(ev: DataFrame) -> DataFrame:
     base_amount = F.when(_m(3, 1), F.ceil(F.col("value"))).otherwise(
         F.round(F.col("value") * 100)
     ).cast("long")
-    amount = F.when(_m(50, 23), -base_amount).otherwise(base_amount)
+    signed = F.when(_m(50, 23), -base_amount).otherwise(base_amount)
+    amount = signed + F.when((F.col("copy") == 1) & _m(200, 47), 1).otherwise(0)
     status = (
         F.when(_m(101, 7), F.lit("TELEPORTED"))
         .when(F.col("event_type").isin("purchase", "click"), F.lit("SETTLED"))
@@ -90,17 +80,19 @@ def payments_messages(ev: DataFrame) -> DataFrame:
     )
     event_time_text = (
         F.when(_m(900, 41), F.lit("garbage"))
+        .when(_m(650, 61), iso_instant(ts + F.expr("INTERVAL 3 DAYS")))
+        .when(_m(600, 59), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
         .when(_m(40, 3), iso_instant(ts - F.expr("INTERVAL 2 HOURS")))
         .otherwise(iso_instant(ts))
     )
-    return ev.select(
+    return ev.select("*", F.explode(copies).alias("copy")).select(
         eid.alias("event_id"),
         ts.alias("ts"),
-        F.explode(copies).alias("copy"),
-        F.when(_m(700, 31), F.lit(None).cast("string"))
+        "copy",
+        F.when(_m(700, 31), F.lit(None).cast("string")).when(_m(750, 71), F.lit(""))
         .otherwise(F.concat(F.lit("txn_"), F.lpad(eid.cast("string"), 12, "0")))
         .alias("transaction_id"),
-        F.when(_m(300, 17), F.lit(None).cast("string"))
+        F.when(_m(300, 17), F.lit(None).cast("string")).when(_m(450, 19), F.lit(""))
         .otherwise(F.concat(F.lit("acc_"), F.lpad(F.pmod(uid, F.lit(200)).cast("string"), 4, "0")))
         .alias("account_id"),
         F.when(_m(97, 13), F.lit(None).cast("string"))
@@ -117,7 +109,7 @@ def payments_messages(ev: DataFrame) -> DataFrame:
         event_time_text.alias("event_time"),
         iso_instant(ts).alias("ingest_time"),
         _m(500, 29).alias("not_json"),
-        F.pmod(uid, F.lit(6)).cast("int").alias("partition"),
+        F.pmod(uid + F.when(_m(400, 9), 1).otherwise(0), F.lit(6)).cast("int").alias("partition"),
     )
 
 

@@ -61,74 +61,44 @@ def read_log_stream(
     return reader.parquet(path)
 
 
-def keyed_log(
-    payloads: DataFrame,
-    *,
-    topic: str = RAW_TOPIC,
-    partitions: int = LOG_PARTITIONS,
-    sequence: str = "seq",
-    timestamp: str = "produced",
-) -> DataFrame:
-    """Log rows for payloads carrying ``account_id``, ``value``, a unique increasing
-    ``sequence`` and a ``timestamp`` column.
-
-    key = account bytes (none for a record without one); partition = hash of the key
-    (of the sequence when keyless), so one account stays on one partition; offset =
-    the sequence id, unique and increasing within a partition but not dense.
-    """
-    key = kafka_key("account_id")
-    part = F.pmod(F.coalesce(F.hash(key), F.hash(F.col(sequence))), F.lit(partitions))
+def _log_rows(payloads: DataFrame, key, topic: str, partitions: int, sequence: str, timestamp: str) -> DataFrame:
+    """partition = hash of the key (of the sequence without one), so one account stays on
+    one partition; offset = the sequence id: unique, increasing, not dense."""
+    dealt = F.pmod(F.when(key.isNull(), F.hash(F.col(sequence))).otherwise(F.hash(key)), F.lit(partitions))
     return payloads.select(
-        key.alias("key"),
-        F.col("value"),
-        F.lit(topic).alias("topic"),
-        part.cast("int").alias("partition"),
-        F.col(sequence).cast("long").alias("offset"),
-        F.col(timestamp).cast("timestamp").alias("timestamp"),
-    )
+        key.alias("key"), "value", F.lit(topic).alias("topic"), dealt.cast("int").alias("partition"),
+        F.col(sequence).cast("long").alias("offset"), F.col(timestamp).cast("timestamp").alias("timestamp"))
 
 
-def write_log(
-    log: DataFrame,
-    path: str | None = None,
-    *,
-    bootstrap_servers: str | None = None,
-    topic: str = RAW_TOPIC,
-    files: int | None = None,
-) -> int:
-    """Publish log rows (S10); returns the delivered count.
-
-    To Kafka when a broker is given (key/value/topic columns); otherwise appended
-    as Parquet files range-partitioned on (partition, offset): each file holds a
-    contiguous, ascending offset run, and a large partition spreads over many files
-    instead of one task. ``files`` fixes the file count (default: the session's
-    shuffle partitions, coalesced by AQE).
-    The count comes from an Observation on the write itself, not a second job.
-    """
-    obs = Observation("log_write")
-    count = F.count(F.lit(1)).alias("rows")
+def keyed_log(payloads: DataFrame, *, topic: str = RAW_TOPIC, partitions: int = LOG_PARTITIONS, sequence: str = "seq",
+              timestamp: str = "produced") -> DataFrame:
+    """Log rows of model messages: keyed by their account (none: no key)."""
+    return _log_rows(payloads, kafka_key("account_id"), topic, partitions, sequence, timestamp)
+
+
+def keyless_log(payloads: DataFrame, *, topic: str = RAW_TOPIC, partitions: int = LOG_PARTITIONS, sequence: str = "seq",
+                timestamp: str = "produced") -> DataFrame:
+    """Log rows of raw payload bytes from an untrusted producer: no key is read out of
+    them, so they spread over all partitions."""
+    return _log_rows(payloads, F.lit(None).cast("binary"), topic, partitions, sequence, timestamp)
+
+
+def write_log(log: DataFrame, path: str | None = None, *, bootstrap_servers: str | None = None, topic: str = RAW_TOPIC,
+              max_records_per_file: int | None = None) -> int:
+    """Publish log rows (S10); returns the delivered count, observed on the write itself.
+
+    To Kafka when a broker is given (key and value columns). Otherwise Parquet files are
+    appended as the tasks of ``log`` hold the rows, in the order of arrival inside each
+    task: no exchange, and the input is evaluated once. File count follows the data;
+    ``max_records_per_file`` cuts larger ones (a file is what a file stream admits)."""
+    if not bootstrap_servers and path is None:
+        raise ValueError("a file log needs a path")
+    seen = Observation("log_write")
+    rows = log.observe(seen, F.count(F.lit(1)).alias("rows"))
     if bootstrap_servers:
-        (
-            log.observe(obs, count).select("key", "value")
-            .write.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("topic", topic)
-            .save()
-        )
+        writer = rows.select("key", "value").write.format("kafka")
+        writer.option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save()
     else:
-        if path is None:
-            raise ValueError("a file log needs a path")
-        ranged = (
-            log.repartitionByRange(files, "partition", "offset")
-            if files
-            else log.repartitionByRange("partition", "offset")
-        )
-        # Observed above the exchange: the range partitioner's sampling pass runs the
-        # plan below it and must not add to the count.
-        (
-            ranged.observe(obs, count)
-            .sortWithinPartitions("partition", "offset")
-            .write.mode("append")
-            .parquet(path)
-        )
-    return int(obs.get["rows"])
+        writer = rows.sortWithinPartitions("timestamp", "partition", "offset").write.mode("append")
+        (writer.option("maxRecordsPerFile", max_records_per_file) if max_records_per_file else writer).parquet(path)
+    return int(seen.get["rows"])

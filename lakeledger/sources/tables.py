@@ -1,454 +1,147 @@
-"""Idempotent Parquet tables: Spark writes the rows, a tiny ledger names the live dirs.
-
-Layout of one table::
-
-    <table>/data/commit=<id>/[<col>=<value>/]part-*.parquet
-    <table>/_manifests/<20-digit n>.json
-
-Each manifest is a full snapshot: ``{n, committed_at, operation, schema,
-partition_by, live, txn, tombstones}``. ``live`` lists the directories a reader
-scans (partition directories for partitioned tables, so one date can be replaced
-without touching the rest of its commit); ``txn`` is the highest committed version
-per application id; ``tombstones`` are directories dropped from ``live`` and not yet
-expired. All row work (write, read, rewrite) is a Spark job; the ledger only holds
-directory names, so its size follows the number of live partitions, which
-compaction keeps small.
-
-Contract (single writer per table, as the daily sequence runs one step at a time):
-
-* ``append_once`` writes at most once per ``(app_id, version)``: any version at or
-  below the highest committed for that app id is skipped without running a job; a
-  new app id writes again.
-* ``replace_all`` swaps the whole table, schema included.
-* ``replace_partitions`` swaps the named partition values; a target with no new
-  rows drops out of the table, the way a predicate-scoped overwrite does.
-* A crash before the manifest is published leaves a directory nobody reads; the
-  replay of an ``append_once`` overwrites it, anything else is swept by ``expire``.
-
-Object stores without atomic rename weaken the publish step; documented limit.
+"""Tables as plain Parquet folders, written by Spark's own writers.
+
+Three shapes, none with metadata of its own:
+
+* **batch tables** (bronze, dead letters): ``app_id=<app>/batch_id=<n>/[<part>=<v>/]``. A
+  batch is one overwrite of its own folder, so writing it again after a crash replaces
+  what the crash left; a batch whose folder holds ``_SUCCESS`` is complete and never
+  written again. One existence check per write, whatever the number of batches.
+* **whole tables** (silver, quarantine): overwritten by each run.
+* **partition tables** (gold, DQ rows): dynamic partition overwrite of the targeted
+  values; a target without new rows is dropped by name.
+
+``write_format`` passes through to the writers, so a table format on the classpath
+(one with atomic overwrites) can take Parquet's place. With bare Parquet a reader may
+see a folder while it is being overwritten; the daily sequence runs one step at a time.
 """
 
 from __future__ import annotations
 
-import json
 import re
-import uuid
-from collections.abc import Iterable, Sequence
-from dataclasses import asdict, dataclass, field
-from datetime import UTC, date, datetime
-from urllib.parse import unquote
+import time
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeledger.sources.storage import Storage
-
-DATA = "data"
-MANIFESTS = "_manifests"
-COMMIT_COLUMN = "commit"
+APP, BATCH = "app_id", "batch_id"
+DONE = "_SUCCESS"
 
 
 class TableNotFound(FileNotFoundError):
     pass
 
 
-class SchemaMismatch(ValueError):
-    pass
-
-
-@dataclass
-class Manifest:
-    n: int
-    committed_at: str
-    operation: str
-    schema: dict
-    partition_by: list[str]
-    live: list[str]
-    txn: dict[str, int] = field(default_factory=dict)
-    tombstones: list[dict] = field(default_factory=list)
-    settings: dict = field(default_factory=dict)
-
-    @property
-    def struct(self) -> T.StructType:
-        return T.StructType.fromJson(self.schema)
-
-
-def _now_iso() -> str:
-    return datetime.now(UTC).isoformat()
-
-
-def _safe(token: str) -> str:
-    return re.sub(r"[^A-Za-z0-9._-]", lambda m: f"_{ord(m.group()):x}_", token)
-
-
-def _norm_value(v) -> str:
-    if isinstance(v, datetime):
-        return v.isoformat()
-    if isinstance(v, date):
-        return v.isoformat()
-    return str(v)
-
-
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+def _at(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-# --------------------------------------------------------------------------- ledger
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _at(spark, path)
+    return fs.exists(place)
 
 
-def _manifest_dir(path: str) -> str:
-    return f"{path.rstrip('/')}/{MANIFESTS}"
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, place = _at(spark, path)
+    fs.delete(place, True)
 
 
-def manifest_history(spark: SparkSession, path: str) -> list[int]:
-    """Every manifest number on disk (a full listing: expiry and recovery only)."""
-    names = [e.name for e in Storage(spark).ls(_manifest_dir(path)) if e.name.endswith(".json")]
-    return sorted(int(n[: -len(".json")]) for n in names if not n.startswith((".", "_")))
+def _listed(spark: SparkSession, pattern: str) -> list:
+    """Folder entries that match (one listing call)."""
+    fs, place = _at(spark, pattern)
+    return list(fs.globStatus(place) or [])
 
 
-LAST = "_last"
+def batch_folder(path: str, app_id: str, version: int | str) -> str:
+    """ASCII signs are escaped the way Spark reads partition names (%XX, the per cent sign
+    included), so no two app ids share a folder."""
+    name = re.sub(r"[^\w. -]", lambda m: f"%{ord(m[0]):02X}" if m[0].isascii() else m[0], app_id)
+    return f"{path.rstrip('/')}/{APP}={name}/{BATCH}={version}"
 
 
-def _manifest_file(path: str, n: int) -> str:
-    return f"{_manifest_dir(path)}/{n:020d}.json"
-
-
-def _latest_number(spark: SparkSession, path: str) -> int | None:
-    """Newest manifest number: start from the ``_last`` hint (O(1) calls) and probe
-    forward, since a writer that died after publishing may not have moved the hint;
-    list the folder only when there is no usable hint."""
-    store = Storage(spark)
-    hint = None
-    try:
-        hint = int(store.read_text(f"{_manifest_dir(path)}/{LAST}").strip())
-    except Exception:  # no hint yet, or one caught mid-write
-        hint = None
-    if hint is None or not store.exists(_manifest_file(path, hint)):
-        history = manifest_history(spark, path)
-        return history[-1] if history else None
-    n = hint
-    while store.exists(_manifest_file(path, n + 1)):
-        n += 1
-    return n
-
-
-def latest_manifest(spark: SparkSession, path: str) -> Manifest | None:
-    n = _latest_number(spark, path)
-    if n is None:
-        return None
-    return Manifest(**json.loads(Storage(spark).read_text(_manifest_file(path, n))))
-
-
-def require_manifest(spark: SparkSession, path: str) -> Manifest:
-    m = latest_manifest(spark, path)
-    if m is None:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, *, batches: bool = False,
+               read_format: str = "parquet") -> DataFrame:
+    """The table's rows. With ``schema`` (declared columns) nothing is inferred: columns a
+    part of the table lacks read as null, partition values take their declared type.
+    ``batches`` keeps the app id and batch id columns of a batch table."""
+    if not exists(spark, path):
         raise TableNotFound(path)
-    return m
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return latest_manifest(spark, path) is not None
+    reader = spark.read.format(read_format)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(APP, T.StringType()), T.StructField(BATCH, T.LongType())])
+                               if _listed(spark, f"{path}/{APP}=*") else schema)
+    df = reader.load(path)
+    return df if batches else df.drop(APP, BATCH)
+
+
+def _rebalanced(df: DataFrame, partition_by: Iterable[str]) -> DataFrame:
+    """Rows of a partition value together, a hot value split by AQE: no small files and no
+    overloaded writer."""
+    by = list(partition_by)
+    return df.hint("rebalance", *by) if by else df
+
+
+def append_once(df: DataFrame, path: str, *, app_id: str, version: int, partition_by: Iterable[str] = (),
+                write_format: str = "parquet") -> bool:
+    """Write batch ``version`` of ``app_id``, at most once; False if it is there already."""
+    spark, folder = df.sparkSession, batch_folder(path, app_id, version)
+    if exists(spark, f"{folder}/{DONE}"):
+        return False
+    df.write.format(write_format).mode("overwrite").partitionBy(*partition_by).save(folder)
+    return True
 
 
-def _publish(spark: SparkSession, path: str, m: Manifest) -> None:
-    store = Storage(spark)
-    mdir = _manifest_dir(path)
-    store.mkdirs(mdir)
-    tmp = f"{mdir}/.tmp-{uuid.uuid4().hex}"
-    store.write_text(tmp, json.dumps(asdict(m), sort_keys=True))
-    store.publish(tmp, _manifest_file(path, m.n))
-    # A hint only: readers verify it and probe forward, so a lost update is harmless.
-    store.write_text(f"{mdir}/{LAST}", str(m.n), overwrite=True)
+def holds_batches(spark: SparkSession, path: str, app_id: str) -> bool:
+    return bool(_listed(spark, f"{batch_folder(path, app_id, '*')}/{DONE}"))
 
 
-def _next(prev: Manifest | None, **changes) -> Manifest:
-    base = dict(
-        n=(prev.n + 1) if prev else 0,
-        committed_at=_now_iso(),
-        operation="",
-        schema=prev.schema if prev else {},
-        partition_by=list(prev.partition_by) if prev else [],
-        live=list(prev.live) if prev else [],
-        txn=dict(prev.txn) if prev else {},
-        tombstones=list(prev.tombstones) if prev else [],
-        settings=dict(prev.settings) if prev else {},
-    )
-    base.update(changes)
-    return Manifest(**base)
+def append(df: DataFrame, path: str, *, partition_by: Iterable[str] = (), write_format: str = "parquet") -> None:
+    """Plain append. Columns may be added over time; readers pass the widest schema."""
+    df.write.format(write_format).mode("append").partitionBy(*partition_by).save(path)
 
 
-def commit_manifest(spark: SparkSession, path: str, prev: Manifest | None, **changes) -> Manifest:
-    """Publish the snapshot that follows ``prev`` with ``changes`` applied."""
-    m = _next(prev, **changes)
-    _publish(spark, path, m)
-    return m
-
-
-# --------------------------------------------------------------------------- reads
-
-
-def live_paths(path: str, m: Manifest) -> list[str]:
-    root = path.rstrip("/")
-    return [f"{root}/{rel}" for rel in m.live]
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Latest snapshot as a DataFrame. Partition columns prune like any Parquet table."""
-    m = require_manifest(spark, path)
-    schema = _nullable(m.struct)
-    if not m.live:
-        return spark.createDataFrame([], schema)
-    read_schema = T.StructType(schema.fields + [T.StructField(COMMIT_COLUMN, T.StringType())])
-    df = (
-        spark.read.schema(read_schema)
-        .option("basePath", f"{path.rstrip('/')}/{DATA}")
-        .parquet(*live_paths(path, m))
-    )
-    return df.select(*schema.fieldNames())
-
-
-def table_settings(spark: SparkSession, path: str) -> dict:
-    m = latest_manifest(spark, path)
-    return {} if m is None else dict(m.settings)
-
-
-def record_settings(spark: SparkSession, path: str, **values) -> None:
-    """Store writer settings in the ledger (new snapshot only when they change)."""
-    m = require_manifest(spark, path)
-    merged = {**m.settings, **values}
-    if merged != m.settings:
-        commit_manifest(spark, path, m, operation="settings", settings=merged)
-
-
-def table_schema(spark: SparkSession, path: str) -> T.StructType:
-    return require_manifest(spark, path).struct
-
-
-def committed_version(spark: SparkSession, path: str, app_id: str) -> int:
-    m = latest_manifest(spark, path)
-    return -1 if m is None else int(m.txn.get(app_id, -1))
-
-
-def input_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files the latest snapshot reads (Spark's own file index lists them)."""
-    m = require_manifest(spark, path)
-    if not m.live:
-        return []
-    return list(read_table(spark, path).inputFiles())
-
-
-def file_count(spark: SparkSession, path: str) -> int:
-    """Number of data files in the latest snapshot: one summary call per live dir."""
-    m = require_manifest(spark, path)
-    store = Storage(spark)
-    return sum(store.summary(p)[0] for p in live_paths(path, m))
-
-
-def partition_value(rel_dir: str, column: str) -> str | None:
-    for segment in rel_dir.split("/"):
-        if segment.startswith(f"{column}="):
-            return unquote(segment[len(column) + 1 :])
-    return None
-
-
-def live_partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Distinct values of a partition column, from the ledger alone (no job)."""
-    m = latest_manifest(spark, path)
-    if m is None:
-        return []
-    vals = {partition_value(rel, column) for rel in m.live}
-    return sorted(v for v in vals if v is not None)
-
-
-# --------------------------------------------------------------------------- writes
-
-
-def _merged_schema(
-    current: T.StructType | None, incoming: T.StructType, *, merge: bool, replace: bool
-) -> T.StructType:
-    incoming = _nullable(incoming)
-    if current is None or replace:
-        return incoming
-    current = _nullable(current)
-    known = {f.name: f for f in current.fields}
-    extra = []
-    for f in incoming.fields:
-        if f.name in known:
-            if known[f.name].dataType != f.dataType:
-                raise SchemaMismatch(
-                    f"column {f.name}: table has {known[f.name].dataType.simpleString()}, "
-                    f"write has {f.dataType.simpleString()}"
-                )
-        else:
-            extra.append(f)
-    if extra and not merge:
-        raise SchemaMismatch(
-            f"write adds columns {[f.name for f in extra]}; pass merge_schema=True to evolve"
-        )
-    return T.StructType(current.fields + extra)
-
-
-def _new_dirs(spark: SparkSession, path: str, commit_rel: str, depth: int) -> list[str]:
-    """Leaf directories of one commit: the commit itself, or its partition dirs."""
-    store = Storage(spark)
-    root = path.rstrip("/")
-    level = [commit_rel]
-    for _ in range(depth):
-        nxt = []
-        for rel in level:
-            for e in store.ls(f"{root}/{rel}"):
-                if e.is_dir and not e.name.startswith(("_", ".")):
-                    nxt.append(f"{rel}/{e.name}")
-        level = nxt
-    if depth == 0:
-        return [commit_rel] if store.has_data_file(f"{root}/{commit_rel}") else []
-    return sorted(level)
-
-
-def _write_commit(
-    df: DataFrame,
-    path: str,
-    commit_id: str,
-    partition_by: Sequence[str],
-    *,
-    rebalance: bool = True,
-) -> str:
-    """Write one commit directory. A partitioned rewrite is rebalanced on its
-    partition columns first: AQE packs small partitions together and splits a hot
-    one, so each value lands in a few well-sized files instead of one per task.
-    Appends skip it: a micro-batch mostly holds one ingest date, so its tasks already
-    write one file each, and an extra shuffle per batch would double ingest I/O;
-    compaction merges what stays small."""
-    rel = f"{DATA}/{COMMIT_COLUMN}={commit_id}"
-    if partition_by and rebalance:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path.rstrip('/')}/{rel}")
-    return rel
-
-
-def _ordered(df: DataFrame, schema: T.StructType) -> DataFrame:
-    present = set(df.columns)
-    return df.select(*[c for c in schema.fieldNames() if c in present])
-
-
-def _tombstones(dirs: Iterable[str]) -> list[dict]:
-    stamp = _now_iso()
-    return [{"dir": d, "removed_at": stamp} for d in dirs]
-
-
-def append_once(
-    df: DataFrame,
-    path: str,
-    *,
-    app_id: str,
-    version: int,
-    partition_by: Sequence[str] = (),
-    merge_schema: bool = False,
-) -> bool:
-    """Append ``df`` unless ``version`` <= the highest committed for ``app_id``.
-
-    Returns True when rows were committed, False when the write was skipped. The
-    commit directory is named after (app_id, version), so the replay of a write that
-    crashed before its manifest overwrites the orphan instead of adding to it.
-    """
-    spark = df.sparkSession
-    prev = latest_manifest(spark, path)
-    if prev is not None and version <= int(prev.txn.get(app_id, -1)):
-        return False
-    pb = list(prev.partition_by) if prev is not None else list(partition_by)
-    if prev is not None and partition_by and list(partition_by) != pb:
-        raise SchemaMismatch(f"table is partitioned by {pb}, write asks for {list(partition_by)}")
-    schema = _merged_schema(prev.struct if prev else None, df.schema, merge=merge_schema, replace=False)
-    rel = _write_commit(_ordered(df, schema), path, f"t-{_safe(app_id)}-v{version}", pb,
-                        rebalance=False)
-    new = _new_dirs(spark, path, rel, len(pb))
-    txn = dict(prev.txn) if prev else {}
-    txn[app_id] = int(version)
-    live = [d for d in (prev.live if prev else []) if d not in new] + new
-    commit_manifest(
-        spark, path, prev, operation="append_once", schema=json.loads(schema.json()),
-        partition_by=pb, live=live, txn=txn,
-    )
-    return True
+def replace_all(df: DataFrame, path: str, *, partition_by: Iterable[str] = (), write_format: str = "parquet") -> None:
+    """The table becomes ``df``, columns included. ``df`` must not read from ``path``."""
+    _rebalanced(df, partition_by).write.format(write_format).mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy(*partition_by).save(path)
 
 
-def append(
-    df: DataFrame, path: str, *, partition_by: Sequence[str] = (), merge_schema: bool = False
-) -> None:
-    """Plain append (not idempotent): one new commit directory."""
-    spark = df.sparkSession
-    prev = latest_manifest(spark, path)
-    pb = list(prev.partition_by) if prev is not None else list(partition_by)
-    schema = _merged_schema(prev.struct if prev else None, df.schema, merge=merge_schema, replace=False)
-    n = prev.n + 1 if prev else 0
-    rel = _write_commit(_ordered(df, schema), path, f"a{n:012d}-{uuid.uuid4().hex[:8]}", pb,
-                        rebalance=False)
-    new = _new_dirs(spark, path, rel, len(pb))
-    commit_manifest(
-        spark, path, prev, operation="append", schema=json.loads(schema.json()),
-        partition_by=pb, live=(prev.live if prev else []) + new,
-    )
-
-
-def replace_all(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
-    """Replace every row and the schema. Never writes over files being read."""
-    spark = df.sparkSession
-    prev = latest_manifest(spark, path)
-    schema = _merged_schema(None, df.schema, merge=True, replace=True)
-    n = prev.n + 1 if prev else 0
-    rel = _write_commit(df, path, f"r{n:012d}-{uuid.uuid4().hex[:8]}", list(partition_by))
-    new = _new_dirs(spark, path, rel, len(partition_by))
-    old = prev.live if prev else []
-    commit_manifest(
-        spark, path, prev, operation="replace_all", schema=json.loads(schema.json()),
-        partition_by=list(partition_by), live=new,
-        tombstones=(prev.tombstones if prev else []) + _tombstones(old),
-    )
-
-
-def replace_partitions(
-    df: DataFrame,
-    path: str,
-    *,
-    column: str,
-    values: Iterable | None,
-    merge_schema: bool = False,
-) -> list[str]:
-    """Atomically replace the partitions ``column IN values``.
-
-    Rows outside the target values fail the write (nothing is silently dropped). A
-    target value with no new rows leaves the table. With no values, the whole table
-    is replaced. Returns the sorted target values as strings.
-    """
+def replace_partitions(df: DataFrame, path: str, *, column: str, values: Iterable, present: Iterable | None = None,
+                       write_format: str = "parquet") -> None:
+    """Replace the partitions ``values`` of ``column`` by the rows of ``df`` (which holds no
+    others). Targets that ``df`` has no rows for leave the table; ``present`` names those
+    it has rows for, where the caller knows them (else they are counted)."""
     spark = df.sparkSession
-    targets = sorted({_norm_value(v) for v in (values or [])})
-    prev = latest_manifest(spark, path)
-    if not targets:
-        replace_all(df, path, partition_by=[column])
-        return []
-    if prev is not None and prev.partition_by[:1] != [column]:
-        raise SchemaMismatch(f"table is partitioned by {prev.partition_by}, not {column}")
-    schema = _merged_schema(prev.struct if prev else None, df.schema, merge=merge_schema, replace=False)
-    guarded = df.withColumn(
-        column,
-        F.when(F.col(column).cast("string").isin(targets), F.col(column)).otherwise(
-            F.raise_error(F.concat(F.lit(f"row outside the replaced {column} set: "), F.col(column).cast("string")))
-        ),
-    )
-    n = prev.n + 1 if prev else 0
-    pb = list(prev.partition_by) if prev else [column]
-    rel = _write_commit(_ordered(guarded, schema), path, f"p{n:012d}-{uuid.uuid4().hex[:8]}", pb)
-    new = _new_dirs(spark, path, rel, len(pb))
-    old = prev.live if prev else []
-    dropped = [d for d in old if partition_value(d, column) in set(targets)]
-    kept = [d for d in old if d not in set(dropped)]
-    commit_manifest(
-        spark, path, prev, operation="replace_partitions", schema=json.loads(schema.json()),
-        partition_by=pb, live=kept + new,
-        tombstones=(prev.tombstones if prev else []) + _tombstones(dropped),
-    )
-    return targets
+    if present is None:
+        present = [r[0] for r in df.select(F.col(column).cast("string")).distinct().collect()]
+    _rebalanced(df, [column]).write.format(write_format).mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(column).save(path)
+    vanished = {str(v) for v in values} - {str(v) for v in present}
+    for value in sorted(vanished & set(partition_values(spark, path, column))):
+        drop_folder(spark, f"{path}/{column}={value}")
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values the table holds (one listing)."""
+    return sorted(s.getPath().getName().partition("=")[2] for s in _listed(spark, f"{path}/{column}=*"))
+
+
+def compact(spark: SparkSession, path: str, out: str, *, schema: T.StructType | None = None, partition_by: Iterable[str] = ()) -> int:
+    """Rows of a table in files of the advisory size, as a new table ``out``; returns its
+    row count. Who reads the table switches to ``out``; the old one can then go."""
+    replace_all(read_table(spark, path, schema), out, partition_by=partition_by)
+    return read_table(spark, out, schema).count()
+
+
+def sweep(spark: SparkSession, path: str, *, retain_hours: float) -> list[str]:
+    """Remove batch folders that a crash left incomplete, once they are older than
+    ``retain_hours`` (a running writer's folder is younger). Two listings."""
+    done = {s.getPath().getParent().toString() for s in _listed(spark, f"{path}/{APP}=*/{BATCH}=*/{DONE}")}
+    limit = (time.time() - 3600 * retain_hours) * 1000
+    gone = [s.getPath().toString() for s in _listed(spark, f"{path}/{APP}=*/{BATCH}=*")
+            if s.getPath().toString() not in done and s.getModificationTime() <= limit]
+    for folder in gone:
+        drop_folder(spark, folder)
+    return gone

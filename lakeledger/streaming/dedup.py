@@ -1,47 +1,86 @@
-"""Streaming dedup bounded by a watermark (W3).
+"""Streaming dedup bounded by a watermark, with the late rows kept apart (W3).
 
-Keeps the first copy of each transaction id seen within the watermark horizon;
-state for an id is dropped once the watermark passes its event time, so state
-size follows the arrival rate times the horizon, not the history of the log.
+Spark's own ``dropDuplicatesWithinWatermark`` drops rows behind the watermark without a
+trace. Here each micro-batch is deduplicated against what was kept within the horizon,
+and every row behind it goes to a second output, so kept and late together hold every
+id of the log.
+
+The watermark of a batch is the newest event time of the *earlier* batches minus the
+delay (events ahead of their producer's clock do not move it). The kept table is
+partitioned by event date: the state a batch reads is the partitions at or after the
+watermark's date, older ones are evicted by pruning, not rewritten. A batch run again
+sees the same earlier batches, so it decides the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeledger.operators.bronze import split_parseable, to_bronze
+from lakeledger.operators.silver import deduplicate
+from lakeledger.schemas import BRONZE_SCHEMA, GOLD_PARTITION
+from lakeledger.sources.tables import BATCH, append_once, exists, read_table
+from lakeledger.streaming.ingest import start
+
+APP_ID = "dedup"
+DATED = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(GOLD_PARTITION, T.DateType())])
+NEWEST = T.StructType([T.StructField("newest", T.TimestampType())])
 
 
-def dedup_within_watermark(
-    good: DataFrame, *, delay: str = "1 hour", key: str = "transaction_id"
-) -> DataFrame:
+def dedup_within_watermark(good: DataFrame, *, delay: str, key: str = "transaction_id") -> DataFrame:
+    """Spark's stateful form, for plans that accept its silent drop of late rows."""
     return good.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
 
 
-def start_dedup_stream(
-    raw: DataFrame,
-    *,
-    out_path: str,
-    checkpoint_path: str,
-    delay: str = "1 hour",
-    clock=None,
-) -> StreamingQuery:
-    """log stream -> bronze (good rows) -> watermark dedup -> Parquet file sink.
-
-    The file sink commits each batch through its own metadata log, so a replayed
-    batch is not written twice. Without an explicit clock the ingest stamp is
-    ``current_timestamp()``, which Structured Streaming fixes once per micro-batch.
-    """
-    stamp = clock if clock is not None else F.current_timestamp()
-    good, _ = split_parseable(to_bronze(raw, ingested_at=stamp))
-    return (
-        dedup_within_watermark(good, delay=delay)
-        .writeStream.format("parquet")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+def watermark(spark: SparkSession, root: str, batch_id: int, delay: str) -> datetime | None:
+    """Newest event time of the batches before ``batch_id``, less ``delay``."""
+    if not exists(spark, f"{root}/newest"):
+        return None
+    seen = read_table(spark, f"{root}/newest", NEWEST, batches=True).where(F.col(BATCH) < batch_id)
+    return seen.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).alias("w")).first()["w"]
+
+
+def dedup_batch(batch: DataFrame, batch_id: int, *, root: str, delay: str, clock=None) -> None:
+    """Write the batch's first copies under ``root``/kept and its late rows under
+    ``root``/late."""
+    spark = batch.sparkSession
+    good, _ = split_parseable(to_bronze(batch, ingested_at=F.current_timestamp() if clock is None else clock))
+    rows = good.withColumn(GOLD_PARTITION, F.to_date("event_time")).persist(StorageLevel.DISK_ONLY)
+    try:
+        behind = watermark(spark, root, batch_id, delay)
+        late = rows.where(F.lit(False)) if behind is None else rows.where(F.col("event_time") < F.lit(behind))
+        timely = rows if behind is None else rows.where(F.col("event_time") >= F.lit(behind))
+        first = deduplicate(timely)
+        if behind is not None and exists(spark, f"{root}/kept"):
+            state = (read_table(spark, f"{root}/kept", DATED, batches=True)
+                     .where((F.col(BATCH) < batch_id) & (F.col(GOLD_PARTITION) >= F.to_date(F.lit(behind)))
+                            & (F.col("event_time") >= F.lit(behind))))
+            first = first.join(state.select("transaction_id"), "transaction_id", "left_anti").select(*rows.columns)
+        newest = rows.where("event_time <= kafka_timestamp").agg(F.max("event_time").alias("newest")).where("newest IS NOT NULL")
+        append_once(first, f"{root}/kept", app_id=APP_ID, version=batch_id, partition_by=(GOLD_PARTITION,))
+        append_once(late, f"{root}/late", app_id=APP_ID, version=batch_id, partition_by=(GOLD_PARTITION,))
+        append_once(newest, f"{root}/newest", app_id=APP_ID, version=batch_id)
+    finally:
+        rows.unpersist()
+
+
+def start_dedup_stream(raw: DataFrame, *, root: str, checkpoint_path: str, delay: str, clock=None,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """log stream -> first copies in ``root``/kept, rows behind the watermark in
+    ``root``/late."""
+    return start(raw, lambda batch, batch_id: dedup_batch(batch, batch_id, root=root, delay=delay, clock=clock),
+                 checkpoint_path=checkpoint_path, trigger=trigger or {"availableNow": True})
+
+
+def kept_rows(spark: SparkSession, root: str) -> DataFrame:
+    return read_table(spark, f"{root}/kept", DATED)
+
+
+def late_rows(spark: SparkSession, root: str) -> DataFrame:
+    return read_table(spark, f"{root}/late", DATED)

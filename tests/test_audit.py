@@ -7,6 +7,7 @@ from datetime import UTC, datetime
 from pyspark.sql import functions as F
 
 from lakeledger.operators.audit import (
+    distinct_counts,
     ingest_lag,
     key_spread,
     offset_gaps,
@@ -16,7 +17,7 @@ from lakeledger.operators.audit import (
     retry_report,
 )
 from lakeledger.operators.bronze import split_parseable, to_bronze
-from rows import bronze_frame, bronze_row, log_frame
+from rows import landed, later, log_of
 
 
 def _positions(spark, triples):
@@ -61,31 +62,24 @@ def test_offset_missing_and_reconcile(spark):
 
 
 def test_retry_report_flags_conflicting_copies(spark):
-    rows = [
-        bronze_row(0, transaction_id="same"), bronze_row(1, transaction_id="same"),
-        bronze_row(2, transaction_id="diff", amount_minor=1, kafka_partition=1),
-        bronze_row(3, transaction_id="diff", amount_minor=2, kafka_partition=0),
-        bronze_row(4, transaction_id="nulls", counterparty_id=None),
-        bronze_row(5, transaction_id="nulls", counterparty_id="acc_0002"),
-        bronze_row(6, transaction_id="single"),
-    ]
-    rep = {r.transaction_id: r for r in retry_report(bronze_frame(spark, rows)).collect()}
-    assert set(rep) == {"same", "diff", "nulls"}
-    assert rep["same"].conflicting is False
-    assert rep["diff"].conflicting is True
-    assert rep["nulls"].conflicting is True
-    assert (rep["diff"].copies, rep["diff"].versions) == (2, 2)
-    assert (rep["same"].copies, rep["same"].versions) == (2, 1)
-
-
-def test_key_spread_and_ingest_lag(spark):
-    rows = [bronze_row(0, account_id="a", kafka_partition=0),
-            bronze_row(1, account_id="a", kafka_partition=4),
-            bronze_row(2, account_id="b", kafka_partition=1)]
-    spread = key_spread(bronze_frame(spark, rows)).collect()
-    assert [(r.account_id, r.partitions, r.messages) for r in spread] == [("a", 2, 2)]
-    lag = ingest_lag(bronze_frame(spark, rows)).collect()
-    assert {r.max_lag_seconds for r in lag} == {5.0}
+    sent = [{"transaction_id": t, "amount_minor": a, "counterparty_id": c} for t, a, c in (
+        ("same", 5, "bob"), ("same", 5, "bob"), ("diff", 1, "bob"), ("diff", 2, "bob"), ("nulls", 5, None), ("nulls", 5, "bob"),
+        ("single", 5, "bob"))]
+    got = {r.transaction_id: (r.copies, r.versions, r.conflicting) for r in retry_report(landed(spark, *sent)).collect()}
+    assert got == {"same": (2, 1, False), "diff": (2, 2, True), "nulls": (2, 2, True)}
+
+
+def test_key_spread_lag_and_distinct_counts(spark):
+    sent = [{"account_id": "a", "at": (0, 0)}, {"account_id": "a", "at": (4, 1)}, {"account_id": "b", "at": (1, 2)},
+            {"account_id": "b", "at": (1, 3), "transaction_id": "pay-2", "seen": later(seconds=90)}]
+    bronze = landed(spark, *sent)
+    assert [tuple(r) for r in key_spread(bronze).collect()] == [("a", 2, 2)]
+    lag = {r.kafka_partition: r for r in ingest_lag(bronze).collect()}
+    one = lag[1]
+    assert (one.messages, one.min_lag_seconds, one.p50_lag_seconds, one.p99_lag_seconds, one.max_lag_seconds, one.slow_messages) == (
+        2, 0.0, 0.0, 90.0, 90.0, 1)
+    counts = distinct_counts(bronze).first()
+    assert (counts.messages, counts.transactions, counts.accounts, counts.stamps) == (4, 3, 2, 2)
 
 
 def test_dlq_replay_recovers_only_fixable_rows(spark):
@@ -94,7 +88,7 @@ def test_dlq_replay_recovers_only_fixable_rows(spark):
         b'{"transaction_id":null,"account_id":"a","event_time":"garbage"}',
         b"{not json",
     ]
-    _, dead = split_parseable(to_bronze(log_frame(spark, payloads)))
+    _, dead = split_parseable(to_bronze(log_of(spark, *payloads)))
     assert dead.count() == 3
     rec = replay_dlq(dead).collect()
     assert [r.transaction_id for r in rec] == ["t1"]

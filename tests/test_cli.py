@@ -1,65 +1,52 @@
-"""The command-line entry drives the same library calls, in-process."""
+"""The command line drives the same library calls, in-process."""
 
 from __future__ import annotations
 
 import json
 
+from conftest import SF_SMALL
 from lakeledger.cli import main
+from lakeledger.plans.medallion import Layout
 from lakeledger.session import ensure_utc
-from lakeledger.sources import tables as tb
 from lakeledger.sources.fixtures import payments_log
 from lakeledger.sources.log import write_log
-from conftest import SF_SMALL
 
 
-def test_ingest_refine_optimize_vacuum(spark, tmp_path, capsys):
-    ensure_utc(spark)
-    log = str(tmp_path / "log")
-    write_log(payments_log(spark, SF_SMALL), log, files=2)
-    wh = str(tmp_path / "wh")
-    assert main(["ingest", "--warehouse", wh, "--log", log, "--max-per-trigger", "1"],
-                spark=spark) == 0
-    assert tb.read_table(spark, f"{wh}/bronze").count() == 1040
-    capsys.readouterr()
-    assert main(["refine", "--warehouse", wh, "--run-id", "cli-1"], spark=spark) == 0
-    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert summary["silver_rows"] == 925 and summary["quarantined_rows"] == 65
-    assert main(["refine", "--warehouse", wh, "--run-id", "cli-2", "--rules", "domain"],
-                spark=spark) == 0
-    assert "naive_event_time" in {r.check_name for r in tb.read_table(
-        spark, f"{wh}/dq_results").where("run_id = 'cli-2'").collect()}
-    assert main(["optimize", "--warehouse", wh, "--tables", "all"], spark=spark) == 0
-    assert main(["vacuum", "--warehouse", wh, "--tables", "bronze,nope"], spark=spark) == 0
-    out = capsys.readouterr().out
-    assert "unknown table" in out
+def said(capsys):
+    return [json.loads(line) for line in capsys.readouterr().out.strip().splitlines() if line.startswith("{")]
 
 
-def test_failed_gate_exits_1_with_a_readable_line(spark, tmp_path, capsys):
+def test_commands(spark, tmp_path, capsys):
     ensure_utc(spark)
-    log = str(tmp_path / "log")
-    write_log(payments_log(spark, SF_SMALL), log, files=1)
-    wh = str(tmp_path / "wh")
-    main(["ingest", "--warehouse", wh, "--log", log], spark=spark)
+    log, wh = str(tmp_path / "log"), str(tmp_path / "wh")
+    write_log(payments_log(spark, SF_SMALL), log, max_records_per_file=400)
+
+    def call(*args):
+        return main([*args, "--warehouse", wh], spark=spark)
+
+    assert call("ingest") == 2
+    assert call("ingest", "--log", log, "--max-per-trigger", "2") == 0
     capsys.readouterr()
-    code = main(["refine", "--warehouse", wh, "--run-id", "tight", "--dq-threshold", "0.02"],
-                spark=spark)
-    assert code == 1
-    err = capsys.readouterr().err
-    assert err.startswith("DATA QUALITY GATE FAILED") and "unknown_currency" in err
-    assert tb.read_table(spark, f"{wh}/gold_daily_account_totals").count() == 678
+    assert call("refine", "--run-id", "one") == 0
+    summary = said(capsys)[-1]
+    rows = Layout(wh).read(spark, "bronze").count()
+    assert summary["bronze_rows"] == rows
+    assert call("refine", "--run-id", "two", "--dq-threshold", "0.001") == 1
+    assert capsys.readouterr().err.startswith("DATA QUALITY GATE FAILED")
+    assert call("refine", "--run-id", "three", "--rules", "domain", "--dq-threshold", "1") == 0
+    capsys.readouterr()
+    assert call("optimize", "--tables", "bronze,gold,nope") == 0
+    assert [r.get("rows") for r in said(capsys)] == [rows, Layout(wh).read(spark, "gold").count(), None]
+    assert call("vacuum", "--tables", "all") == 0
+    assert all(r.get("removed", []) == [] for r in said(capsys))
+    assert call("daily", "--run-id", "four") == 0
 
 
-def test_generate_then_ingest_and_refine(spark, tmp_path, capsys):
+def test_generate_then_ingest(spark, tmp_path, capsys):
     log, wh = str(tmp_path / "log"), str(tmp_path / "wh")
-    assert main(["generate", "--log", log, "--count", "400", "--seed", "3", "--files", "2"],
-                spark=spark) == 0
-    assert json.loads(capsys.readouterr().out.strip())["delivered"] == 400
+    assert main(["generate"], spark=spark) == 2
+    assert main(["generate", "--log", log, "--count", "400", "--seed", "3", "--records-per-file", "150"], spark=spark) == 0
+    assert said(capsys)[-1]["delivered"] == 400
     assert main(["ingest", "--warehouse", wh, "--log", log], spark=spark) == 0
-    capsys.readouterr()
-    assert main(["refine", "--warehouse", wh, "--run-id", "g"], spark=spark) == 0
-    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    bronze = tb.read_table(spark, f"{wh}/bronze")
-    assert summary["bronze_rows"] + tb.read_table(spark, f"{wh}/bronze_dlq").count() == 400
-    distinct_ids = bronze.select("transaction_id").distinct().count()
-    assert summary["silver_rows"] + summary["quarantined_rows"] == distinct_ids
-    assert summary["bronze_rows"] - distinct_ids <= 20, "at most the 20 injected duplicates"
+    layout = Layout(wh)
+    assert layout.read(spark, "bronze").count() + layout.read(spark, "bronze_dlq").count() == 400

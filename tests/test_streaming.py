@@ -1,165 +1,197 @@
-"""Streaming ingest: effectively-once under crashes, and the cleared-checkpoint hazard."""
+"""Streaming ingest: effectively once under crashes; a lost checkpoint is refused; late
+rows of the watermark dedup are kept apart."""
 
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
-
+from conftest import SF_SMALL
 from lakeledger.operators.audit import landed_positions, offset_missing
-from lakeledger.plans.medallion import BatchingChanged, Layout, ingest
+from lakeledger.operators.bronze import split_parseable, to_bronze
+from lakeledger.plans.medallion import CheckpointLost, Layout, ingest
+from lakeledger.session import ensure_utc
 from lakeledger.sources import tables as tb
 from lakeledger.sources.fixtures import arrival_clock, payments_log
-from lakeledger.sources.log import read_log, read_log_stream, write_log
-from lakeledger.streaming.dedup import start_dedup_stream
+from lakeledger.sources.log import keyed_log, keyless_log, read_log, read_log_stream, write_log
+from lakeledger.streaming import dedup
+from lakeledger.streaming import ingest as ingest_module
 from lakeledger.streaming.ingest import drain, ingest_stream
-from conftest import SF_SMALL
-
-FILES = 5
-
+from pyspark.sql import functions as F
 
-class SimulatedCrash(RuntimeError):
-    pass
+PER_FILE = 250
 
 
 @pytest.fixture(scope="module")
 def log_dir(spark, tmp_path_factory):
-    path = str(tmp_path_factory.mktemp("log") / "log")
-    from lakeledger.session import ensure_utc
-
     ensure_utc(spark)
-    delivered = write_log(payments_log(spark, SF_SMALL), path, files=FILES)
-    assert delivered == 1050, "the delivered count must not include the sampling pass"
+    path = str(tmp_path_factory.mktemp("log") / "log")
+    assert write_log(payments_log(spark, SF_SMALL), path, max_records_per_file=PER_FILE) == 1050
     return path
 
 
-def _crash_at(batch, stage):
-    def hook(batch_id, where):
-        if batch_id == batch and where == stage:
-            raise SimulatedCrash(f"died after {where} of batch {batch_id}")
-    return hook
+@pytest.fixture(scope="module")
+def truth(spark, log_dir):
+    good, dead = split_parseable(to_bronze(read_log(spark, log_dir), ingested_at=arrival_clock()))
+    return good.count(), dead.count()
 
 
-def test_ingest_lands_every_message_once(spark, log_dir, tmp_path):
-    layout = Layout(str(tmp_path / "wh"))
-    ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock())
-    good = tb.read_table(spark, layout.bronze)
-    dead = tb.read_table(spark, layout.bronze_dlq)
-    assert (good.count(), dead.count()) == (1040, 10)
-    assert tb.committed_version(spark, layout.bronze, "bronze") == FILES - 1
-    assert tb.committed_version(spark, layout.bronze_dlq, "bronze.dlq") == FILES - 1
-    assert offset_missing(read_log(spark, log_dir), landed_positions(good, dead)).count() == 0
-
-
-@pytest.mark.parametrize("stage", ["bronze", "dlq"])
-@pytest.mark.parametrize("batch", [0, 2])
-def test_crash_then_restart_does_not_duplicate(spark, log_dir, tmp_path, stage, batch):
-    layout = Layout(str(tmp_path / "wh"))
-    with pytest.raises(Exception, match="SimulatedCrash"):
-        ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock(),
-               on_written=_crash_at(batch, stage))
-    partial = tb.read_table(spark, layout.bronze).count()
-    assert 0 < partial < 1040, "the crash must leave a partial write behind"
-    ckpt = layout.checkpoints
-    import os
-    assert os.path.exists(f"{ckpt}/offsets/{batch}")
-    assert not os.path.exists(f"{ckpt}/commits/{batch}"), "batch committed: not a crash"
-
-    ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock())
-    good = tb.read_table(spark, layout.bronze)
-    dead = tb.read_table(spark, layout.bronze_dlq)
-    assert good.count() == 1040 and dead.count() == 10
-    assert good.select("kafka_partition", "kafka_offset").distinct().count() == 1040
-
-
-def test_clearing_the_checkpoint_loses_data_and_the_audit_sees_it(spark, log_dir, tmp_path):
+def counts(spark, layout):
+    return layout.read(spark, "bronze").count(), layout.read(spark, "bronze_dlq").count()
+
+
+def run(spark, layout, log_dir, **more):
+    ingest(spark, layout, log_dir, **{"max_per_trigger": 1, "clock": arrival_clock()} | more)
+
+
+def test_every_message_lands_once(spark, log_dir, truth, tmp_path):
     layout = Layout(str(tmp_path / "wh"))
-    with pytest.raises(Exception, match="SimulatedCrash"):
-        ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock(),
-               on_written=_crash_at(0, "dlq"))
-    partial = tb.read_table(spark, layout.bronze).count()
-    assert 0 < partial < 1040
-    # "Clear the checkpoint": a fresh checkpoint folder, and a bigger batch size.
-    raw = read_log_stream(spark, log_dir, max_per_trigger=3)
-    q = ingest_stream(raw, bronze_path=layout.bronze, dlq_path=layout.bronze_dlq,
-                      checkpoint_path=str(tmp_path / "new-checkpoint"),
-                      trigger={"availableNow": True}, clock=arrival_clock())
-    drain(q)
-    good = tb.read_table(spark, layout.bronze)
-    dead = tb.read_table(spark, layout.bronze_dlq)
-    assert good.count() < 1040, "batch 0 was skipped as already applied: silent loss"
-    assert good.select("kafka_offset").distinct().count() == good.count(), "loss, not duplication"
-    lost = offset_missing(read_log(spark, log_dir), landed_positions(good, dead)).count()
-    assert lost > 0 and lost == 1050 - good.count() - dead.count()
-
-
-def test_watermark_dedup_keeps_one_copy_per_id(spark, log_dir, tmp_path):
-    q = start_dedup_stream(
-        read_log_stream(spark, log_dir, max_per_trigger=1),
-        out_path=str(tmp_path / "out"), checkpoint_path=str(tmp_path / "ckpt"),
-        delay="40 days", clock=arrival_clock(),
-    )
-    drain(q)
-    out = spark.read.parquet(str(tmp_path / "out"))
-    assert out.count() == out.select("transaction_id").distinct().count() == 990
-
-
-def test_log_files_are_range_clustered(spark, log_dir):
-    per_file = (
-        read_log(spark, log_dir)
-        .withColumn("f", F.input_file_name())
-        .groupBy("f").agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    assert len(per_file) == FILES
-    assert sum(r.n for r in per_file) == 1050
-
-
-def test_a_changed_batch_size_on_an_empty_checkpoint_is_refused(spark, log_dir, tmp_path):
+    run(spark, layout, log_dir)
+    assert counts(spark, layout) == truth
+    landed = landed_positions(layout.read(spark, "bronze"), layout.read(spark, "bronze_dlq"))
+    assert offset_missing(read_log(spark, log_dir), landed).count() == 0
+    batches = tb.read_table(spark, layout.path("bronze"), batches=True).select("batch_id").distinct().count()
+    assert batches == len(spark.read.parquet(log_dir).inputFiles()) >= 4
+
+
+@pytest.mark.parametrize("table,batch", [("bronze", 0), ("bronze", 2), ("bronze.dlq", 1)])
+@pytest.mark.parametrize("complete", [True, False])
+def test_a_crash_after_a_write_neither_loses_nor_doubles(spark, log_dir, truth, tmp_path, monkeypatch, table, batch, complete):
     layout = Layout(str(tmp_path / "wh"))
-    with pytest.raises(Exception, match="SimulatedCrash"):
-        ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock(),
-               on_written=_crash_at(1, "dlq"))
-    with pytest.raises(BatchingChanged):
-        ingest(spark, layout, log_dir, max_per_trigger=3, clock=arrival_clock(),
-               checkpoint_path=str(tmp_path / "cleared"))
-    # Same cap on an empty checkpoint re-draws the same boundaries: nothing is lost.
-    ingest(spark, layout, log_dir, max_per_trigger=1, clock=arrival_clock(),
-           checkpoint_path=str(tmp_path / "cleared"))
-    assert tb.read_table(spark, layout.bronze).count() == 1040
-
-
-def test_timed_ingest_runs_then_stops(spark, log_dir, tmp_path):
+    write = tb.append_once
+
+    def dying(df, path, *, app_id, version, **more):
+        write(df, path, app_id=app_id, version=version, **more)
+        if (app_id, version) == (table, batch):
+            if not complete:  # the job had not committed: no end mark
+                tb.drop_folder(spark, f"{tb.batch_folder(path, app_id, version)}/{tb.DONE}")
+            raise RuntimeError("injected death")
+
+    monkeypatch.setattr(ingest_module, "append_once", dying)
+    with pytest.raises(Exception, match="injected death"):
+        run(spark, layout, log_dir)
+    monkeypatch.undo()
+    run(spark, layout, log_dir)
+    assert counts(spark, layout) == truth
+
+
+def test_an_empty_checkpoint_over_landed_batches_is_refused(spark, log_dir, tmp_path):
+    """Whatever the cap: the log may have grown in between."""
+    layout, grown = Layout(str(tmp_path / "wh")), str(tmp_path / "log")
+    log = read_log(spark, log_dir)
+    early = F.col("timestamp") < F.lit("2024-01-15").cast("timestamp")
+    write_log(log.where(early), grown)
+    run(spark, layout, grown)
+    write_log(log.where(~early), grown)
+    for cap in (1, 3, None):
+        with pytest.raises(CheckpointLost):
+            run(spark, layout, grown, max_per_trigger=cap, checkpoint_path=str(tmp_path / "other"))
+    run(spark, layout, grown, checkpoint_path=str(tmp_path / "other"), app_id="again")
+    assert layout.read(spark, "bronze").select("kafka_partition", "kafka_offset").distinct().count() == split_parseable(
+        to_bronze(log, ingested_at=arrival_clock()))[0].count()
+
+
+def test_timed_ingest_stops(spark, log_dir, truth, tmp_path):
     layout = Layout(str(tmp_path / "wh"))
-    ingest(spark, layout, log_dir, max_per_trigger=2, clock=arrival_clock(), run_seconds=20)
-    assert not any(q.isActive for q in spark.streams.active)
-    assert tb.read_table(spark, layout.bronze).count() == 1040
-
-
-def test_watermark_dedup_stamps_each_batch(spark, log_dir, tmp_path):
-    q = start_dedup_stream(
-        read_log_stream(spark, log_dir, max_per_trigger=2),
-        out_path=str(tmp_path / "out"), checkpoint_path=str(tmp_path / "ckpt"),
-        delay="40 days",
-    )
-    drain(q)
-    out = spark.read.parquet(str(tmp_path / "out"))
-    assert out.count() == 990
-    stamps = out.select("ingested_at").distinct().count()
-    assert 1 <= stamps <= 3, "one ingest stamp per micro-batch"
-
-
-def test_clean_source_archives_consumed_log_files(spark, tmp_path):
-    import os
-
-    src = str(tmp_path / "log")
-    write_log(payments_log(spark, SF_SMALL), src, files=3)
-    archive = str(tmp_path / "archive")
-    raw = read_log_stream(spark, src, max_per_trigger=1, clean_source="archive",
-                          archive_dir=archive)
-    q = ingest_stream(raw, bronze_path=str(tmp_path / "b"), dlq_path=str(tmp_path / "d"),
-                      checkpoint_path=str(tmp_path / "ck"), trigger={"availableNow": True},
-                      clock=arrival_clock())
-    drain(q)
-    assert tb.read_table(spark, str(tmp_path / "b")).count() == 1040
-    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".parquet")]
-    assert archived, "consumed log files are moved out of the listed folder"
+    run(spark, layout, log_dir, max_per_trigger=5, run_seconds=25)
+    assert not spark.streams.active and counts(spark, layout) == truth
+
+
+def every_id(spark, log_dir):
+    good = split_parseable(to_bronze(read_log(spark, log_dir), ingested_at=arrival_clock()))[0]
+    return {r[0] for r in good.select("transaction_id").collect()}
+
+
+def ids_of(frame):
+    return [r[0] for r in frame.select("transaction_id").collect()]
+
+
+def test_watermark_dedup_of_a_stream(spark, log_dir, tmp_path):
+    root = str(tmp_path / "out")
+    drain(dedup.start_dedup_stream(read_log_stream(spark, log_dir, max_per_trigger=1), root=root,
+                                   checkpoint_path=str(tmp_path / "ck"), delay="40 days", clock=arrival_clock()))
+    kept = ids_of(dedup.kept_rows(spark, root))
+    assert len(kept) == len(set(kept)) and set(kept) == every_id(spark, log_dir)
+    assert dedup.late_rows(spark, root).count() == 0
+
+
+def test_rows_behind_the_watermark_are_set_aside(spark, log_dir, tmp_path):
+    """The newer half of the log arrives first: the older half is late, none of it lost."""
+    root, log = str(tmp_path / "out"), read_log(spark, log_dir)
+    for n, part in enumerate((log.where("offset >= 1000"), log.where("offset < 1000"))):
+        dedup.dedup_batch(part, n, root=root, delay="1 hour", clock=arrival_clock())
+    kept, late = dedup.kept_rows(spark, root), dedup.late_rows(spark, root)
+    assert late.count() > 400 and set(ids_of(kept)) | set(ids_of(late)) == every_id(spark, log_dir)
+    assert len(ids_of(kept)) == len(set(ids_of(kept)))
+    # What the next batch would consult is a small part of what was kept.
+    last = dedup.watermark(spark, root, 2, "1 hour")
+    assert kept.where(F.col("event_time") >= F.lit(last)).count() < kept.count() / 20
+
+
+def test_a_batch_run_again_decides_the_same(spark, log_dir, tmp_path):
+    root, batch = str(tmp_path / "out"), read_log(spark, log_dir)
+    halves = [batch.where("offset < 1000"), batch.where("offset >= 1000")]
+    for n, half in enumerate(halves):
+        dedup.dedup_batch(half, n, root=root, delay="1 hour", clock=arrival_clock())
+    before = dedup.watermark(spark, root, 1, "1 hour")
+    dedup.dedup_batch(halves[1], 1, root=root, delay="1 hour", clock=arrival_clock())
+    assert dedup.watermark(spark, root, 1, "1 hour") == before
+
+
+def test_consumed_log_files_can_be_archived(spark, log_dir, truth, tmp_path):
+    source = str(tmp_path / "log")
+    write_log(read_log(spark, log_dir), source, max_records_per_file=400)
+    raw = read_log_stream(spark, source, max_per_trigger=1, clean_source="archive", archive_dir=str(tmp_path / "old"))
+    drain(ingest_stream(raw, bronze_path=str(tmp_path / "b"), dlq_path=str(tmp_path / "d"), checkpoint_path=str(tmp_path / "ck"),
+                        trigger={"availableNow": True}, clock=arrival_clock()))
+    assert tb.read_table(spark, str(tmp_path / "b")).count() == truth[0]
+    assert list((tmp_path / "old").rglob("*.parquet"))
+
+
+def test_keyless_log_spreads_and_keeps_the_bytes(spark):
+    payloads = spark.range(600).selectExpr("id AS seq", "'ann' AS account_id", "CAST('{}' AS BINARY) AS value", "now() AS produced")
+    keyless = keyless_log(payloads).groupBy("partition").agg(F.count("key").alias("keys"), F.count("value").alias("n")).collect()
+    assert len(keyless) == 6 and all(r.keys == 0 and r.n > 50 for r in keyless)
+    assert keyed_log(payloads).select("partition").distinct().count() == 1
+
+
+class Recorder:
+    """Stands in for a reader or writer: records options, then ends the chain."""
+
+    def __init__(self):
+        self.options, self.kind = {}, None
+
+    def format(self, kind):
+        self.kind = kind
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        return self
+
+    save = load
+
+
+def test_kafka_options_reach_the_reader(spark, monkeypatch):
+    seen = Recorder()
+    session = type("S", (), {"readStream": seen})()
+    assert read_log_stream(session, bootstrap_servers="b:9092", topic="pay", starting_offsets="latest", max_per_trigger=7) is seen
+    assert seen.kind == "kafka" and seen.options == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "pay", "startingOffsets": "latest", "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": 7}
+
+
+def test_ingest_passes_the_topic_through(spark, tmp_path, monkeypatch):
+    from lakeledger.plans import medallion
+
+    asked = {}
+
+    def reader(session, path, **options):
+        asked.update(options, path=path)
+        raise RuntimeError("no broker here")
+
+    monkeypatch.setattr(medallion, "read_log_stream", reader)
+    with pytest.raises(RuntimeError, match="no broker"):
+        ingest(spark, Layout(str(tmp_path)), bootstrap_servers="b:1", topic="pay", starting_offsets="latest", max_per_trigger=3)
+    assert asked == {"bootstrap_servers": "b:1", "topic": "pay", "starting_offsets": "latest", "max_per_trigger": 3, "path": None}

@@ -1,138 +1,87 @@
-"""The ledger table contract: at-most-once appends, swaps, partition replace, schemas."""
+"""Parquet tables: batches land once, overwrites are whole, sweeps touch only wrecks."""
 
 from __future__ import annotations
 
-import os
-
 import pytest
+from lakeledger.sources import tables as tb
 from pyspark.sql import functions as F
 
-from lakeledger.sources import tables as tb
-from lakeledger.sources.storage import Storage
 
+def numbers(spark, lo, hi):
+    return spark.range(lo, hi).withColumn("part", F.col("id") % 3)
 
-def _count(spark, path):
-    return tb.read_table(spark, path).count()
 
+def ids(spark, path):
+    return sorted(r.id for r in tb.read_table(spark, path).collect())
 
-def test_replaying_a_version_does_not_duplicate(spark, warehouse):
-    path = f"{warehouse}/t"
-    df = spark.range(500)
-    assert tb.append_once(df, path, app_id="bronze", version=1) is True
-    assert tb.append_once(df, path, app_id="bronze", version=1) is False
-    assert _count(spark, path) == 500
 
+def test_a_batch_lands_once(spark, warehouse):
+    assert tb.append_once(numbers(spark, 0, 9), warehouse, app_id="x", version=0, partition_by=("part",))
+    assert not tb.append_once(numbers(spark, 50, 60), warehouse, app_id="x", version=0, partition_by=("part",))
+    assert tb.append_once(numbers(spark, 9, 12), warehouse, app_id="x", version=1, partition_by=("part",))
+    assert ids(spark, warehouse) == list(range(12))
 
-def test_replay_counts_follow_the_reference_sequence(spark, warehouse):
-    path = f"{warehouse}/t"
-    df = spark.range(100)
-    seen = []
-    for app, version in [("a", 0), ("a", 0), ("a", 1), ("a", 0), ("b", 0)]:
-        tb.append_once(df, path, app_id=app, version=version)
-        seen.append(_count(spark, path))
-    assert seen == [100, 100, 200, 200, 300]
-    assert tb.committed_version(spark, path, "a") == 1
-    assert tb.committed_version(spark, path, "nobody") == -1
 
+def test_app_ids_never_share_a_folder(spark, warehouse):
+    apps = ["a b", "a_20_b", "a%20b", "a/b", "ä", "a=b", "a.b", "a:b"]
+    for n, app in enumerate(apps):
+        assert tb.append_once(numbers(spark, 10 * n, 10 * n + 3), warehouse, app_id=app, version=0)
+    assert len(ids(spark, warehouse)) == 3 * len(apps)
+    got = tb.read_table(spark, warehouse, batches=True).select("app_id").distinct().collect()
+    assert {r.app_id for r in got} == set(apps)
 
-def test_nondeterministic_columns_differ_across_app_ids(spark, warehouse):
-    path = f"{warehouse}/t"
-    stamped = spark.range(100).withColumn("processed_at", F.current_timestamp())
-    tb.append_once(stamped, path, app_id="a", version=0)
-    tb.append_once(stamped, path, app_id="b", version=0)
-    rows = tb.read_table(spark, path)
-    assert rows.count() == 200
-    per_id = rows.groupBy("id").agg(F.count_distinct("processed_at").alias("stamps"))
-    assert per_id.where("stamps > 1").count() > 0
 
+def test_an_incomplete_batch_is_written_again(spark, warehouse):
+    folder = tb.batch_folder(warehouse, "x", 0)
+    tb.append_once(numbers(spark, 0, 50), warehouse, app_id="x", version=0)
+    tb.drop_folder(spark, f"{folder}/{tb.DONE}")  # as if the writer had died
+    assert not tb.holds_batches(spark, warehouse, "x")
+    assert tb.append_once(numbers(spark, 0, 9), warehouse, app_id="x", version=0)
+    assert ids(spark, warehouse) == list(range(9)) and tb.holds_batches(spark, warehouse, "x")
 
-def test_crash_before_manifest_is_invisible_and_replay_overwrites(spark, warehouse):
-    path = f"{warehouse}/t"
-    df = spark.range(50)
-    tb.append_once(df, path, app_id="s", version=0)
-    # A write that died before its manifest: the directory exists, nobody reads it.
-    tb._write_commit(spark.range(7), path, "t-s-v1", [])
-    assert _count(spark, path) == 50
-    tb.append_once(spark.range(10), path, app_id="s", version=1)
-    assert _count(spark, path) == 60, "the replay must replace the orphan, not add to it"
+
+def test_sweep_removes_old_wrecks_only(spark, warehouse):
+    for v in range(3):
+        tb.append_once(numbers(spark, 10 * v, 10 * v + 5), warehouse, app_id="x", version=v)
+    tb.drop_folder(spark, f"{tb.batch_folder(warehouse, 'x', 1)}/{tb.DONE}")
+    assert tb.sweep(spark, warehouse, retain_hours=1) == []
+    assert len(tb.sweep(spark, warehouse, retain_hours=0)) == 1
+    assert ids(spark, warehouse) == [*range(5), *range(20, 25)]
 
 
-def test_empty_append_still_commits(spark, warehouse):
+def test_replace_all_swaps_columns_too(spark, warehouse):
     path = f"{warehouse}/t"
-    empty = spark.range(0).withColumn("d", F.current_date())
-    tb.append_once(empty, path, app_id="dlq", version=0, partition_by=("d",))
-    assert tb.table_exists(spark, path)
-    assert _count(spark, path) == 0
-    assert tb.committed_version(spark, path, "dlq") == 0
+    tb.replace_all(numbers(spark, 0, 9), path, partition_by=("part",))
+    tb.replace_all(spark.range(3).withColumn("new", F.lit("x")), path)
+    got = tb.read_table(spark, path)
+    assert got.columns == ["id", "new"] and got.count() == 3
 
 
-def test_schema_enforced_unless_merged(spark, warehouse):
-    path = f"{warehouse}/t"
-    tb.append(spark.range(3), path)
-    wider = spark.range(3).withColumn("extra", F.lit("x"))
-    with pytest.raises(tb.SchemaMismatch):
-        tb.append(wider, path)
-    tb.append(wider, path, merge_schema=True)
-    rows = tb.read_table(spark, path)
-    assert rows.columns == ["id", "extra"]
-    assert tb.table_schema(spark, path).fieldNames() == ["id", "extra"]
-    assert len(tb.input_files(spark, path)) == tb.file_count(spark, path) > 0
-    assert rows.where("extra IS NULL").count() == 3
-    with pytest.raises(tb.SchemaMismatch):
-        tb.append(spark.range(3).select(F.col("id").cast("string")), path)
-
-
-def test_replace_all_swaps_schema_and_rows(spark, warehouse):
+def test_replace_partitions(spark, warehouse):
     path = f"{warehouse}/t"
-    tb.append(spark.range(10), path)
-    tb.replace_all(spark.range(3).select(F.col("id").cast("string").alias("name")), path)
-    rows = tb.read_table(spark, path)
-    assert rows.columns == ["name"] and rows.count() == 3
-    assert len(tb.latest_manifest(spark, path).tombstones) == 1
+    tb.replace_all(numbers(spark, 0, 9), path, partition_by=("part",))
+    tb.replace_partitions(numbers(spark, 100, 109).where("part = 1"), path, column="part", values=[1, 2, 7])
+    assert tb.partition_values(spark, path, "part") == ["0", "1"]
+    assert sorted(i for i in ids(spark, path) if i < 100) == [0, 3, 6]
 
 
-def test_replace_partitions_swaps_only_targets(spark, warehouse):
-    path = f"{warehouse}/t"
-    base = spark.range(30).withColumn("d", (F.col("id") % 3).cast("string"))
-    tb.replace_partitions(base, path, column="d", values=None)
-    assert tb.live_partition_values(spark, path, "d") == ["0", "1", "2"]
-    new = spark.range(5).withColumn("d", F.lit("1"))
-    tb.replace_partitions(new, path, column="d", values=["1", "7"])
-    counts = {r.d: r["count"] for r in tb.read_table(spark, path).groupBy("d").count().collect()}
-    assert counts == {"0": 10, "1": 5, "2": 10}
-    with pytest.raises(Exception):
-        tb.replace_partitions(base, path, column="d", values=["0"])
-    assert {r.d: r["count"] for r in tb.read_table(spark, path).groupBy("d").count().collect()} == counts
-
-
-def test_reads_prune_partitions(spark, warehouse):
-    path = f"{warehouse}/t"
-    base = spark.range(30).withColumn("d", (F.col("id") % 3).cast("string"))
-    tb.append(base, path, partition_by=("d",))
-    plan = tb.read_table(spark, path).where("d = '1'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "d#" in plan
-    assert tb.read_table(spark, path).where("d = '1'").count() == 10
+def test_added_columns_read_as_null_in_old_rows(spark, warehouse):
+    from pyspark.sql import types as T
 
+    tb.append(spark.range(2), warehouse)
+    tb.append(spark.range(2, 4).withColumn("more", F.lit(1)), warehouse)
+    wide = T.StructType([T.StructField("id", T.LongType()), T.StructField("more", T.IntegerType())])
+    assert sorted((r.id, r.more) for r in tb.read_table(spark, warehouse, wide).collect()) == [(0, None), (1, None), (2, 1), (3, 1)]
 
-def test_app_ids_are_path_safe(spark, warehouse):
-    path = f"{warehouse}/t"
-    tb.append_once(spark.range(2), path, app_id="replay/odd id:1", version=0)
-    assert _count(spark, path) == 2
-    assert all("/" not in d.split("commit=")[1] for d in tb.latest_manifest(spark, path).live)
-    assert os.path.isdir(f"{path}/_manifests")
 
+def test_compact_copies_all_rows_into_fewer_files(spark, warehouse):
+    for v in range(6):
+        tb.append_once(numbers(spark, 10 * v, 10 * v + 10).repartition(3), f"{warehouse}/t", app_id="x", version=v)
+    assert tb.compact(spark, f"{warehouse}/t", f"{warehouse}/c", partition_by=("part",)) == 60
+    assert ids(spark, f"{warehouse}/c") == list(range(60))
+    assert len(spark.read.parquet(f"{warehouse}/c").inputFiles()) <= 6
 
-def test_latest_snapshot_survives_a_stale_or_broken_hint(spark, warehouse):
-    path = f"{warehouse}/t"
-    for v in range(3):
-        tb.append_once(spark.range(5), path, app_id="h", version=v)
-    assert tb.latest_manifest(spark, path).n == 2
-    hint = f"{path}/_manifests/_last"
-    store = Storage(spark)
-    store.write_text(hint, "0", overwrite=True)  # a writer died before moving the hint
-    assert tb._latest_number(spark, path) == 2, "probe forward from a stale hint"
-    store.write_text(hint, "", overwrite=True)  # caught mid-write
-    assert tb.latest_manifest(spark, path).n == 2
-    store.write_text(hint, "7", overwrite=True)  # points past the end
-    assert tb.latest_manifest(spark, path).n == 2
-    assert tb.read_table(spark, path).count() == 15
+
+def test_missing_table(spark, warehouse):
+    with pytest.raises(tb.TableNotFound):
+        tb.read_table(spark, f"{warehouse}/none")
