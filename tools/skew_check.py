@@ -31,7 +31,7 @@ def main():
     n = int(sys.argv[2]) if len(sys.argv) > 2 else 6_000_000
     spark = (SparkSession.builder.master("local[8]").appName("skew")
              .config("spark.sql.shuffle.partitions", "64")
-             .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.ui.showConsoleProgress", "false").config("spark.ui.enabled", "false")
              .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", out)
              .config("spark.eventLog.compress", "false")
              .getOrCreate())
