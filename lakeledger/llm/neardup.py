@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.llm.common import col, lookup_join, staged
+from lakeledger.llm.common import col, lookup_join, small_batches, staged
 from lakeledger.llm.components import connected
 
 BANDS, PER_BAND = 32, 5
@@ -135,7 +135,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
     """(id, n, k1, k2, sketch) of each row (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             n, k1, k2, sketches = [], [], [], []
             for t in batch.column(1):
                 s = shingles(t.as_py(), size)
@@ -151,17 +151,17 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(k1, k2, members) of each row (id, text); members: 8 bytes a shingle."""
+    """(k1, k2, members) of each row (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             made = [shingles(t.as_py(), size) for t in batch.column(1)]
             keys = [set_key(s) for s in made]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)] + [pa.array([s.tobytes() for s in made], pa.binary())],
+                [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)] + [pa.array([s.view(np.int64) for s in made], pa.list_(pa.int64()))],
                 names=["k1", "k2", "members"])
 
-    return docs.select("id", "text").mapInArrow(run, "k1 long, k2 long, members binary")
+    return docs.select("id", "text").mapInArrow(run, "k1 long, k2 long, members array<long>")
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -177,19 +177,10 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, p
     sets = staged(lookup_join(_sets(texts, size), wanted.select("gid", "k1", "k2"), ["k1", "k2"], 3 * count)
                   .groupBy("gid").agg(F.first("members").alias("members")), "dup-sets")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                at = np.searchsorted(x, y)
-                both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
     both = (named.join(sets.select(F.col("gid").alias("a"), F.col("members").alias("x")), "a")
             .join(sets.select(F.col("gid").alias("b"), F.col("members").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    shared = both.withColumn("shared", F.size(F.array_intersect("x", "y")))
+    return shared.where(f"100 * shared >= {percent} * (size(x) + size(y) - shared)").select("a", "b")
 
 
 def _sketches_near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -198,7 +189,7 @@ def _sketches_near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     least = int(COORDS * p - 6 * (COORDS * p * (1 - p)) ** 0.5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             good = [int((np.frombuffer(x.as_py(), "<u4") == np.frombuffer(y.as_py(), "<u4")).sum()) >= least
                     for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
