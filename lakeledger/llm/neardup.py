@@ -16,11 +16,12 @@ down all pairs of a group:
 2. In every bucket the smallest class is compared with the others; links are joined to
    components. That settles most of a group of near copies with one comparison each.
 3. ``LEADER_ROUNDS`` times, buckets that still hold several components choose another
-   leader, by hash, and compare it with the members outside its component.
-4. What remains is done in full: all pairs of a bucket that lie in different components,
-   were not compared yet and can reach the similarity by size and sketch (6 standard
-   deviations) are confirmed. Pairs inside one component need no comparison, since they
-   cannot change the result. No bucket is capped.
+   leader, by hash, from their first component and compare it with the members outside.
+4. What remains is done in full: in every bucket each member outside the first component
+   is compared with all members of other components. Tasks do this cell by cell (hash
+   shares of about ``CELL_ROWS`` members on either side) and put out links, not pairs.
+   Pairs inside one component need no comparison, since they cannot change the result.
+   No bucket is capped.
 
 Only sketches, keys and the sets of candidates move, never texts of other documents.
 
@@ -40,6 +41,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +52,7 @@ from lakeledger.llm.components import connected
 BANDS, PER_BAND = 32, 5
 COORDS = BANDS * PER_BAND
 LEADER_ROUNDS = 2
+CELL_ROWS = 512
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -164,6 +167,15 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "k1 long, k2 long, members array<long>")
 
 
+def _members(nodes: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(gid, members): the full sets of the classes ``nodes`` (gid), from their texts."""
+    wanted = staged(nodes.join(classes.select("gid", "id", "k1", "k2"), "gid"), "dup-nodes")
+    count = wanted.count()
+    texts = lookup_join(docs, wanted.select("id").distinct(), "id", count, "left_semi")
+    found = lookup_join(_sets(texts, size), wanted.select("gid", "k1", "k2"), ["k1", "k2"], 3 * count)
+    return staged(found.groupBy("gid").agg(F.first("members").alias("members")), "dup-sets")
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets reach the similarity."""
     named = staged(
@@ -171,32 +183,42 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, p
         .join(classes.select(F.col("gid").alias("b"), F.col("n").alias("n_b")), "b")
         .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b"), "dup-pairs")
     nodes = named.select(F.col("a").alias("gid")).union(named.select("b")).distinct()
-    wanted = staged(nodes.join(classes.select("gid", "id", "k1", "k2"), "gid"), "dup-nodes")
-    count = wanted.count()
-    texts = lookup_join(docs, wanted.select("id").distinct(), "id", count, "left_semi")
-    sets = staged(lookup_join(_sets(texts, size), wanted.select("gid", "k1", "k2"), ["k1", "k2"], 3 * count)
-                  .groupBy("gid").agg(F.first("members").alias("members")), "dup-sets")
-
+    sets = _members(nodes, classes, docs, size)
     both = (named.join(sets.select(F.col("gid").alias("a"), F.col("members").alias("x")), "a")
             .join(sets.select(F.col("gid").alias("b"), F.col("members").alias("y")), "b"))
     shared = both.withColumn("shared", F.size(F.array_intersect("x", "y")))
     return shared.where(f"100 * shared >= {percent} * (size(x) + size(y) - shared)").select("a", "b")
 
 
-def _sketches_near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sketches agree nearly as often as linked ones do."""
-    p = percent / 100
-    least = int(COORDS * p - 6 * (COORDS * p * (1 - p)) ** 0.5)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            good = [int((np.frombuffer(x.as_py(), "<u4") == np.frombuffer(y.as_py(), "<u4")).sum()) >= least
-                    for x, y in zip(batch.column(2), batch.column(3))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    both = (pairs.join(classes.select(F.col("gid").alias("a"), F.col("sketch").alias("x")), "a")
-            .join(classes.select(F.col("gid").alias("b"), F.col("sketch").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+def _across(open_: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """All links (a, b) between members of a bucket that lie in different components;
+    ``open_`` (bucket, gid, label)."""
+    held = open_.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("cells"), F.min("label").alias("main"))
+    rows = open_.join(held, "bucket").join(_members(open_.select("gid").distinct(), classes, docs, size), "gid")
+    rows = staged(rows.withColumn("own", F.pmod(F.xxhash64("gid"), F.col("cells")).cast("int")), "dup-cells")
+    every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
+    left = rows.select("bucket", F.col("own").alias("a"), every.alias("b"), "gid", "label", "members")
+    right = rows.where("label <> main").select(
+        F.col("bucket").alias("bucket_"), every.alias("a_"), F.col("own").alias("b_"), F.col("gid").alias("gid_"),
+        F.col("label").alias("label_"), F.col("members").alias("members_"))
+
+    def links(held_rows: pd.DataFrame, outside: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(held_rows) and len(outside):
+            sets = [np.asarray(m, np.int64) for m in held_rows["members"]]
+            sizes, flat = np.array([len(m) for m in sets]), np.concatenate(sets)
+            starts = np.r_[0, np.cumsum(sizes)[:-1]]
+            gids, labels = held_rows["gid"].to_numpy(), held_rows["label"].to_numpy()
+            for gid, label, own in zip(outside["gid_"], outside["label_"], outside["members_"]):
+                own = np.sort(np.asarray(own, np.int64))
+                at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                shared = np.add.reduceat(own[at] == flat, starts, dtype=np.int64)
+                good = (100 * shared >= percent * (sizes + len(own) - shared)) & (labels != label)
+                out += [(gid, other) for other in gids[good]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    found = left.groupBy("bucket", "a", "b").cogroup(right.groupBy("bucket_", "a_", "b_")).applyInPandas(links, "a long, b long")
+    return found.distinct()
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,21 +245,19 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id: s
     for turn in range(1, LEADER_ROUNDS + 2):
         seen = open_.join(labels.withColumnRenamed("node", "gid"), "gid", "left").withColumn("label", F.coalesce("label", "gid"))
         mixed = seen.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                           F.min(F.struct(F.xxhash64(F.lit(turn), "bucket", "gid"), "gid", "label")).alias("led"))
+                                           F.min(F.struct("label", F.xxhash64(F.lit(turn), "bucket", "gid").alias("h"), "gid")).alias("led"))
         mixed = mixed.where("lo <> hi").select("bucket", F.col("led.gid").alias("leader"), F.col("led.label").alias("leads"))
         open_ = staged(seen.join(mixed, "bucket"), f"dup-open{turn}")
         if open_.isEmpty():
             break
         if turn <= LEADER_ROUNDS:
             new = open_.where("label <> leads").select(F.least("leader", "gid").alias("a"), F.greatest("leader", "gid").alias("b"))
+            new = staged(new.distinct().join(compared, ["a", "b"], "left_anti"), f"dup-new{turn}")
+            found = _confirm(new, classes, plain, words, percent)
+            compared = compared.union(new)
         else:
-            one = open_.select("bucket", F.col("gid").alias("a"), F.col("label").alias("label_a"))
-            two = open_.select("bucket", F.col("gid").alias("b"), F.col("label").alias("label_b"))
-            new = one.join(two, "bucket").where("a < b AND label_a <> label_b").select("a", "b")
-        new = staged(new.distinct().join(compared, ["a", "b"], "left_anti"), f"dup-new{turn}")
-        found = _confirm(_sketches_near(new, classes, percent), classes, plain, words, percent)
+            found = _across(open_.select("bucket", "gid", "label"), classes, plain, words, percent)
         links = staged(links.union(found), f"dup-links{turn}")
-        compared = compared.union(new)
         labels = connected(links)
         open_ = open_.select("bucket", "gid")
 
