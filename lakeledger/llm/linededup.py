@@ -8,10 +8,11 @@ The join: a line is cut into edits + 1 segments; two lines within ``edits`` edit
 least one segment unchanged, moved by a few characters at most. Each distinct line gives
 index keys (its segments, with length and number) and probe keys (the substrings at
 which a segment of a line of its own or a slightly smaller length could stand; only
-starts that a valid alignment can use). Keys that several lines share make candidates;
-a candidate must agree in letter counts (an edit changes at most two) and is verified by
-a banded bit-parallel edit distance: one column of the dynamic program at a time, its
-2 * edits + 1 diagonals as bits of one long.
+starts that a valid alignment can use). Keys that several lines share make candidates.
+The texts of the lines that share a key are read again, once; a candidate pair must
+agree in its counts of single characters (an edit changes at most two) and is verified
+by a banded bit-parallel edit distance: one column of the dynamic program at a time,
+its 2 * edits + 1 diagonals as bits of one long.
 
 To decide, it is enough to know *some* earlier near line, not all: in a shared key the
 earliest indexed line is compared with the others first. Pairs whose later line already
@@ -39,8 +40,8 @@ from lakeledger.llm.common import col, let, lookup_join, others, staged
 
 EDITS = 2
 MIN_CHARS = 30
-#: Letters whose counts are compared, 8 bits each (modulo 256) in one long.
-COUNTED = "aeinorst"
+#: Characters whose counts are compared, 8 to a long, 8 bits each (modulo 256).
+COUNTED = ["aeinorst", "hdlucmfp", "gbvywkjx", "zq .,éüó"]
 LAST = (1 << 63) - 1
 
 
@@ -78,15 +79,17 @@ def probe_keys(line: str = "line", chars: str = "chars", edits: int = EDITS) ->
     return keys
 
 
-def letter_counts(line: str = "line") -> str:
-    lanes = [f"shiftleft(CAST((octet_length({line}) - octet_length(replace({line}, '{c}', ''))) & 255 AS BIGINT), {8 * j})"
-             for j, c in enumerate(COUNTED)]
+def letter_counts(line: str, counted: str) -> str:
+    lanes = [f"shiftleft(CAST(((octet_length({line}) - octet_length(replace({line}, '{c}', ''))) DIV {len(c.encode())}) & 255 AS BIGINT), {8 * j})"
+             for j, c in enumerate(counted)]
     return " | ".join(lanes)
 
 
 def counts_near(a: str, b: str, edits: int = EDITS) -> str:
-    lane = lambda x, j: f"(shiftrightunsigned({x}, {8 * j}) & 255L)"
-    parts = [f"abs((({lane(a, j)} - {lane(b, j)} + 384L) % 256L) - 128L)" for j in range(len(COUNTED))]
+    """SQL for: the counts in the arrays ``a`` and ``b`` differ by what the edits can do."""
+    lane = lambda x, k, j: f"(shiftrightunsigned({x}[{k}], {8 * j}) & 255L)"
+    parts = [f"abs((({lane(a, k, j)} - {lane(b, k, j)} + 384L) % 256L) - 128L)"
+             for k, counted in enumerate(COUNTED) for j in range(len(counted))]
     return f"({' + '.join(parts)} <= {2 * edits})"
 
 
@@ -118,19 +121,20 @@ def _lines(docs: DataFrame) -> DataFrame:
         "id", "version", "nth", "line", "chars", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(h1, line) of the lines named by ``lines`` (h1, id): read again from their documents."""
-    lines = staged(lines.distinct(), "line-wanted")
+def _texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """(h1, line, letters) of the lines in ``shared`` (h1, id): read again from their
+    documents."""
+    lines = staged(shared.select("h1", "id").distinct(), "line-wanted")
     n = lines.count()
-    some = docs.join(F.broadcast(lines.select("id").distinct()), "id", "left_semi") if n <= 500_000 else docs.join(
-        lines.select("id").distinct(), "id", "left_semi")
-    return lookup_join(_lines(some), lines.select("h1"), "h1", n, "left_semi").groupBy("h1").agg(F.min("line").alias("line"))
+    named = docs.select(F.coalesce("id", F.lit(LAST)).alias("id"), "text")  # as places name them
+    some = lookup_join(named, lines.select("id").distinct(), "id", n, "left_semi")
+    found = lookup_join(_lines(some), lines.select("h1").distinct(), "h1", n, "left_semi").groupBy("h1").agg(F.min("line").alias("line"))
+    counts = ", ".join(letter_counts("line", c) for c in COUNTED)
+    return staged(found.select("h1", "line", F.expr(f"array({counts})").alias("letters")), "line-texts")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, edits: int) -> DataFrame:
-    """Those of ``pairs`` (early, early_id, late, late_id) that lie within ``edits`` edits."""
-    texts = staged(_texts(docs, pairs.select(F.col("early").alias("h1"), F.col("early_id").alias("id"))
-                          .union(pairs.select("late", "late_id"))), "line-texts")
+def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """Those of ``pairs`` (early, late) that lie within ``edits`` edits."""
     both = (pairs.join(texts.select(F.col("h1").alias("early"), F.col("line").alias("a")), "early")
             .join(texts.select(F.col("h1").alias("late"), F.col("line").alias("b")), "late"))
     return both.where(F.expr(within("a", "b", edits))).select("early", "late")
@@ -142,15 +146,15 @@ def near_lines(docs: DataFrame, *, edits: int = EDITS) -> DataFrame:
     order = F.struct(F.coalesce("id", F.lit(LAST)).alias("id"), F.col("nth").alias("nth"))
     keys = [f"named_struct('key', {k}, 'indexed', {flag})" for flag, ks in
             (("true", index_keys(edits=edits)), ("false", probe_keys(edits=edits))) for k in ks]
-    lines = _lines(docs).select("h1", "h2", order.alias("place"), F.expr(letter_counts()).alias("letters"),
-                                F.expr(f"array({', '.join(keys)})").alias("keys"))
-    distinct = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("letters").alias("letters"),
-                                             F.first("keys").alias("keys"))
-    rows = distinct.select("h1", "place.id", "place.nth", "letters", F.expr("inline(keys)")).where("key IS NOT NULL")
-    shared = staged(
+    lines = _lines(docs).select("h1", "h2", order.alias("place"), F.expr(f"array({', '.join(keys)})").alias("keys"))
+    distinct = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("keys").alias("keys"))
+    rows = distinct.select("h1", "place.id", "place.nth", F.expr("inline(keys)")).where("key IS NOT NULL")
+    alike = staged(
         rows.selectExpr("*", "min(h1) OVER (PARTITION BY key) AS lo", "max(h1) OVER (PARTITION BY key) AS hi",
                         "max(indexed) OVER (PARTITION BY key) AS any_indexed")
-        .where("lo <> hi AND any_indexed").drop("lo", "hi", "any_indexed"), "line-shared")
+        .where("lo <> hi AND any_indexed").drop("lo", "hi", "any_indexed"), "line-alike")
+    texts = _texts(docs, alike)
+    shared = staged(alike.join(texts.drop("line"), "h1"), "line-shared")
 
     place = F.struct("id", "nth", "h1", "letters")
     probe = shared.select("key", place.alias("x"))
@@ -160,10 +164,10 @@ def near_lines(docs: DataFrame, *, edits: int = EDITS) -> DataFrame:
 
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("x", "y").alias("e"), F.greatest("x", "y").alias("l")).selectExpr(
-            "e.h1 AS early", "e.id AS early_id", "l.h1 AS late", "l.id AS late_id").distinct()
+            "e.h1 AS early", "l.h1 AS late").distinct()
 
     first = staged(ordered(probe.join(leader, "key").where(near)), "line-first")
-    links = staged(_verified(first, docs, edits), "line-links")
+    links = staged(_verified(first, texts, edits), "line-links")
     gone = links.select("late").distinct()
     # Pairs that can still decide something: their later line stands so far.
     standing = shared.join(gone, F.col("h1") == F.col("late"), "left_anti").select("key", place.alias("x"))
@@ -171,7 +175,7 @@ def near_lines(docs: DataFrame, *, edits: int = EDITS) -> DataFrame:
     rest = (standing.join(index, "key").where(near & (F.col("y") < F.col("x")))
             .unionByName(probe.join(standing_index, "key").where(near & (F.col("x") < F.col("y")))))
     rest = staged(ordered(rest).join(first, ["early", "late"], "left_anti"), "line-rest")
-    more = _verified(rest, docs, edits)
+    more = _verified(rest, texts, edits)
     return staged(links.unionByName(more).groupBy("late").agg(F.min("early").alias("early"))
                   .select(F.col("late").alias("h1"), "early"), "line-near")
 

@@ -86,7 +86,8 @@ def test_near_lines_share_a_key(spark):
     missed = df.where(~F.arrays_overlap(keys, F.array_compact(probes))).collect()
     assert missed == []
     near = ld.counts_near("x", "y")
-    assert df.selectExpr(f"{ld.letter_counts('short')} AS x", f"{ld.letter_counts('long')} AS y").where(f"NOT {near}").count() == 0
+    counts = {x: "array(" + ", ".join(ld.letter_counts(x, c) for c in ld.COUNTED) + ")" for x in ("short", "long")}
+    assert df.selectExpr(f"{counts['short']} AS x", f"{counts['long']} AS y").where(f"NOT {near}").count() == 0
 
 
 def corpus(seed=1):
@@ -97,7 +98,8 @@ def corpus(seed=1):
     lines += ["", "short", "\t", "x" * 29, "x" * 30, "x" * 31, "x" * 33]
     docs = [(i, "\n".join(edited(rng, rng.choice(lines), rng.choice([0, 0, 0, 1, 2, 3])) for _ in range(rng.randrange(1, 12))))
             for i in rng.sample(range(1000), 60)]
-    return [*docs, (None, "\n".join(lines[:9])), (2000, None), (2001, ""), (2002, docs[0][1]), (2003, "y" * 900 + "\n" + "y" * 901)]
+    lone = "a line that only the document without an id holds, with one more word"
+    return [*docs, (None, "\n".join([*lines[:9], lone, lone + "."])), (2000, None), (2001, ""), (2002, docs[0][1]), (2003, "y" * 900 + "\n" + "y" * 901)]
 
 
 def test_matches_brute_force(spark):
