@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import SF_SMALL
+from rows import SF_SMALL
 from lakeledger.cli import main
 from lakeledger.plans.medallion import Layout
 from lakeledger.session import ensure_utc

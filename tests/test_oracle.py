@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from rows import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()

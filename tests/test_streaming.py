@@ -4,7 +4,7 @@ rows of the watermark dedup are kept apart."""
 from __future__ import annotations
 
 import pytest
-from conftest import SF_SMALL
+from rows import SF_SMALL
 from lakeledger.operators.audit import landed_positions, offset_missing
 from lakeledger.operators.bronze import split_parseable, to_bronze
 from lakeledger.plans.medallion import CheckpointLost, Layout, ingest
