@@ -40,7 +40,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = linededup.dedup_lines(docs)
+    cleaned = linededup.dedup_lines(docs, short_repeats=True)
     return docs_only(cleaned.withColumn("n_chars", F.length("text").cast("long")), docs)
 
 

@@ -2,7 +2,8 @@
 
 A line of a document goes when the same line, or one within ``edits`` edits of it, stands
 earlier in the corpus (by document id, then line number). Lines shorter than
-``MIN_CHARS`` characters are left alone.
+``MIN_CHARS`` characters take no part in the edit join; with ``short_repeats`` their exact
+repeats go all the same, blank lines (empty or white space only) excepted.
 
 The join: a line is cut into edits + 1 segments; two lines within ``edits`` edits share at
 least one segment unchanged, moved by a few characters at most. Each distinct line gives
@@ -114,10 +115,13 @@ def within(a: str, b: str, edits: int = EDITS) -> str:
             f" WHEN length({b}) = 0 THEN true ELSE {let(chars, 'x', run)} END")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(id, version, nth, line, chars, h1, h2) for each line long enough; docs: (id, text)."""
+def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
+    """(id, version, nth, line, chars, h1, h2) for each line long enough, with ``short`` also
+    for each shorter one that isn't blank; docs: (id, text)."""
     exploded = docs.select("id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("nth", "line"))
-    return exploded.withColumn("chars", F.length("line")).where(F.col("chars") >= MIN_CHARS).select(
+    wanted = F.col("chars") >= MIN_CHARS
+    wanted = wanted | F.col("line").rlike(r"\S") if short else wanted
+    return exploded.withColumn("chars", F.length("line")).where(wanted).select(
         "id", "version", "nth", "line", "chars", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
@@ -180,12 +184,13 @@ def near_lines(docs: DataFrame, *, edits: int = EDITS) -> DataFrame:
                   .select(F.col("late").alias("h1"), "early"), "line-near")
 
 
-def dedup_lines(docs: DataFrame, *, edits: int = EDITS, id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, *, edits: int = EDITS, short_repeats: bool = False, id: str = "doc_id",
+                text: str = "text") -> DataFrame:
     """``docs`` with the text's repeated lines removed, ``n_lines`` (of its text before) and
-    ``n_dropped``."""
+    ``n_dropped``. ``short_repeats``: exact repeats of lines under MIN_CHARS go, too."""
     plain = docs.select(col(id).cast("long").alias("id"), col(text).alias("text"))
     near = near_lines(plain, edits=edits)
-    lines = staged(_lines(plain).select("id", "version", "nth", "h1", "h2"), "line-places")
+    lines = staged(_lines(plain, short_repeats).select("id", "version", "nth", "h1", "h2"), "line-places")
     place = F.struct(F.coalesce("id", F.lit(LAST)).alias("id"), "nth")
     first = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     doubtful = first.join(near.select("h1", F.lit(True).alias("near")), "h1", "left").where("n > 1 OR near")

@@ -54,7 +54,7 @@ def op5_ann(spark, sf_dir):
 
 
 def op6_linededup(spark, sf_dir):
-    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), short_repeats=True)
 
 
 def op7_neardup(spark, sf_dir):
