@@ -34,10 +34,7 @@ def op2_mixing(spark, sf_dir):
 
 def op3_urlfilter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    _, said = urlfilter.best_rule(URL_RULES)
-    labelled = urlfilter.with_host_path(pages).withColumn("said", said).where("said IS NOT NULL").select(
-        "url", (F.col("said") == "block").cast("int").alias("label")).distinct()
-    judged = urlfilter.filter_urls(pages, labelled, URL_RULES)
+    judged = urlfilter.filter_urls(pages, urlfilter.labels(spark), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 

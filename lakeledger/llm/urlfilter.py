@@ -1,7 +1,8 @@
 """URL filter: rules first, then logistic regression on hashed character n-grams of host
 and path (native: DataFrame and SQL functions; the fit is Spark ML's, in the JVM).
 
-The model is trained from a small labelled URL table (url, label 1 = block). Features
+The model is trained from a small labelled URL table (url, label 1 = block); one comes with
+the operator (``labels``, from ``urllabels``). Features
 are character n-grams of the host (with a start and an end mark, so that a domain's
 ending counts) and of the path, each marked with the part it comes from and hashed into
 ``dims`` places; a place counts once per url. Scoring adds the fitted weights of a
@@ -20,9 +21,10 @@ from math import log
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeledger.llm import urllabels
 from lakeledger.llm.common import col, others
 
 DIMS = 2048
@@ -55,17 +57,26 @@ def places(dims: int = DIMS) -> Column:
     return F.expr(f"array_distinct(concat({', '.join(parts)}))")
 
 
+def labels(spark: SparkSession) -> DataFrame:
+    """The labelled URL table that comes with the operator: (url, label)."""
+    rows = "\n".join(f"{label} {url}" for url, label in urllabels.TABLE)
+    row = spark.range(1).select(F.explode(F.split(F.lit(rows), "\n")).alias("row"))
+    return row.select(F.substring("row", 3, 1 << 20).alias("url"), F.substring("row", 1, 1).cast("int").alias("label"))
+
+
 def fit(labelled: DataFrame, *, dims: int = DIMS, max_rows: int = 4_000, ridge: float = 1e-4) -> list[float]:
     """Weights (``dims`` of them, then the intercept) from ``labelled`` (url, label). At
-    most ``max_rows`` rows enter the fit, those of smallest url hash; the table is
-    meant to be small, and the bound keeps the fit's memory fixed."""
-    bounded = labelled.select("url", F.col("label").cast("double").alias("label")).orderBy(
-        F.xxhash64("url"), "url", "label").limit(max_rows)
-    counts = {r["label"]: r["count"] for r in bounded.groupBy("label").count().collect()}
+    most ``max_rows`` rows enter the fit, of each class those of smallest url hash; a class
+    has half of them, or more if the other leaves room. The table is meant to be small,
+    and the bound keeps the fit's memory fixed."""
+    rows = labelled.select("url", F.col("label").cast("double").alias("label"))
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    room = {x: max(max_rows // 2, max_rows - sum(counts.values()) + n) for x, n in counts.items()}
     if len(counts) < 2:
         only = next(iter(counts), 0.0)
         return [0.0] * dims + [log(1e6) if only == 1.0 else -log(1e6)]
-    table = with_host_path(bounded).select("label", places(dims).cast("array<string>").alias("at"))
+    drawn = [rows.where(F.col("label") == x).orderBy(F.xxhash64("url"), "url").limit(n) for x, n in sorted(room.items())]
+    table = with_host_path(drawn[0].unionByName(drawn[1])).select("label", places(dims).cast("array<string>").alias("at"))
     sparse = CountVectorizerModel.from_vocabulary([str(d) for d in range(dims)], "at", "features", binary=True)
     model = LogisticRegression(regParam=ridge, standardization=False, maxIter=50).fit(sparse.transform(table))
     return [float(x) for x in model.coefficients.toArray()] + [float(model.intercept)]
