@@ -191,7 +191,7 @@ def dedup_lines(docs: DataFrame, *, edits: int = EDITS, short_repeats: bool = Fa
     plain = docs.select(col(id).cast("long").alias("id"), col(text).alias("text"))
     near = near_lines(plain, edits=edits)
     lines = staged(_lines(plain, short_repeats).select("id", "version", "nth", "h1", "h2"), "line-places")
-    place = F.struct(F.coalesce("id", F.lit(LAST)).alias("id"), "nth")
+    place = F.struct(F.coalesce("id", F.lit(LAST)).alias("id"), "nth", "version")  # rows may share an id
     first = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     doubtful = first.join(near.select("h1", F.lit(True).alias("near")), "h1", "left").where("n > 1 OR near")
     dropped = staged(
