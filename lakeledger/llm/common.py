@@ -30,6 +30,12 @@ def others(df: DataFrame, taken) -> list[str]:
     return [c for c in df.columns if c.lower() not in own]
 
 
+def by_place(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named by place: mapInArrow and mapInPandas can't take names
+    that hold dots. The names of what comes out are those of the given schema."""
+    return df.toDF(*(f"_{i}" for i in range(len(df.columns))))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and read it
     back: lineage ends there, and a lost executor re-reads files instead of

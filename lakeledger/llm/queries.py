@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import ann, bpe, chat, langid, linededup, mixing, neardup, quality, sharding, urlfilter
+from lakeledger.llm import ann, bpe, chat, langid, linededup, mixing, neardup, quality, sharding, urlfilter, whitening
 
 SHARDS = 40
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -83,6 +83,12 @@ def op10_langid(spark, sf_dir):
         "doc_id", (share == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op12_whitening(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, components=4).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
@@ -94,6 +100,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
     "op10_langid": op10_langid,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLE: dict[str, str] = {}
