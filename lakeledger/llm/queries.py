@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import ann, bpe, chat, langid, linededup, mixing, neardup, quality, sharding, urlfilter, whitening
+from lakeledger.llm import ann, bpe, chat, compression, langid, linededup, mixing, neardup, quality, sharding, urlfilter, whitening
 
 SHARDS = 40
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -83,6 +83,13 @@ def op10_langid(spark, sf_dir):
         "doc_id", (share == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_compression(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = compression.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return compression.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op12_whitening(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return whitening.whiten(rows, components=4).select(
@@ -100,6 +107,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
     "op10_langid": op10_langid,
+    "op11_compression": op11_compression,
     "op12_whitening": op12_whitening,
 }
 
