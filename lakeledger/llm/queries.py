@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import ann, bpe, chat, compression, langid, linededup, mixing, neardup, quality, sharding, urlfilter, whitening
+from lakeledger.llm import ann, bpe, chat, compression, langid, linededup, mixing, neardup, quality, sharding, urlfilter, whitening, zfast
+from lakeledger.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 SHARDS = 40
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -96,6 +99,14 @@ def op12_whitening(spark, sf_dir):
         "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
 
 
+def op13_zfast(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = zfast.positioned(turns)
+    ids = rows.select("conv").distinct().selectExpr(
+        "conv", "conv - conv % 100 AS base", "CAST(crc32(CAST(CAST(conv AS STRING) AS BINARY)) % 6 AS INT) AS head")
+    return zfast.prefix_trie(zfast.with_heads(rows, ids), ids.select("conv"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
@@ -109,6 +120,5 @@ QUERIES = {
     "op10_langid": op10_langid,
     "op11_compression": op11_compression,
     "op12_whitening": op12_whitening,
+    "op13_zfast": op13_zfast,
 }
-
-ORACLE: dict[str, str] = {}
