@@ -18,14 +18,16 @@ of a curve. The work is queries x rows x ``CURVES`` x (2 * REACH + 1) / ``WINDOW
 stated query set, in blocks; recall is measured against brute force in the tests.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take
-no part, neither do vectors whose length isn't the most common one; fewer candidates
-than asked for: all of them; ties go to the smaller id. An empty table gives an empty
-result. Repeated ids count as one row per distinct vector. Extra columns are ignored.
+no part; vectors of different lengths are not neighbours, each length is searched by itself;
+fewer candidates than asked for: all of them; ties go to the smaller id. An empty table
+gives an empty result. Repeated ids count as one row per distinct vector, which is a query
+and a candidate for itself (but not for its own id). Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -96,17 +98,22 @@ def nearest(df: DataFrame, k: int, is_query: Column, *, id: str = "vec_id", vect
             curves: int = CURVES, reach: int = REACH, seed: int = 0) -> DataFrame:
     """For each row where ``is_query`` (over the column ``vec_id``): its ``k`` nearest other
     rows, as (query_id, rank from 1, vec_id, score)."""
-    spark = df.sparkSession
     raw = df.select(col(id).alias("vec_id"), col(vector).alias("vec")).where("vec_id IS NOT NULL").where(_usable(F.col("vec")))
-    raw = raw.withColumn("dims", F.size("vec")).distinct()
-    rows = staged(raw, "ann-rows")
-    common = rows.groupBy("dims").count().orderBy(F.desc("count"), "dims").first()
-    rows = rows.where(F.col("dims") == (common["dims"] if common else 0)).drop("dims")
+    rows = staged(raw.withColumn("dims", F.size("vec")).distinct(), "ann-rows")
+    lengths = [r.dims for r in rows.select("dims").distinct().orderBy("dims").collect()]  # one for each kind of embedding
+    found = [_nearest(rows.where(F.col("dims") == d).drop("dims"), k, is_query, curves, reach, seed) for d in lengths or [0]]
+    return reduce(DataFrame.union, found)
 
+
+def _nearest(rows: DataFrame, k: int, is_query: Column, curves: int, reach: int, seed: int) -> DataFrame:
+    """``nearest`` over distinct rows (vec_id, vec) of one length."""
+    spark = rows.sparkSession
     # One row per distinct vector, with the k + 1 smallest ids: a query can itself be one.
+    # Its number follows its smallest id, so ties by number are ties by id.
     ids = rows.selectExpr("vec", "vec_id", "row_number() OVER (PARTITION BY vec ORDER BY vec_id) AS nth").where(f"nth <= {k + 1}")
-    groups = staged(ids.groupBy("vec").agg(F.min("vec_id").alias("gid"), F.sort_array(F.collect_list("vec_id")).alias("ids")),
-                    "ann-vectors")
+    grouped = ids.groupBy("vec").agg(F.min("vec_id").alias("first"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    numbered = grouped.repartitionByRange("first", "vec").sortWithinPartitions("first", "vec")
+    groups = staged(numbered.select("vec", F.monotonically_increasing_id().alias("gid"), "ids"), "ann-vectors")
     queries = staged(rows.where(is_query).join(groups.select("vec", "gid"), "vec").select("vec_id", "gid"), "ann-queries")
     asked = queries.select("gid").distinct()
     n, n_asked = groups.count(), asked.count()

@@ -12,7 +12,7 @@ anything that isn't a letter of ASCII or part of a longer character as one space
 classifiers are multinomial: languages of one side count alike, however many rows each
 has, so a hot language doesn't drown the others.
 
-Training reads a bounded sample (about ``max_rows`` rows, by a hash of their key); its
+Training reads a bounded sample (about ``max_rows`` rows, of each language alike); its
 n-gram counts are added up in Spark, and the table of counts (languages x ``DIMS``) makes
 the model, which is broadcast. Prediction is one pass over whole texts, no exchange.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeledger.llm.common import col, others, small_batches
+from lakeledger.llm.common import by_place, col, others, small_batches
 
 DIMS = 1 << 14
 UNKNOWN = "und"
@@ -106,13 +106,15 @@ class Model:
 
 def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", max_rows: int = 20_000,
         seed: int = 0) -> Model:
-    """A model from the rows with a text and a language; about ``max_rows`` of them (each
-    by a hash of ``key``), so the fit's cost doesn't grow with the table."""
+    """A model from the rows with a text and a language; about ``max_rows`` of them (by a
+    hash of ``key``), as many of each language as it has and its part of them allows: the
+    fit's cost doesn't grow with the table, and a rare language is learned all the same."""
     known = labelled.select(col(key).alias("key"), col(text).alias("text"), col(lang).cast("string").alias("lang")).where(
         "lang IS NOT NULL")
-    rows = known.count()
-    share = min(1.0, max_rows / max(rows, 1))
-    sample = known.where(F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))  # one row a language
+    each = F.ceil(F.lit(float(1 << 30)) * F.least(F.lit(1.0), F.lit(max_rows / max(rows.count(), 1)) / F.col("rows")))
+    sample = known.join(F.broadcast(rows.select("lang", each.alias("below"))), "lang").where(
+        F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 30)) < F.col("below"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -153,4 +155,4 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
                 names=[*keep, *(f.name for f in out)])
 
     schema = T.StructType([*(docs.schema[c] for c in keep), *out])
-    return docs.select(*[col(c) for c in keep], col(text).alias("__text")).mapInArrow(run, schema)
+    return by_place(docs.select(*[col(c) for c in keep], col(text).alias("__text"))).mapInArrow(run, schema)

@@ -27,8 +27,8 @@ a shuffle join.
 
 Edge cases: null and empty texts have nothing to drop and stay as they are; a text whose
 lines all go becomes empty, its row stays; lines are split at \\n only and compared as
-they are; rows that share id and text are one document; a null id comes last in order; an
-empty table gives an empty result. Input columns named like an output column are
+they are; rows that share id and text are one document; a null id comes last in order; ids
+that aren't whole numbers are ordered as strings; an empty table gives an empty result. Input columns named like an output column are
 replaced.
 """
 
@@ -36,6 +36,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeledger.llm.common import col, let, lookup_join, others, staged
 
@@ -115,6 +116,11 @@ def within(a: str, b: str, edits: int = EDITS) -> str:
             f" WHEN length({b}) = 0 THEN true ELSE {let(chars, 'x', run)} END")
 
 
+def _last(docs: DataFrame) -> Column:
+    """What a null id counts as: after all others."""
+    return F.lit(LAST) if docs.schema["id"].dataType.simpleString() == "bigint" else F.lit("\U0010ffff" * 4)
+
+
 def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """(id, version, nth, line, chars, h1, h2) for each line long enough, with ``short`` also
     for each shorter one that isn't blank; docs: (id, text)."""
@@ -130,7 +136,7 @@ def _texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
     documents."""
     lines = staged(shared.select("h1", "id").distinct(), "line-wanted")
     n = lines.count()
-    named = docs.select(F.coalesce("id", F.lit(LAST)).alias("id"), "text")  # as places name them
+    named = docs.select(F.coalesce("id", _last(docs)).alias("id"), "text")  # as places name them
     some = lookup_join(named, lines.select("id").distinct(), "id", n, "left_semi")
     found = lookup_join(_lines(some), lines.select("h1").distinct(), "h1", n, "left_semi").groupBy("h1").agg(F.min("line").alias("line"))
     counts = ", ".join(letter_counts("line", c) for c in COUNTED)
@@ -147,7 +153,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
 def near_lines(docs: DataFrame, *, edits: int = EDITS) -> DataFrame:
     """``docs`` (id, text) -> (h1, early): each distinct line that has an earlier distinct line
     within ``edits`` edits, with one such line. Lines are named by their hash."""
-    order = F.struct(F.coalesce("id", F.lit(LAST)).alias("id"), F.col("nth").alias("nth"))
+    order = F.struct(F.coalesce("id", _last(docs)).alias("id"), F.col("nth").alias("nth"))
     keys = [f"named_struct('key', {k}, 'indexed', {flag})" for flag, ks in
             (("true", index_keys(edits=edits)), ("false", probe_keys(edits=edits))) for k in ks]
     lines = _lines(docs).select("h1", "h2", order.alias("place"), F.expr(f"array({', '.join(keys)})").alias("keys"))
@@ -188,25 +194,27 @@ def dedup_lines(docs: DataFrame, *, edits: int = EDITS, short_repeats: bool = Fa
                 text: str = "text") -> DataFrame:
     """``docs`` with the text's repeated lines removed, ``n_lines`` (of its text before) and
     ``n_dropped``. ``short_repeats``: exact repeats of lines under MIN_CHARS go, too."""
-    plain = docs.select(col(id).cast("long").alias("id"), col(text).alias("text"))
+    whole = isinstance(docs.schema[id].dataType, T.IntegralType)
+    name = col(id).cast("long" if whole else "string")
+    plain = docs.select(name.alias("id"), col(text).alias("text"))
     near = near_lines(plain, edits=edits)
     lines = staged(_lines(plain, short_repeats).select("id", "version", "nth", "h1", "h2"), "line-places")
-    place = F.struct(F.coalesce("id", F.lit(LAST)).alias("id"), "nth", "version")  # rows may share an id
+    place = F.struct(F.coalesce("id", _last(plain)).alias("id"), "nth", "version")  # rows may share an id
     first = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     doubtful = first.join(near.select("h1", F.lit(True).alias("near")), "h1", "left").where("n > 1 OR near")
     dropped = staged(
         lines.join(doubtful, ["h1", "h2"]).where((place != F.col("first")) | F.coalesce("near", F.lit(False)))
-        .groupBy("id", "version").agg(F.collect_set("nth").alias("drop")).select(F.col("id").alias("__id"), F.col("version").alias("__v"), "drop"),
+        .groupBy("id", "version").agg(F.collect_set("nth").alias("__drop")).select(F.col("id").alias("__id"), F.col("version").alias("__v"), "__drop"),
         "line-dropped")
-    size = dropped.agg(F.coalesce(F.sum(F.size("drop") + 3), F.lit(0))).first()[0]
+    size = dropped.agg(F.coalesce(F.sum(F.size("__drop") + 3), F.lit(0))).first()[0]
     out = ("n_lines", "n_dropped")
     keep = others(docs, out)
     marked = lookup_join(docs.select(*[col(c) for c in keep]), dropped,
-                         col(id).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(col(text)) == F.col("__v")), size, "left")
+                         name.eqNullSafe(F.col("__id")) & (F.xxhash64(col(text)) == F.col("__v")), size, "left")
     parts = F.split(col(text), "\n")
-    kept: Column = F.when(F.col("drop").isNull(), col(text)).otherwise(F.expr(
-        f"array_join(filter(split(`{text}`, '\\\\n'), (l, i) -> NOT array_contains(drop, i)), '\\n')"))
+    kept: Column = F.when(F.col("__drop").isNull(), col(text)).otherwise(F.expr(
+        f"array_join(filter(split(`{text}`, '\\\\n'), (l, i) -> NOT array_contains(__drop, i)), '\\n')"))
     return marked.select(
         *[kept.alias(c) if c == text else col(c) for c in keep],
         F.when(col(text).isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long").alias("n_dropped"))
+        F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long").alias("n_dropped"))

@@ -30,9 +30,8 @@ compared by these hashes (in a document of 20,000 shingles a collision has odds
 
 Edge cases: null, empty and blank texts have the empty set and are linked with nothing;
 a text with fewer words than a shingle is one shingle; a row with a null id is linked
-with nothing and kept; rows that share an id are one document (each is a node if their
-texts differ, and the id is kept if the id is its component's); an empty table gives an
-empty result.
+with nothing and kept; rows that share an id are each a node if their texts differ (kept, if
+the id is their component's); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -135,7 +134,7 @@ def set_key(members: np.ndarray) -> tuple[int, int]:
 
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
-    """(id, n, k1, k2, sketch) of each row (id, text)."""
+    """(id, n, k1, k2, sketch, version) of each row (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -147,10 +146,11 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                 sketches.append(sketch(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 pa.array(sketches, pa.binary())], names=["id", "n", "k1", "k2", "sketch"])
+                 pa.array(sketches, pa.binary()), batch.column(2)], names=["id", "n", "k1", "k2", "sketch", "version"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, sketch binary")
+    return docs.select("id", "text", F.xxhash64("text").alias("version")).mapInArrow(
+        run, f"id {kind}, n long, k1 long, k2 long, sketch binary, version long")
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -221,16 +221,17 @@ def _across(open_: DataFrame, classes: DataFrame, docs: DataFrame, size: int, pe
     return found.distinct()
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) for each row of ``docs``: component_id is the
-    smallest id that links lead to, kept whether it is the row's own."""
+def _components(docs: DataFrame, words: int, percent: int, id: str, text: str) -> DataFrame:
+    """(id, version, n, component_id, stays) for each row of ``docs``: the smallest id that
+    links lead to, and the smallest (id, version) of the component, the row that stays."""
     plain = docs.select(col(id).alias("id"), col(text).alias("text"))
     rows = staged(_signed(plain, words).withColumn("rid", F.monotonically_increasing_id()), "dup-rows")
     own = rows.where("n > 0 AND id IS NOT NULL")
     classes = staged(
-        own.groupBy("k1", "k2").agg(F.min(F.struct("id", "rid")).alias("least"), F.first("n").alias("n"),
+        own.groupBy("k1", "k2").agg(F.min(F.struct("id", "version", "rid")).alias("least"), F.first("n").alias("n"),
                                     F.first("sketch").alias("sketch"))
-        .select("k1", "k2", "n", "sketch", F.col("least.id").alias("id"), F.col("least.rid").alias("gid")), "dup-classes")
+        .select("k1", "k2", "n", "sketch", F.col("least.id").alias("id"), F.col("least.version").alias("version"),
+                F.col("least.rid").alias("gid")), "dup-classes")
 
     slices = [f"xxhash64({b}, substring(sketch, {b * PER_BAND * 4 + 1}, {PER_BAND * 4}))" for b in range(BANDS)]
     buckets = classes.selectExpr("gid", f"explode(array({', '.join(slices)})) AS bucket")
@@ -262,24 +263,36 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id: s
         open_ = open_.select("bucket", "gid")
 
     named = classes.join(labels, F.col("gid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "gid"))
-    least = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    by_set = named.join(least, "label").select("k1", "k2", "component_id")
-    linked = rows.where("n > 0 AND id IS NOT NULL").join(by_set, ["k1", "k2"]).select("id", "n", "component_id")
-    alone = rows.where("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component_id"))
-    return linked.union(alone).select(
+    least = named.groupBy("label").agg(F.min(F.struct("id", "version")).alias("stays"))
+    by_set = named.join(least, "label").select("k1", "k2", "stays")
+    linked = own.join(by_set, ["k1", "k2"]).select("id", "version", "n", F.col("stays.id").alias("component_id"), "stays")
+    alone = rows.where("n = 0 OR id IS NULL").select(
+        "id", "version", "n", F.col("id").alias("component_id"), F.struct("id", "version").alias("stays"))
+    return linked.union(alone)
+
+
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id, kept) for each row of ``docs``: component_id is the
+    smallest id that links lead to, kept whether it is the row's own."""
+    return _components(docs, words, percent, id, text).select(
         F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one of smallest id. Of rows that
-    share an id, one stays."""
-    found = staged(near_duplicates(docs, words=words, percent=percent, id=id, text=text), "dup-found")
-    gone = staged(found.where("NOT kept").select(col(id)).distinct().join(found.where("kept").select(col(id)).distinct(), id, "left_anti"), "dup-gone")
-    again = staged(found.where(col(id).isNotNull()).groupBy(col(id)).count().where("count > 1").select(id), "dup-again")
-    left = lookup_join(docs, gone, id, gone.count(), "left_anti")
+    """``docs`` with one document of each component: the one of smallest id, and of rows that
+    share that id the text of smallest hash. Rows are told apart by id and text, so texts
+    without a link both stay, whatever their ids; of rows equal in both one stays. Rows
+    without a word or an id are linked with nothing: all stay."""
+    found = staged(_components(docs, words, percent, id, text).where("n > 0 AND id IS NOT NULL").select(
+        F.col("id").alias("__id"), F.col("version").alias("__v"),
+        (F.struct("id", "version") != F.col("stays")).alias("gone")), "dup-found")
+    gone = staged(found.where("gone").select("__id", "__v").distinct(), "dup-gone")
+    again = staged(found.where("NOT gone").groupBy("__id", "__v").count().where("count > 1").select("__id", "__v"), "dup-again")
+    same = (col(id) == F.col("__id")) & (F.xxhash64(col(text)) == F.col("__v"))
+    left = lookup_join(docs, gone, same, 2 * gone.count(), "left_anti")
     repeats = again.count()
     if not repeats:
         return left
-    once = lookup_join(left, again, id, repeats, "left_semi").dropDuplicates([id])
-    return lookup_join(left, again, id, repeats, "left_anti").unionByName(once)
+    once = lookup_join(left, again, same, 2 * repeats, "left_semi").dropDuplicates([id, text])
+    return lookup_join(left, again, same, 2 * repeats, "left_anti").unionByName(once)

@@ -143,15 +143,20 @@ def ordered(found: list[tuple[Rule, float, float]]) -> list[Rule]:
     return [r for r, s, out in sorted(found, key=lambda x: (-x[2] / x[1], x[1], x[0].name))]
 
 
+def cascade_sql(rules: list[Rule], have: frozenset[str] = frozenset()) -> str:
+    return "CASE " + " ".join(f"WHEN {r.sql(have)} THEN '{r.name}'" for r in rules) + " END"
+
+
 def cascade(rules: list[Rule], have: frozenset[str] = frozenset()) -> Column:
     """Name of the first rule that rejects, in this order; null if none does. Branches
     after the first true one aren't evaluated."""
-    return F.expr("CASE " + " ".join(f"WHEN {r.sql(have)} THEN '{r.name}'" for r in rules) + " END")
+    return F.expr(cascade_sql(rules, have))
 
 
 def judge(docs: DataFrame, *, base: list[Rule] = BASE, rules: list[Rule] = RULES, text: str = "text",
           measures: tuple[str, ...] = (), sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with ``failed_rule`` (null: none) and ``kept``, after the columns in
+    """``docs`` with ``failed_rule`` (the first of ``base`` and ``rules``, as given, that
+    rejects; null: none) and ``kept``, after the columns in
     ``measures`` (names of MEASURES), which are then computed for every document."""
     order = ordered(estimate(docs, base + rules, text=text, sample_rows=sample_rows))
     out = (*measures, "failed_rule", "kept")
@@ -159,5 +164,9 @@ def judge(docs: DataFrame, *, base: list[Rule] = BASE, rules: list[Rule] = RULES
     frame = _prepared(docs, text, keep)
     for m in measures:
         frame = frame.withColumn(m, F.expr(MEASURES[m]))
-    judged = frame.withColumn("failed_rule", cascade(order, frozenset(measures)))
-    return judged.select(*[col(c) for c in keep], *measures, "failed_rule", F.col("failed_rule").isNull().alias("kept"))
+    have = frozenset(measures)
+    judged = frame.withColumn("__hit", cascade(order, have))
+    # The verdict is the cascade's; the name is that of the first rule in the given order, so
+    # it doesn't hang on how long a rule took. Only rejected rows evaluate it.
+    named = judged.withColumn("failed_rule", F.expr(f"IF(__hit IS NULL, NULL, {cascade_sql(base + rules, have)})"))
+    return named.select(*[col(c) for c in keep], *measures, "failed_rule", F.col("__hit").isNull().alias("kept"))

@@ -1,25 +1,19 @@
 """The labelled URL table of the URL filter: invented urls with the host and path words of
-spam (gambling, pills, adult, ads, quick money) and of ordinary sites, 400 of each.
+spam (gambling, medicine, adult, quick money; 255 urls) and of ordinary sites (400).
 Both kinds have the same subdomains, endings and numbered paths, so words make the
 difference; half of the ordinary hosts are made-up names."""
 
 BLOCK = """
 http://shop.money-adult.es/discount-loans
 https://meds-meds.fr/es/7968
-https://www.escort-brongheand.org/win/forex.html
 http://m.loans64.example.net/p/1224.html
 http://news.gift14.de/fr/3245/
 https://blog.traffic-biengplanlul.example.org/en/5622
-http://www.pixel-cheap.example.org/de/7987/
-https://m.ziendcher-adserver.example.org/es/8425.html
-http://news.zatbang-sex.es/tracker-keygen
 http://bingo-bonus.example.org/gift/2549
 http://www.shengstur-cams.example.org/diet/8673
 https://shop.torrent-keygen.example.com/de/1590
 http://www.profit-bet.net/index.html
 https://news.vepoundteat-payday.fr/fr/2970/
-https://shop.winner-slots.example.org/buy/bingo
-https://www.bets-viagra.example.com/buy/torrent
 http://news.bet-viagra.example.org/en/6811.html
 http://statwouszous-quick.example.org/fr/4851/
 http://slimming-poker.example.net/best-slimming-poker.html
@@ -27,234 +21,149 @@ https://clicks47.example.com/fr/3907
 http://www.trotramut-prize.example.org/es/1417
 http://shop.bannerslots.example.org/p/8989.html
 https://blog.replica64.fr/offer/roulette
-https://shop.bets-viagra.example.com/9238
 https://thisbou-rx.fr/index.html
 https://cams-crack.example.org/index.html
-https://diet-cheap.co.uk/4785
 https://shop.forex77.org/index.html
-https://news.adsfarm.example.org/giveaway/7744
 https://cialispoker.example.com/es/7866.html
 https://giveawaydebt.example.org/index.html
 https://blog.poker2.example.org/p/6161.html
 https://porn-pharma.co.uk/buy/replica
-http://pills-lanfout.de/5206
-http://www.popupfree.example.org/buy/crack
 https://www.rundfien-jackpot.net/index.html
 http://shop.money-roulette.co.uk/fr/2598/
 http://news.xxx-gift.fr/buy/bingo
-https://www.casinolottery.example.com/sex-now
-http://farm84.example.com/de/8514
 https://blog.viengsil-gamble.co.uk/en/5142.html
 https://shop.slimming-links.example.com/en/5128
-http://m.freequick.org/offer/win
-http://www.spam-genddieng.de/banner-roulette
 http://www.warez-gandchou.net/debt-now
 http://news.cash77.example.org/
 https://www.noupleang-dating.org/fr/6208/
 https://m.slots-credit.co.uk/1498
 http://news.tieleas-diet.es/fr/5624
-https://www.seo-sartear.example.com/best-track-tracker.html
 http://blog.porn20.es/offer/quick
 https://www.stondcon-bingo.example.com/es/6948
-https://lotterypills.example.org/es/402
-https://www.discountcasino.co.uk/es/2599.html
 https://m.richbanner.co.uk/click/6180
-https://shop.nuntrietsteal-betting.net/win/bonus.html
 https://jackpot-wager.info/es/16
-https://m.credit-track.fr/es/6055.html
 https://shop.gefuvie-hot.de/best-pixel-warez.html
 https://m.pharma-singles.example.org/best-quick-popup.html
 https://m.neangfoul-crypto.info/buy/slots
 https://m.porn-adult.fr/en/4486
-https://blog.trackercialis.example.org/es/527
 https://credit16.info/de/1032/
 https://m.debt-sex.example.org/fr/6364
 http://blog.miracledating.fr/buy/warez
 https://shop.pohea-weightloss.example.org/de/3599/
-https://news.win92.es/p/7426.html
 https://torrentseo.org/offer/rx
-https://m.moneytracker.example.org/index.html
-http://shop.meds-giveaway.com/win/roulette.html
 http://m.singles-escort.net/fr/678
 http://blog.keastondut-loans.example.com/
 https://m.gift58.de/9574
 https://traffic-meds.example.com/es/265
 https://shop.pixel-brinddean.example.org/es/1091
-https://adserver-forex.example.org/de/5753/
 http://www.profit-sex.org/fr/2256
 https://bonus-tetbon.info/index.html
 http://www.cams46.example.com/
 http://keygen1.fr/es/4935
-http://m.bets-profit.example.org/offer/gift
 http://shop.paydayroulette.example.org/replica-cams
-https://track-winner.es/clicks-jackpot
 https://blog.viagra21.example.org/p/7419.html
 https://shop.bet32.co.uk/p/6780.html
 https://quick-viagra.org/fr/8765
 http://m.slimmingrx.example.org/en/4467.html
 https://www.clicks58.net/es/4436.html
-http://blog.winner-prize.example.net/betting-win
 http://shop.bannercredit.example.org/es/8868.html
 https://www.replica75.es/slots/3542
-http://www.betswarez.de/es/3291
-https://www.rx-track.com/cams-debt
 http://crack-discount.info/2597
-https://cheap48.net/en/3029.html
 https://news.forex98.fr/fr/4824
-http://blog.tracker-ads.com/
 http://news.steanrit-cialis.example.com/en/3824.html
 https://news.putralwend-giveaway.com/credit/4409
 http://shop.thiedu-poker.fr/pharma/8257
 https://www.pharma94.com/en/7794.html
-http://m.nousmis-pills.co.uk/betting/6464
-https://popuptracker.com/popup/5417
 https://blog.jackpot97.es/en/3954.html
 https://roulette61.example.com/fr/9606/
 https://news.xxx-hanhul.example.com/en/35.html
-http://news.casino-tiersot.example.net/3408
-http://farmgamble.es/win/track.html
-https://blog.gamble-casino.example.org/es/275.html
 https://shop.links76.example.com/offer/dating
-http://m.weantriendnoun-free.fr/
-http://spam-dasthil.net/buy/farm
 http://www.warezcams.example.net/p/5885.html
 http://cash-gamble.fr/es/8901.html
 https://m.dating-traffic.com/de/4787/
 https://blog.fiengkung-slots.example.com/best-debt-poker.html
 http://www.diet72.net/de/6512/
-http://www.seo-theangtu.net/track-betting
-http://www.singles-porn.example.org/win/banner.html
 https://m.bingo92.info/
 https://blog.broulwatiet-lottery.es/de/9980
 http://blog.discount-trirzandbrond.net/5964
 http://www.richslimming.net/
 https://betting-sounsetbies.example.org/en/6283.html
-http://www.wager-nuslen.example.org/buy/pills
-https://vasheang-track.net/en/9122.html
 http://www.shiendbrous-hot.example.net/de/2490/
-https://www.singles-coutholtral.net/offer/winner
 https://www.breattho-crypto.com/wager-now
 https://adultwager.net/fr/7861/
-http://www.tracker-traffic.net/fr/2168
 http://news.credit5.co.uk/9887
 https://www.heashouzon-debt.example.net/poker-now
-https://shop.miraclepills.info/es/1473
 http://m.weightlossslots.example.org/fr/8700/
-http://shop.win27.net/de/195/
 http://shop.torrent44.example.net/index.html
 http://m.money96.net/best-keygen-slimming.html
 http://shop.meds-wager.co.uk/fr/5381/
-https://www.escort-ciethir.net/win/viagra.html
 https://blog.loans65.com/offer/slimming
 http://cams-gift.info/de/3782/
-http://trafficrx.co.uk/banner-free
 https://blog.cusnout-pixel.co.uk/click/4023
-http://m.sulbie-adserver.example.org/849
-https://m.sex-casino.example.com/index.html
 https://www.bonus-shisvangstand.example.com/fr/116/
 http://blog.cams-diet.es/buy/popup
 http://keygen-lottery.example.org/es/1634
 http://cams-profit.com/gift-lottery
 https://www.porn-payday.info/fr/62/
-http://www.winner7.example.net/
 https://shop.karvoutheal-viagra.example.com/en/9434.html
 https://blog.bet-stoulcear.de/torrent-now
 https://quickquick.info/
 https://news.slimming92.com/en/8131
-http://clickstrack.net/3118
-https://m.tracker-prize.info/8979
 http://www.banner-torrent.de/best-pixel-slots.html
 http://shop.replica-relcot.example.org/es/2045.html
-https://shop.betspills.info/en/844
 https://www.rx15.example.net/en/9730.html
 https://www.crack-goundzan.example.org/fr/7064
-https://cheap-stengsting.org/en/2379
-http://blog.forex13.es/pills-prize
-https://m.sirear-ads.example.org/es/9940.html
 http://blog.cialis-crack.com/fr/4473/
 http://m.sirbrarret-giveaway.net/p/9138.html
 https://news.poker-wager.example.net/de/2818
 https://blog.pharma64.example.net/buy/cash
-https://blog.shiengru-pills.de/click/2726
 https://popup10.example.net/buy/cash
 http://www.jackpot-boulkulthar.example.net/de/7757/
 http://roulette-moutwus.example.com/fr/5838
-http://news.paseand-xxx.fr/win/payday.html
-http://www.hiendmo-casino.com/fr/6516
-https://www.farm-pills.co.uk/en/2413.html
 https://shop.gambletorrent.de/es/162.html
 http://blog.viagra-links.example.net/p/289.html
-http://freeweightloss.org/fr/3631/
-https://news.vendlanglieng-spam.co.uk/buy/ads
 http://blog.brurtring-warez.co.uk/es/111
 http://m.cash-gamble.example.org/best-torrent-quick.html
 http://www.punvu-dating.example.com/es/6218.html
 http://slots-thelbriepier.es/index.html
 http://www.diet-zietgealnear.org/es/5929
 http://shop.seobingo.com/8002
-http://www.shiermulrear-porn.es/free-credit
-https://blog.casino-bingo.de/buy/casino
 http://lottery-loans.de/fr/8727/
-https://shop.discount-winner.net/en/9471.html
 http://rich-trondwour.example.com/
 https://www.hot-betting.org/de/2823
-http://wagerhot.example.org/winner/4872
-https://m.trackbets.org/prize/3657
 https://www.hotbonus.org/
 https://singleswager.info/es/7392
-http://shop.crypto75.example.org/win/betting.html
-https://adultwin.es/win/winner.html
-http://m.tracker-farm.example.org/best-banner-win.html
 http://shop.credit-viagra.org/9749
 https://www.debt-theastie.es/es/1144.html
-http://m.miracle-thondchutpland.example.org/best-bets-bets.html
 https://www.weightloss-slimming.co.uk/en/2400.html
-https://win30.fr/win/credit.html
 https://www.torrent-slimming.info/best-torrent-dating.html
 https://shop.money15.de/de/2648/
 https://www.shodas-meds.example.org/
 https://blog.escort50.net/es/551
 https://tringkie-loans.net/index.html
 http://trenzear-gift.example.com/buy/quick
-https://shop.traffic-ads.fr/de/7378
-http://m.pixel-kolcokeat.com/hot-cheap
-http://spam-adserver.com/p/2917.html
 https://sex-houlbeal.example.net/es/5203
 http://shop.bonuscialis.example.net/es/1452.html
 https://gasnet-cams.example.org/click/7211
-https://keygen-pills.net/en/9379.html
 http://profit-sieltrendkit.com/de/1561
 https://blog.vapleand-payday.net/en/7483.html
-http://sterpingsie-winner.example.net/cheap-now
 http://blog.singles-viagra.org/fr/7664
-http://news.betxxx.example.org/win/free.html
 http://quick-crack.example.com/es/60
 https://www.clicks-slimming.example.org/es/7802.html
 https://clicks-money.fr/click/8829
 http://prize55.fr/6752
 https://shop.banner-gift.net/fr/367
 http://stoundmiel-replica.de/en/7183
-http://news.bets-stiendplean.fr/es/4756
 https://m.rx-wouviet.example.net/money-now
 https://blog.ploutchas-crack.example.com/p/7608.html
-https://www.doungplat-cheap.example.org/buy/bonus
 https://shop.forex-gamble.example.org/profit-torrent
-https://blog.ranghoutter-ads.de/weightloss-ads
-http://www.cialis-replica.fr/win/xxx.html
 https://www.giveaway-theanpienbries.com/giveaway/6373
 http://wieheang-poker.es/buy/viagra
 https://news.stiton-pharma.co.uk/hot-loans
-https://m.pills-casino.example.com/win/giveaway.html
 https://kiersheat-popup.example.org/index.html
 http://m.jackpot95.example.org/p/1440.html
-https://news.roulette-farm.example.net/win/roulette.html
 https://news.tatnelwos-xxx.co.uk/offer/betting
-http://m.casino-vumea.example.org/cialis/3020
-https://www.farm-dating.example.org/1756
 http://gamble-payday.example.com/index.html
-http://m.links-shetpouncheang.org/buy/winner
-https://kinstout-free.com/click/6252
-https://news.spamforex.example.org/en/1647
 https://news.diet-warez.es/click/1504
 https://www.cash14.es/p/9421.html
 http://datingloans.org/de/6168/
@@ -268,33 +177,23 @@ https://news.discount81.example.com/en/5557.html
 http://news.rich26.example.net/index.html
 https://www.betting33.com/slots-sex
 http://wager-warez.com/index.html
-https://www.track-kondkat.example.net/track-replica
 https://shop.singles-hot.org/popup/5819
 http://m.singles10.de/fr/939
 https://mopit-crypto.co.uk/rich-gamble
 http://vielto-adult.example.org/en/9021.html
-http://m.tracker91.com/en/269
 https://blog.gamble-credit.net/en/5939
-https://www.debt-popup.example.com/win/cash.html
-http://news.miracle-cheap.fr/win/cams.html
 http://weightloss49.com/fr/7646/
-http://www.prize-win.co.uk/fr/2476
 https://m.torrent-thuszen.es/seo/712
-https://news.tracker-money.de/rich/3238
 https://meds-roulette.net/en/410.html
-http://blog.escortwinner.org/wager-payday
 http://www.loans62.info/de/8219/
 http://giftrx.example.com/meds-now
 http://www.trafficcams.example.com/en/4449.html
 http://larzond-pixel.example.org/es/2668.html
-https://m.pharma-adserver.fr/5286
 https://shop.sex-wanghous.com/fr/3558/
-https://m.bonus-turtou.info/track/719
 https://www.cams70.example.net/es/7775.html
 http://shop.rangploce-keygen.fr/
 http://neskur-profit.net/bingo/4053
 http://www.seandhen-payday.example.net/viagra/2558
-http://shop.winnercheap.example.org/traffic/8666
 https://news.viagraloans.example.org/en/8039.html
 http://bet78.com/es/9121.html
 https://blog.quickgift.de/en/3332
@@ -303,27 +202,13 @@ http://news.clicksbonus.example.net/click/854
 http://news.links-prize.info/en/1466
 https://blog.banner-niendploutrar.example.com/p/2850.html
 https://shop.replicamiracle.es/p/8833.html
-http://shop.bets-clicks.example.net/
-https://rxtraffic.fr/buy/cheap
-https://crack-casino.es/de/7645/
-http://www.cheap-thenwus.es/index.html
-https://m.free-forex.example.org/es/3084
-http://blog.torrent-ads.es/best-win-gamble.html
 https://plicha-cialis.info/de/9928
-https://m.pingbeaspliend-giveaway.info/adserver/6963
 http://blog.poker-zendlous.fr/
 https://www.pharma-pharma.es/fr/2519/
-http://news.pillslottery.com/p/2191.html
 https://shop.popup-moundbetrang.example.net/en/1666.html
 http://forex-jackpot.example.net/offer/xxx
 https://news.roulettejackpot.co.uk/fr/3826
-https://xxxfree.com/spam/3278
-http://shop.casino-brondthang.example.org/warez-prize
-https://shop.farmtrack.fr/de/7294
-https://blog.forex-gamble.example.com/forex-casino
 http://www.linksslimming.com/offer/popup
-http://free-slimming.example.org/win/rx.html
-https://m.spamfree.example.com/1421
 https://blog.wager-warez.org/p/7744.html
 https://blog.cash-bingo.co.uk/fr/2571
 https://www.datingxxx.example.org/en/8311
@@ -334,76 +219,46 @@ https://www.rearplind-porn.fr/fr/1672
 http://www.warez-bingo.org/fr/7511/
 http://lottery-escort.example.com/fr/1210
 http://blog.discount-seo.info/de/8037
-http://rich-rx.org/win/torrent.html
-http://www.winwou-betting.co.uk/index.html
 http://blog.wager-buvound.example.net/de/9663/
-http://bet-track.example.org/offer/betting
 https://shop.cams-hot.example.net/de/1060/
-https://news.thoundbudet-singles.de/win/prize.html
-https://www.brierkean-crypto.fr/hot-bets
 http://shop.adultcialis.de/fr/4851
-http://news.trackerpixel.org/es/3163
-https://m.creditwinner.com/click/921
 http://www.debt14.org/de/7387/
 https://shop.vitkeat-miracle.example.com/fr/1966
 https://www.witvind-weightloss.example.org/click/6565
-https://shop.win45.example.com/track/7905
 http://news.torrent-escort.example.com/index.html
 http://m.moneygift.info/p/5108.html
-https://medsbets.example.org/buy/roulette
 https://blog.weightloss-escort.example.net/click/8135
 http://m.loans-chishoche.example.org/buy/pixel
 https://shop.clicks-gift.fr/es/1941
 https://www.sex-traffic.info/de/1027
 https://www.pielland-pixel.fr/es/7113.html
-http://www.adserver-track.example.com/click/6037
 http://www.diet-sex.es/
 https://www.bonus-pierrout.org/click/9283
-http://www.cams-ziertricu.example.org/buy/winner
-http://keygenspam.example.org/en/689
-http://shop.profit-track.info/en/4725
 https://debt-payday.info/
-http://blog.winner-fogieng.fr/index.html
 https://viagra-giveaway.de/index.html
-https://bet74.example.com/best-popup-cheap.html
 https://quick-volkus.example.org/click/6655
 https://news.slimming-sex.example.com/fr/781
 http://www.clicks-couslea.com/p/897.html
-https://xxx-prize.example.net/win/slots.html
 http://banner35.es/p/9633.html
 http://m.replica-moufo.net/meds/9817
-https://porn-bets.co.uk/win/bets.html
 http://www.rx42.example.com/en/8919.html
-https://briendpi-crack.net/adserver-now
-http://blog.cheapforex.fr/4980
-https://www.ads-forex.de/win/payday.html
-https://blog.ads-nielloulpiend.example.org/en/6415.html
 https://m.cekongvea-cialis.example.org/es/5053
 https://giveaway60.net/fr/7505/
 https://brundvas-poker.co.uk/en/2338.html
 https://m.plunoul-pharma.fr/fr/9745
-https://blog.pills-veatrieng.example.net/keygen/6837
 http://shop.betting-popup.example.org/es/6530.html
-https://www.popup-jackpot.example.com/money-spam
 http://blog.roulette24.example.com/4142
 http://xxx-stutrunping.org/en/586.html
-http://casinopills.com/en/6043.html
-http://news.farm-sotlat.co.uk/es/2018
 https://news.gamble-wershier.com/offer/betting
 https://shop.links-treanghea.com/en/8159.html
-http://blog.roulette-free.example.org/click/7767
-http://blog.spam12.com/index.html
 https://m.warez59.co.uk/2923
 https://viendgoul-cash.example.net/de/5194
 https://www.sisliet-dating.example.com/es/3180
 http://news.slotsmoney.example.org/best-jackpot-credit.html
 https://diet-wosdonlies.com/de/6199
 https://blog.seo-lottery.info/
-http://porn-wager.co.uk/win/meds.html
 http://www.cams-bingo.de/3863
-https://blog.lotteryads.de/rich/9407
 http://www.discountwarez.example.org/fr/267
-https://www.escort-rich.de/offer/ads
 """.split()
 
 ALLOW = """

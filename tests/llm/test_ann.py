@@ -70,3 +70,34 @@ def test_few_rows(spark):
     assert [i for i, _ in got[0]] == [9, 7] and abs(got[0][1][1] - 0.5**0.5) < 1e-12
     assert ann.nearest(df.where("vec_id = 0"), 5, F.col("vec_id") == 0).count() == 0
     assert ann.nearest(df.limit(0), 5, F.col("vec_id") == 0).count() == 0
+
+
+def test_repeated_ids_and_lengths(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.1]), (50, [1.0, 2.0, 3.0]), (3, [3.0, 2.0, 1.0]), (4, [1.0] * 4)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, score string")
+    got = ann.nearest(df, 5, F.col("vec_id") % 50 == 0).collect()
+    near = 1 / np.sqrt(1.01)
+    want = [(0, 1, 0.1 * near), (0, 1, near), (50, 3, 10 / 14)]
+    assert [(r.query_id, r.vec_id) for r in sorted(got)] == [(q, v) for q, v, _ in want]
+    assert np.allclose(sorted(r.score for r in got if r.query_id == 0), [0.1 * near, near])
+    assert np.allclose([r.score for r in got if r.query_id == 50], 10 / 14)
+
+
+def test_recall_at_all_windows(spark):
+    """20,000 vectors without any structure: every curve is cut into WINDOWS ranges."""
+    n, dims = 20_000, 64
+    vectors = np.random.default_rng(8).normal(size=(n, dims)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    got = result(ann.nearest(df, 5, F.col("vec_id") % 200 == 0))
+    hits = 0
+    for q in range(0, n, 200):
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += len({i for i, _ in got[q]} & set(np.argsort(-score)[:5].tolist()))
+    assert hits >= 0.9 * 5 * len(got)
+    # What the curves look at together, of all rows (README states it).
+    ranges = np.stack([np.argsort(np.argsort(ann.hilbert_keys(ann.curve_cells(unit, c, 0), ann.BITS))) * ann.WINDOWS // n
+                       for c in range(ann.CURVES)])
+    seen = np.mean([(np.abs(ranges - ranges[:, [q]]) <= ann.REACH).any(0).mean() for q in range(0, n, 200)])
+    assert 0.6 < seen < 0.85

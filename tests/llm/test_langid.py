@@ -55,3 +55,15 @@ def test_other_columns_are_no_input(spark, edge_docs):
     a = langid.identify(edge_docs.select("doc_id", "text"), model).collect()
     b = langid.identify(edge_docs.selectExpr("doc_id", "text", "'fr' AS lang", "'x' AS source"), model).collect()
     assert [(r.doc_id, r.lang_pred, r.score) for r in a] == [(r.doc_id, r.lang_pred, r.score) for r in b]
+
+
+def test_rare_languages_and_null_ids(spark, tmp_path):
+    rare = [(900_000 + i, "zyx wvu zyx " * 5, "xx") for i in range(3)]
+    df = spark.range(30_000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'der die und ', 'the and of ') || id AS text", "IF(id % 3 = 0, 'de', 'en') AS lang")
+    df = df.union(spark.createDataFrame(rare, df.schema))
+    model = langid.fit(df, max_rows=200)
+    assert model.languages == ["de", "en", "xx"] and model.predict("zyx wvu zyx wvu")[0] == "xx"
+    rows = [(None, "the and of the", "en", "a", 0), (1, "der die und", "de", "a", 0), (2, "the of and", "en", "a", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, `n.chars` int").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op10_langid(spark, str(tmp_path)).collect()
+    assert len(got) == 3 and [r.held_out for r in got if r.doc_id is None] == [False]

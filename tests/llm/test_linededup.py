@@ -135,3 +135,11 @@ def test_edge_rows(edge_docs, empty_docs):
     by = {r.doc_id: r for r in got}
     assert by[1].text is None and by[2].text == "" and len(by[4].text) == 180_000 and by[3].n_dropped == 0
     assert ld.dedup_lines(empty_docs).count() == 0
+
+
+def test_names_and_ids_of_any_kind(spark):
+    text = "a line that is long enough to be compared\nown words of the first"
+    rows = [("b", text, "x", 1), ("a", text, "y", 2), (None, text, "z", 3)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, drop string, place int")
+    got = {r.doc_id: r for r in ld.dedup_lines(df, short_repeats=True).collect()}
+    assert (got["a"].text, got["a"].drop, got["b"].n_dropped, got[None].n_dropped) == (text, "y", 2, 2)

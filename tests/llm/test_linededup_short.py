@@ -1,8 +1,6 @@
 """Exact repeats of lines too short for the edit join: op6_linededup and the stage ``lines``."""
 
 import corpus_pipeline
-import test_linededup
-import test_pipeline
 from lakeledger.llm import linededup as ld
 from lakeledger.llm.queries import op6_linededup
 from test_linededup import brute
@@ -57,9 +55,3 @@ def test_query_and_stage(spark):
     assert {r.doc_id: r.text for r in staged} == {i: t for i, (t, _, _) in want.items()}
     stood = [x for r in staged for x in (r.text or "").split("\n") if x.strip()]
     assert len(stood) == len(set(stood))
-
-
-def test_all_stages(spark, tmp_path, monkeypatch):
-    """The pipeline's test with this file's brute force for the line stage."""
-    monkeypatch.setattr(test_linededup, "brute", lambda docs: [(i, *row) for i, row in brute_all(docs).items()])
-    test_pipeline.test_stages_against_brute_force(spark, tmp_path)

@@ -134,3 +134,13 @@ def test_edge_rows(spark, edge_docs, empty_docs):
     assert kept.columns == edge_docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5, 7, 8]
     assert neardup.near_duplicates(empty_docs).count() == 0 and neardup.drop_near_duplicates(empty_docs).count() == 0
+
+
+def test_rows_that_share_an_id(spark):
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, a, "x"), (1, b, "y"), (2, a + " end", "z"), (3, b, "u"), (3, b, "t"), (4, None, "n"), (4, None, "n"), (None, a, "m"), (5, "", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, gone string")
+    got = sorted((r.doc_id or -1, r.text or "") for r in neardup.drop_near_duplicates(df).collect())
+    assert got == sorted([(1, a), (1, b), (4, ""), (4, ""), (-1, a), (5, "")])
+    alone = spark.createDataFrame([(7, a, "x"), (7, b, "y"), (7, b, "z")], df.schema)
+    assert sorted(r.text for r in neardup.drop_near_duplicates(alone).collect()) == sorted([a, b])

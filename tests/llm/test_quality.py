@@ -73,3 +73,14 @@ def test_edge_rows(edge_docs, empty_docs):
     by = {r.doc_id: r for r in got}
     assert by[4].n_repeat_words == 30_000 and by[1].n_words == by[3].n_words == 0
     assert quality.judge(empty_docs).count() == 0
+
+
+def test_the_rule_named_does_not_hang_on_timing(spark, monkeypatch):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    runs = []
+    for seconds in (1.0, -1.0):
+        found = [(r, 2.0 + seconds * i / 100, 0.5) for i, r in enumerate(quality.BASE + quality.RULES)]
+        monkeypatch.setattr(quality, "estimate", lambda *a, f=found, **b: f)
+        runs.append(sorted((r.doc_id, r.failed_rule or "", r.kept) for r in quality.judge(df).collect()))
+    assert runs[0] == runs[1] and {f for _, f, _ in runs[0]} >= {"", "short", "repetitive"}
+    assert all((f == "") == k for _, f, k in runs[0])
