@@ -165,6 +165,30 @@ def _q(body: str) -> str:
     return PRELUDE + body
 
 
+def watermark_dedup(batches: int = 5) -> str:
+    """Kept and late rows, one micro-batch after the other. Rows at or before the newest time
+    of two batches back less an hour are late; an id is remembered while that line has not
+    passed its time plus an hour."""
+    steps = [""", m AS (
+    SELECT transaction_id, kafka_partition, kafka_offset, least(event_time, kafka_timestamp) AS mark,
+        CAST(kafka_timestamp >= TIMESTAMP '2024-01-09' AS INT) + CAST(kafka_timestamp >= TIMESTAMP '2024-01-16' AS INT)
+        + CAST(kafka_timestamp >= TIMESTAMP '2024-01-23' AS INT) + CAST(kafka_partition = 5 AS INT) AS batch
+    FROM b)"""]
+    for n in range(batches):
+        line = f"(SELECT date_trunc('milliseconds', max(mark)) - INTERVAL 1 HOUR FROM m WHERE batch <= {n - 2})"
+        seen = f"SELECT transaction_id, mark FROM kept{n - 1}" if n else "SELECT '' AS transaction_id, TIMESTAMP '1970-01-01' AS mark WHERE false"
+        steps.append(f"""timely{n} AS (SELECT * FROM m WHERE batch = {n} AND mark > coalesce({line}, TIMESTAMP '1970-01-01')),
+seen{n} AS (SELECT * FROM ({seen}) WHERE mark + INTERVAL 1 HOUR > coalesce({line}, TIMESTAMP '1970-01-01')),
+first{n} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY kafka_partition, kafka_offset) AS rn
+    FROM timely{n}) WHERE rn = 1 AND transaction_id NOT IN (SELECT transaction_id FROM seen{n})),
+kept{n} AS (SELECT transaction_id, mark FROM seen{n} UNION ALL SELECT transaction_id, mark FROM first{n})""")
+    rows = " UNION ALL ".join(
+        f"SELECT transaction_id, kafka_partition, kafka_offset, 'kept' AS outcome FROM first{n} UNION ALL "
+        f"SELECT transaction_id, kafka_partition, kafka_offset, 'late' FROM m WHERE batch = {n} AND (batch, transaction_id, kafka_partition, kafka_offset) "
+        f"NOT IN (SELECT batch, transaction_id, kafka_partition, kafka_offset FROM timely{n})" for n in range(batches))
+    return ",\n".join(steps) + "\n" + rows
+
+
 ORACLE: dict[str, str] = {
     "bronze_parse": _q(f"SELECT {BRONZE_COLS} FROM x"),
     "bronze_good": _q("SELECT * FROM b"),
@@ -268,7 +292,7 @@ FROM dq_rates"""),
     "stream_crash_replay": _q("SELECT * FROM b"),
     "stream_dlq": _q("SELECT * FROM dlq"),
     "stream_cleared_checkpoint": _q("SELECT * FROM b"),
-    "stream_dedup_watermark": _q("SELECT DISTINCT transaction_id FROM b"),
+    "stream_dedup_watermark": _q(watermark_dedup()),
     "refine_summary": _q("""
 SELECT 'fixture-run' AS run_id,
     (SELECT count(*) FROM b) AS bronze_rows,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,8 @@ GEN_CLOCK = datetime(2024, 2, 1, 12, 0, tzinfo=UTC)
 RECORDS_PER_FILE = 400  # of the log files the streams read
 BATCHES = 4  # about so many micro-batches a stream query runs
 WATERMARK_DELAY = "1 hour"  # the log spans 30 days: almost all state is evicted on the way
+DELIVERY_CUTS = tuple(datetime(2024, 1, d, tzinfo=UTC) for d in (9, 16, 23))  # weeks of the delivered log
+LAGGING, FILES_A_BATCH = 5, 4
 LOST_OFFSETS = 14  # offset_missing: rows with offset % 1000 = 14 never land
 STREAM_TIMEOUT_S = 600
 
@@ -347,15 +349,30 @@ def q_stream_cleared_checkpoint(spark, sf_dir):
     return _out(landed.dropDuplicates(["kafka_topic", "kafka_partition", "kafka_offset"]))
 
 
+def _delivery() -> Column:
+    """Which micro-batch brings a log row: its week, and log partition 5 lags a week behind."""
+    week = sum((F.col("timestamp") >= F.lit(cut)).cast("int") for cut in DELIVERY_CUTS)
+    return week + (F.col("partition") == LAGGING).cast("int")
+
+
+def _delivered(spark, log: DataFrame, path: str) -> int:
+    """The log as files in the order of delivery; how many of them make a micro-batch."""
+    batched = log.withColumn("_batch", _delivery())
+    for n in range(len(DELIVERY_CUTS) + 2):
+        write_log(batched.where(F.col("_batch") == n).drop("_batch").repartition(FILES_A_BATCH), path)
+    return FILES_A_BATCH
+
+
 def q_stream_dedup_watermark(spark, sf_dir):
-    """Every id of the log, from the kept rows or the late ones."""
+    """Rows kept and rows behind the watermark; what is in neither repeats a kept row."""
     root = scratch_path(spark, "stream_dedup")
-    log, admitted = _log_files(spark, _log(spark, sf_dir), root)
-    drain(start_dedup_stream(read_log_stream(spark, log, max_per_trigger=admitted), root=f"{root}/out",
+    admitted = _delivered(spark, _log(spark, sf_dir), f"{root}/log")
+    drain(start_dedup_stream(read_log_stream(spark, f"{root}/log", max_per_trigger=admitted), root=f"{root}/out",
                              checkpoint_path=f"{root}/_checkpoint", delay=WATERMARK_DELAY, clock=arrival_clock()),
           STREAM_TIMEOUT_S)
-    kept, late = (rows(spark, f"{root}/out").select("transaction_id") for rows in (kept_rows, late_rows))
-    return kept.union(late).distinct()
+    kept, late = (rows(spark, f"{root}/out").select("transaction_id", "kafka_partition", "kafka_offset", F.lit(outcome).alias("outcome"))
+                  for rows, outcome in ((kept_rows, "kept"), (late_rows, "late")))
+    return kept.union(late)
 
 
 # --------------------------------------------------------------------- runs

@@ -1,29 +1,34 @@
-"""Streaming dedup bounded by a watermark, with the late rows kept apart (W3).
-
-Spark's own ``dropDuplicatesWithinWatermark`` drops rows behind the watermark without a
-trace. Here each micro-batch is deduplicated against what was kept within the horizon,
-and every row behind it goes to a second output, so kept and late together hold every
-id of the log.
-
-The watermark of a batch is the newest event time of the *earlier* batches minus the
-delay (events ahead of their producer's clock do not move it). The kept table is
-partitioned by event date: the state a batch reads is the partitions at or after the
-watermark's date, older ones are evicted by pruning, not rewritten. A batch run again
-sees the same earlier batches, so it decides the same.
+"""Streaming dedup in Spark's state store, with the late rows kept apart (W3).
+
+``dropDuplicatesWithinWatermark`` remembers an id until the watermark passes its time plus
+the delay, and drops rows behind the watermark without a trace. Here the stateful operator
+sees only (id, time) and answers with the ids that are new; the rows themselves travel
+beside it in the same micro-batch. A batch then writes the first arrival of each new id
+(lowest log position) to one output and every row behind the watermark to another, so
+kept, late and repeated rows together are the log.
+
+A row's time is its event time, but never ahead of the broker's clock: an event dated in
+the future does not move the watermark. Spark judges lateness in a batch by the watermark
+of the batch before it (newest time up to two batches back, less the delay); the newest
+time of each batch is recorded with its output, so the same line is drawn here, and a
+batch run again draws it again.
+
+State is bounded by the ids of one delay of event time. The rows of an id in one batch meet
+in one task, as in any keyed stream.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeledger.operators.bronze import split_parseable, to_bronze
-from lakeledger.operators.silver import deduplicate
+from lakeledger.operators.silver import IDENTITY, deduplicate
 from lakeledger.schemas import BRONZE_SCHEMA, GOLD_PARTITION
 from lakeledger.sources.tables import BATCH, append_once, exists, read_table
 from lakeledger.streaming.ingest import start
@@ -31,50 +36,55 @@ from lakeledger.streaming.ingest import start
 APP_ID = "dedup"
 DATED = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(GOLD_PARTITION, T.DateType())])
 NEWEST = T.StructType([T.StructField("newest", T.TimestampType())])
+MARK, IS_NEW = "_mark", "_is_new"
 
 
-def dedup_within_watermark(good: DataFrame, *, delay: str, key: str = "transaction_id") -> DataFrame:
-    """Spark's stateful form, for plans that accept its silent drop of late rows."""
-    return good.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
+def dedup_within_watermark(seen: DataFrame, *, delay: str, key: str = IDENTITY, time: str = MARK) -> DataFrame:
+    """The keyed state: one row per ``key`` and watermark horizon (late rows vanish)."""
+    return seen.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def watermark(spark: SparkSession, root: str, batch_id: int, delay: str) -> datetime | None:
-    """Newest event time of the batches before ``batch_id``, less ``delay``."""
+def with_new_ids(good: DataFrame, *, delay: str) -> DataFrame:
+    """All rows of a stream of good bronze rows, dated and marked, and beside them a row for
+    each id that the state has not seen (``_is_new``, all else null)."""
+    rows = good.withColumns({GOLD_PARTITION: F.to_date("event_time"), MARK: F.least("event_time", "kafka_timestamp")})
+    new = dedup_within_watermark(rows.select(IDENTITY, MARK), delay=delay).select(IDENTITY, F.lit(True).alias(IS_NEW))
+    return rows.withColumn(IS_NEW, F.lit(False)).unionByName(new, allowMissingColumns=True)
+
+
+def late_before(spark: SparkSession, root: str, batch_id: int, delay: str) -> int | None:
+    """Rows of ``batch_id`` at or before this time (milliseconds) are late; None: none is."""
     if not exists(spark, f"{root}/newest"):
         return None
-    seen = read_table(spark, f"{root}/newest", NEWEST, batches=True).where(F.col(BATCH) < batch_id)
-    return seen.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).alias("w")).first()["w"]
+    seen = read_table(spark, f"{root}/newest", NEWEST, batches=True).where(F.col(BATCH) <= batch_id - 2)
+    millis = F.unix_millis(F.max("newest")) - F.unix_millis(F.expr(f"TIMESTAMP '1970-01-01 00:00:00Z' + INTERVAL {delay}"))
+    return seen.agg(millis.alias("line")).first()["line"]
 
 
-def dedup_batch(batch: DataFrame, batch_id: int, *, root: str, delay: str, clock=None) -> None:
-    """Write the batch's first copies under ``root``/kept and its late rows under
-    ``root``/late."""
-    spark = batch.sparkSession
-    good, _ = split_parseable(to_bronze(batch, ingested_at=F.current_timestamp() if clock is None else clock))
-    rows = good.withColumn(GOLD_PARTITION, F.to_date("event_time")).persist(StorageLevel.DISK_ONLY)
+def split_batch(batch: DataFrame, batch_id: int, *, root: str, delay: str) -> None:
+    """Write a batch's first copies under ``root``/kept, its late rows under ``root``/late."""
+    held = batch.persist(StorageLevel.DISK_ONLY)  # computed once: it advances the state
     try:
-        behind = watermark(spark, root, batch_id, delay)
-        late = rows.where(F.lit(False)) if behind is None else rows.where(F.col("event_time") < F.lit(behind))
-        timely = rows if behind is None else rows.where(F.col("event_time") >= F.lit(behind))
-        first = deduplicate(timely)
-        if behind is not None and exists(spark, f"{root}/kept"):
-            state = (read_table(spark, f"{root}/kept", DATED, batches=True)
-                     .where((F.col(BATCH) < batch_id) & (F.col(GOLD_PARTITION) >= F.to_date(F.lit(behind)))
-                            & (F.col("event_time") >= F.lit(behind))))
-            first = first.join(state.select("transaction_id"), "transaction_id", "left_anti").select(*rows.columns)
-        newest = rows.where("event_time <= kafka_timestamp").agg(F.max("event_time").alias("newest")).where("newest IS NOT NULL")
+        line = late_before(batch.sparkSession, root, batch_id, delay)
+        is_late: Column = F.lit(False) if line is None else F.unix_micros(MARK) <= line * 1000
+        rows = held.where(~F.col(IS_NEW))
+        new = held.where(IS_NEW).select(IDENTITY)
+        first = deduplicate(rows.where(~is_late).join(new, IDENTITY, "left_semi")).select(*DATED.names)
+        newest = rows.agg(F.max(MARK).alias("newest")).where("newest IS NOT NULL")
         append_once(first, f"{root}/kept", app_id=APP_ID, version=batch_id, partition_by=(GOLD_PARTITION,))
-        append_once(late, f"{root}/late", app_id=APP_ID, version=batch_id, partition_by=(GOLD_PARTITION,))
+        append_once(rows.where(is_late).select(*DATED.names), f"{root}/late", app_id=APP_ID, version=batch_id, partition_by=(GOLD_PARTITION,))
         append_once(newest, f"{root}/newest", app_id=APP_ID, version=batch_id)
     finally:
-        rows.unpersist()
+        held.unpersist()
 
 
-def start_dedup_stream(raw: DataFrame, *, root: str, checkpoint_path: str, delay: str, clock=None,
+def start_dedup_stream(raw: DataFrame, *, root: str, checkpoint_path: str, delay: str, clock: Column | None = None,
                        trigger: dict | None = None) -> StreamingQuery:
     """log stream -> first copies in ``root``/kept, rows behind the watermark in
-    ``root``/late."""
-    return start(raw, lambda batch, batch_id: dedup_batch(batch, batch_id, root=root, delay=delay, clock=clock),
+    ``root``/late. ``delay`` is an interval such as '1 hour'."""
+    good, _ = split_parseable(to_bronze(raw, ingested_at=F.current_timestamp() if clock is None else clock))
+    body = partial(split_batch, root=root, delay=delay)
+    return start(with_new_ids(good, delay=delay), lambda batch, batch_id: body(batch, batch_id),
                  checkpoint_path=checkpoint_path, trigger=trigger or {"availableNow": True})
 
 

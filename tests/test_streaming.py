@@ -113,27 +113,79 @@ def test_watermark_dedup_of_a_stream(spark, log_dir, tmp_path):
     assert dedup.late_rows(spark, root).count() == 0
 
 
+#: Delivered in this order, one file each: the newest part of the log, the middle, the oldest.
+PARTS = ("offset >= 1400", "offset >= 700 AND offset < 1400", "offset < 700")
+
+
+def delivered(spark, log_dir, path):
+    for part in PARTS:
+        write_log(read_log(spark, log_dir).where(part).coalesce(1), path)
+    return path
+
+
+def run_parts(spark, log, tmp_path, **more):
+    query = dedup.start_dedup_stream(read_log_stream(spark, log, max_per_trigger=1), root=str(tmp_path / "out"),
+                                     checkpoint_path=str(tmp_path / "ck"), delay="1 hour", clock=arrival_clock(), **more)
+    drain(query)
+    return query
+
+
 def test_rows_behind_the_watermark_are_set_aside(spark, log_dir, tmp_path):
-    """The newer half of the log arrives first: the older half is late, none of it lost."""
-    root, log = str(tmp_path / "out"), read_log(spark, log_dir)
-    for n, part in enumerate((log.where("offset >= 1000"), log.where("offset < 1000"))):
-        dedup.dedup_batch(part, n, root=root, delay="1 hour", clock=arrival_clock())
-    kept, late = dedup.kept_rows(spark, root), dedup.late_rows(spark, root)
-    assert late.count() > 400 and set(ids_of(kept)) | set(ids_of(late)) == every_id(spark, log_dir)
-    assert len(ids_of(kept)) == len(set(ids_of(kept)))
-    # What the next batch would consult is a small part of what was kept.
-    last = dedup.watermark(spark, root, 2, "1 hour")
-    assert kept.where(F.col("event_time") >= F.lit(last)).count() < kept.count() / 20
-
-
-def test_a_batch_run_again_decides_the_same(spark, log_dir, tmp_path):
-    root, batch = str(tmp_path / "out"), read_log(spark, log_dir)
-    halves = [batch.where("offset < 1000"), batch.where("offset >= 1000")]
-    for n, half in enumerate(halves):
-        dedup.dedup_batch(half, n, root=root, delay="1 hour", clock=arrival_clock())
-    before = dedup.watermark(spark, root, 1, "1 hour")
-    dedup.dedup_batch(halves[1], 1, root=root, delay="1 hour", clock=arrival_clock())
-    assert dedup.watermark(spark, root, 1, "1 hour") == before
+    """The newest part arrives first: the oldest comes behind the watermark, none of it lost,
+    and what Spark's operator dropped is what was set aside."""
+    log = delivered(spark, log_dir, str(tmp_path / "log"))
+    query = run_parts(spark, log, tmp_path)
+    kept, late = (f(spark, str(tmp_path / "out")) for f in (dedup.kept_rows, dedup.late_rows))
+    good = split_parseable(to_bronze(read_log(spark, log), ingested_at=arrival_clock()))[0]
+    assert late.count() == good.where("kafka_offset < 700").count() > 300
+    assert set(ids_of(kept)) | set(ids_of(late)) == every_id(spark, log_dir)
+    dropped = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    assert dropped == late.count()
+
+
+def state_ids(spark, checkpoint, batch):
+    state = spark.read.format("statestore").option("batchId", batch).load(checkpoint)
+    return {r[0] for r in state.select("key.transaction_id").collect()}
+
+
+def test_state_is_evicted_by_event_time(spark, log_dir, tmp_path):
+    """In order, each batch leaves the ids of the last delay before the watermark moves on."""
+    log, checkpoint = str(tmp_path / "log"), str(tmp_path / "ck")
+    for part in PARTS[::-1]:
+        write_log(read_log(spark, log_dir).where(part).coalesce(1), log)
+    run_parts(spark, log, tmp_path)
+    first = state_ids(spark, checkpoint, 0)
+    good = split_parseable(to_bronze(read_log(spark, log), ingested_at=arrival_clock()))[0]
+    assert first == {r[0] for r in good.where("kafka_offset < 700").select("transaction_id").collect()}
+    # Batch 1 is judged by the watermark of batch 0: of that batch only its last hours stay.
+    newest = good.where("kafka_offset < 700").select(F.max(F.least("event_time", "kafka_timestamp"))).first()[0]
+    still = good.where("kafka_offset < 700").where(
+        F.least("event_time", "kafka_timestamp") + F.expr("INTERVAL 1 HOUR") > F.lit(newest) - F.expr("INTERVAL 1 HOUR"))
+    second = state_ids(spark, checkpoint, 1)
+    assert second & first == {r[0] for r in still.select("transaction_id").collect()} and len(second & first) < len(first) / 20
+    assert second > second & first
+
+
+def test_a_crash_between_the_writes_changes_nothing(spark, log_dir, tmp_path, monkeypatch):
+    log = delivered(spark, log_dir, str(tmp_path / "log"))
+    (tmp_path / "whole").mkdir(), (tmp_path / "crashed").mkdir()
+    run_parts(spark, log, tmp_path / "whole")
+    real, calls = dedup.append_once, []
+
+    def dying(df, path, **how):
+        calls.append(path)
+        if len(calls) == 8:  # the late rows of batch 2, after its kept rows
+            raise RuntimeError("killed")
+        return real(df, path, **how)
+
+    monkeypatch.setattr(dedup, "append_once", dying)
+    with pytest.raises(Exception, match="killed"):
+        run_parts(spark, log, tmp_path / "crashed")
+    monkeypatch.setattr(dedup, "append_once", real)
+    run_parts(spark, log, tmp_path / "crashed")
+    for rows in (dedup.kept_rows, dedup.late_rows):
+        a, b = (rows(spark, str(tmp_path / t / "out")).drop("raw_payload") for t in ("whole", "crashed"))
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
 
 
 def test_consumed_log_files_can_be_archived(spark, log_dir, truth, tmp_path):
