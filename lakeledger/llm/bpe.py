@@ -34,7 +34,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakeledger.llm.common import col, others, small_batches
+from lakeledger.llm.common import by_place, col, others, small_batches
 
 #: Fixed value: how byte-level vocabularies of this kind split text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -67,6 +67,7 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", []) if t.get("special")}
         self.bytes_of = {i: b for b, i in self.id_of.items()} | {i: s.encode() for s, i in self.special.items()}
         self.known = Remembered(self.piece_ids)
+        self.both = Remembered(self.piece_both)
         self.pieces = regex.compile(PATTERN).findall
         names = sorted(self.special, key=len, reverse=True)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -142,6 +143,32 @@ class Vocabulary:
             ids.byteswap()
         return ids.tobytes()
 
+    def packed_bytes(self, packed: bytes) -> bytes:
+        """The bytes that packed ids stand for."""
+        ids = array("I", packed)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def piece_both(self, piece: str) -> tuple[bytes, bytes]:
+        """Packed ids of a piece, and the bytes that these decode to."""
+        packed = self.piece_ids(piece)
+        return packed, self.packed_bytes(packed)
+
+    def encode_decode(self, text: str) -> tuple[bytes, str]:
+        """Packed ids of a text and the text they decode to. Decoded bytes are those of the
+        ids, one after the other, so a piece's ids are looked up and joined once."""
+        packed, decoded, of = [], [], self.both.__getitem__
+        for part in self.split_special.split(text) if self.split_special else [text]:
+            if part in self.special:
+                ids = self.special[part].to_bytes(4, "little")
+                packed.append(ids), decoded.append(self.packed_bytes(ids))
+            elif pieces := self.pieces(part):
+                ids, shown = zip(*map(of, pieces))
+                packed += ids
+                decoded += shown
+        return b"".join(packed), b"".join(decoded).decode("utf-8", errors="replace")
+
     def encode(self, text: str) -> bytes:
         """Packed ids of a text."""
         packed, of = [], self.known.__getitem__
@@ -153,30 +180,27 @@ class Vocabulary:
         return b"".join(packed)
 
     def decode(self, packed: bytes) -> str:
-        ids = array("I", packed)
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
+        return self.packed_bytes(packed).decode("utf-8", errors="replace")
 
 
 class Remembered(dict):
-    """piece -> packed ids, computed when missing. Two generations: when the young one is
+    """piece -> what is computed of it, when missing. Two generations: when the young one is
     full it becomes the old one, and what is used again moves over."""
 
     def __init__(self, compute):
         super().__init__()
         self.compute, self.old = compute, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = self.compute(piece)
+    def __missing__(self, piece: str):
+        made = self.old.get(piece)
+        if made is None:
+            made = self.compute(piece)
         if len(piece) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[piece] = made
+        return made
 
 
 @lru_cache(maxsize=2)
@@ -204,7 +228,23 @@ def _mapped(df: DataFrame, source: str, out: str, kind: T.DataType, each) -> Dat
             made = pa.array((do(v.as_py()) for v in values), type=arrow)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*keep, out])
 
-    return df.select(*[col(c) for c in keep], col(source)).mapInArrow(run, schema)
+    return by_place(df.select(*[col(c) for c in keep], col(source))).mapInArrow(run, schema)
+
+
+def encode_decode(df: DataFrame, vocab: Broadcast, *, text: str = "text", decoded: str = "decoded") -> DataFrame:
+    """``df`` with ``text`` replaced by ``ids`` and the text they decode to, in one pass."""
+    keep = [c for c in others(df, ("ids", decoded)) if c != text]
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("ids", T.BinaryType()), T.StructField(decoded, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        do = vocabulary(vocab.value).encode_decode
+        for batch in small_batches(batches):
+            made = [do(v or "") for v in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.string())],
+                names=[*keep, "ids", decoded])
+
+    return by_place(df.select(*[col(c) for c in keep], col(text))).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, vocab: Broadcast, *, text: str = "text") -> DataFrame:

@@ -63,11 +63,10 @@ def op7_neardup(spark, sf_dir):
 
 def op8_bpe(spark, sf_dir, vocabulary: str | None = None):
     vocab = bpe.load(spark, vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
-    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab)
-    counted = coded.select(
-        "doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
-    return bpe.decode(counted, vocab).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab)
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op9_chat(spark, sf_dir):
@@ -80,10 +79,10 @@ def op9_chat(spark, sf_dir):
 
 def op10_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    share = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    model = langid.fit(docs.where(share != 2))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))  # no id: not held out
+    model = langid.fit(docs.where(~held_out))
     return langid.identify(docs.select("doc_id", "text"), model).select(
-        "doc_id", (share == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
 def op11_compression(spark, sf_dir):

@@ -73,6 +73,18 @@ def test_frames(spark, library, edge_docs, empty_docs):
     assert bpe.decode(bpe.encode(empty_docs, vocab), vocab).count() == 0
 
 
+def test_both_in_one_pass(spark, vocab, edge_docs, empty_docs):
+    for text in ("the cat <|endoftext|> sat", "", "é" * 5000, "\x00\U0001F600", "a b  c\n\n"):
+        assert vocab.encode_decode(text) == (vocab.encode(text), vocab.decode(vocab.encode(text)))
+    shared = bpe.load(spark, PATH)
+    docs = edge_docs.withColumn("ids", F.lit("mine")).withColumn("a.b", F.lit(1))
+    got = bpe.encode_decode(docs, shared)
+    assert "text" not in got.columns and got.schema["ids"].dataType.simpleString() == "binary"
+    want = {(r.doc_id, r.text or "") for r in edge_docs.collect()}
+    assert {(r.doc_id, r.decoded) for r in got.collect()} == want and all(bytes(r.ids) == vocab.encode(r.decoded) for r in got.collect())
+    assert bpe.encode_decode(empty_docs, shared).count() == 0
+
+
 def test_query(spark, library):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     got = op8_bpe(spark, "/root/testdata/sf0.001").collect()
