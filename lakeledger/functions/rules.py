@@ -20,8 +20,8 @@ Rule = tuple[str, str]
 
 def outside(column: str, allowed: Iterable[str]) -> str:
     """Predicate: null, or none of the allowed values."""
-    listed = str(tuple(allowed))
-    return f"coalesce({column} NOT IN {listed}, true)"
+    listed = ", ".join("'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" for value in allowed)
+    return f"coalesce({column} NOT IN ({listed}), true)" if listed else "true"
 
 
 # The four silver rules (name, predicate TRUE = bad), in reason order.

@@ -305,6 +305,15 @@ SELECT 4 :: BIGINT AS dq_rows, (SELECT count(*) FROM dq_rates WHERE failure_rate
     (SELECT count(*) FROM mart) AS gold_rows,
     (SELECT CAST(coalesce(sum(total_amount_minor), 0) AS BIGINT) FROM mart) AS gold_amount,
     (SELECT count(*) FROM dq_rates WHERE failure_rate > 0.02) > 0 AS raised"""),
+    "refine_incremental": _q("SELECT * FROM t"),
+    "refine_incremental_dq": _q(f"""
+SELECT 'fixture-run' AS run_id, 'silver.transactions' AS table_name, check_name,
+    TIMESTAMP '2024-02-01 00:00:00' AS checked_at, {DQ_COLUMNS},
+    0.05 :: DOUBLE AS threshold, failure_rate <= 0.05 AS passed
+FROM dq_rates"""),
+    "mart_deltas": _q("SELECT * FROM mart"),
+    "mart_deltas_folded": _q("SELECT * FROM mart"),
+    "upsert_mart": _q("SELECT * FROM mart"),
     "compact_rows": _q("SELECT * FROM b"),
     "expire_rows": _q("SELECT * FROM b"),
     "log_roundtrip": _q("""

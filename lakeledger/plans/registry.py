@@ -20,10 +20,11 @@ from lakeledger.functions.wire import to_wire
 from lakeledger.operators import audit
 from lakeledger.operators.bronze import good_of, split_parseable, tag_parseable, to_bronze
 from lakeledger.operators.generate import CLI_DEFECTS, generate_log
-from lakeledger.operators.gold import affected_dates, affected_dates_frame, daily_account_totals, rebuild
+from lakeledger.operators.gold import GRAIN, MEASURES, affected_dates, affected_dates_frame, daily_account_totals, dated, rebuild
 from lakeledger.operators.quality import DataQualityBreach, breach_frame, dq_results, dq_results_by, dq_trend
-from lakeledger.operators.silver import deduplicate, flag_lateness, to_silver
-from lakeledger.plans.medallion import CheckpointLost, Layout, ingest, refine, threshold_override
+from lakeledger.operators.silver import deduplicate, flag_lateness, judged, to_silver
+from lakeledger.plans.incremental import IncrementalLayout, fold_deltas, refine_new
+from lakeledger.plans.medallion import VERDICT, CheckpointLost, Layout, ingest, refine, threshold_override
 from lakeledger.schemas import BRONZE_PARTITION, BRONZE_SCHEMA, DQ_PARTITION, DQ_SCHEMA, GOLD_PARTITION, MART_SCHEMA, SILVER_SCHEMA
 from lakeledger.session import ensure_utc, scratch_path
 from lakeledger.sources import tables as tb
@@ -413,6 +414,59 @@ def q_refine_gate(spark, sf_dir):
     return checks.join(mart).withColumn("raised", F.lit(raised))
 
 
+def _refined_by_run(spark, sf_dir, name) -> IncrementalLayout:
+    """Three runs over batches that arrive out of order: retries and the last days first, then
+    the first days, then the rest, so that rows taken early lose their place later."""
+    layout = IncrementalLayout(scratch_path(spark, name) + "/warehouse")
+    good, _ = _good_dead(spark, sf_dir)
+    day, retry = F.col(BRONZE_PARTITION), F.col("kafka_offset") % 2 == 1
+    first = retry | (day >= F.lit(REBATCH_SPLIT))
+    early = day < F.lit(BATCH_SPLIT)
+    for version, part in enumerate((first, ~first & early, ~first & ~early)):
+        tb.append_once(good.where(part), layout.path("bronze"), app_id="bronze", version=version, partition_by=(BRONZE_PARTITION,))
+        refine_new(spark, layout, run_id=f"{RUN_ID}-{version}", checked_at=CHECKED_AT)
+    return layout
+
+
+def q_refine_incremental(spark, sf_dir):
+    """Silver and quarantine after incremental runs: what a full run makes of all bronze."""
+    layout = _refined_by_run(spark, sf_dir, "refine_incremental")
+    return _out(layout.read(spark, "silver").drop(VERDICT, GOLD_PARTITION))
+
+
+def q_refine_incremental_dq(spark, sf_dir):
+    """DQ rows of the last incremental run: counts over all bronze, added up from the runs'."""
+    layout = _refined_by_run(spark, sf_dir, "refine_incremental_dq")
+    return _out(layout.read(spark, "dq_results").where(F.col(DQ_PARTITION) == f"{RUN_ID}-2").withColumn(DQ_PARTITION, F.lit(RUN_ID)))
+
+
+def q_mart_deltas(spark, sf_dir):
+    """The mart added up from the runs' deltas, rows taken back included."""
+    return _out(_refined_by_run(spark, sf_dir, "mart_deltas").mart(spark))
+
+
+def q_mart_deltas_folded(spark, sf_dir):
+    layout = _refined_by_run(spark, sf_dir, "mart_deltas_folded")
+    fold_deltas(spark, layout)
+    return _out(layout.mart(spark))
+
+
+def q_upsert_mart(spark, sf_dir):
+    """A mart that counted quarantined rows too, put right by key: groups restated, and those
+    that no clean row is left of deleted."""
+    path = scratch_path(spark, "upsert_mart") + "/gold"
+    good, _ = _good_dead(spark, sf_dir)
+    rows = judged(good)
+    dirty = daily_account_totals(rows.where("quarantine_reason = '' OR event_time < '2024-01-21'"))
+    tb.replace_partitions(dirty, path, column=GOLD_PARTITION, values=[])
+    bad = dated(rows.where("quarantine_reason <> '' AND event_time < '2024-01-21'")).select(*GRAIN).distinct()
+    right = daily_account_totals(rows.where("quarantine_reason = ''")).withColumn("_there", F.lit(True))
+    same = [bad[g].eqNullSafe(right[g]) for g in GRAIN]
+    fixed = bad.join(right, same, "left").select(*(bad[g] for g in GRAIN), *(right[m] for m in MEASURES), right["_there"].isNull().alias("gone"))
+    tb.upsert(fixed, path, key=GRAIN, partition_by=[GOLD_PARTITION], schema=MART_SCHEMA, deleted="gone")
+    return _out(tb.read_table(spark, path, MART_SCHEMA))
+
+
 def q_compact_rows(spark, sf_dir):
     layout = _landed_batches(spark, sf_dir, "compact_rows")
     out = layout.path("bronze") + "_compacted"
@@ -568,6 +622,11 @@ QUERIES: dict[str, Query] = {
     "stream_dedup_watermark": q_stream_dedup_watermark,
     "refine_summary": q_refine_summary,
     "refine_gate": q_refine_gate,
+    "refine_incremental": q_refine_incremental,
+    "refine_incremental_dq": q_refine_incremental_dq,
+    "mart_deltas": q_mart_deltas,
+    "mart_deltas_folded": q_mart_deltas_folded,
+    "upsert_mart": q_upsert_mart,
     "compact_rows": q_compact_rows,
     "expire_rows": q_expire_rows,
     "log_roundtrip": q_log_roundtrip,

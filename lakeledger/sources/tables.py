@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import re
 import time
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,11 +56,17 @@ def _listed(spark: SparkSession, pattern: str) -> list:
     return list(fs.globStatus(place) or [])
 
 
+def _escaped(value) -> str:
+    """A partition value as Spark names its folder."""
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return re.sub(r"[^\w. -]", lambda m: f"%{ord(m[0]):02X}" if m[0].isascii() else m[0], str(value))
+
+
 def batch_folder(path: str, app_id: str, version: int | str) -> str:
     """ASCII signs are escaped the way Spark reads partition names (%XX, the per cent sign
     included), so no two app ids share a folder."""
-    name = re.sub(r"[^\w. -]", lambda m: f"%{ord(m[0]):02X}" if m[0].isascii() else m[0], app_id)
-    return f"{path.rstrip('/')}/{APP}={name}/{BATCH}={version}"
+    return f"{path.rstrip('/')}/{APP}={_escaped(app_id)}/{BATCH}={version}"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, *, batches: bool = False,
@@ -97,6 +105,22 @@ def holds_batches(spark: SparkSession, path: str, app_id: str) -> bool:
     return bool(_listed(spark, f"{batch_folder(path, app_id, '*')}/{DONE}"))
 
 
+def landed_batches(spark: SparkSession, path: str) -> set[tuple[str, int]]:
+    """(app id, batch id) of every complete batch: one listing."""
+    names = (s.getPath().getParent() for s in _listed(spark, f"{path.rstrip('/')}/{APP}=*/{BATCH}=*/{DONE}"))
+    return {(unquote(f.getParent().getName().partition("=")[2]), int(f.getName().partition("=")[2])) for f in names}
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, batches: Iterable[tuple[str, int]], *,
+                 read_format: str = "parquet") -> DataFrame:
+    """Rows of these batches; no folder of another one is listed or opened."""
+    folders = [batch_folder(path, app, n) for app, n in sorted(batches)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    wide = T.StructType([*schema.fields, T.StructField(APP, T.StringType()), T.StructField(BATCH, T.LongType())])
+    return spark.read.format(read_format).schema(wide).option("basePath", path).load(folders).drop(APP, BATCH)
+
+
 def append(df: DataFrame, path: str, *, partition_by: Iterable[str] = (), write_format: str = "parquet") -> None:
     """Plain append. Columns may be added over time; readers pass the widest schema."""
     df.write.format(write_format).mode("append").partitionBy(*partition_by).save(path)
@@ -128,6 +152,81 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(s.getPath().getName().partition("=")[2] for s in _listed(spark, f"{path}/{column}=*"))
 
 
+def in_partitions(touched: Iterable[Sequence], columns: Sequence[str]) -> Column:
+    """Predicate: the partition columns hold one of these tuples. Prunes folders."""
+    each = [reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, values))) for values in touched]
+    return reduce(Column.__or__, each) if each else F.lit(False)
+
+
+def touched_partitions(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """The distinct partition tuples of ``df``: one row for each folder that it touches."""
+    return sorted((tuple(r) for r in df.select(*columns).distinct().collect()), key=str)
+
+
+def _folder(path: str, columns: Sequence[str], values: Sequence) -> str:
+    return "/".join([path.rstrip("/"), *(f"{c}={_escaped(v)}" for c, v in zip(columns, values))])
+
+
+def rewrite_partitions(df: DataFrame, path: str, *, partition_by: Sequence[str], touched: Iterable[Sequence],
+                       schema: T.StructType) -> None:
+    """The partitions ``touched`` become the rows of ``df`` (which holds no others, and may
+    read them); no other file is opened for writing.
+
+    The new rows are complete in a folder beside the table before any old one goes, so a
+    writer that dies is rolled forward: ``finish_rewrite`` (called here first) puts what it
+    left complete in place, and drops what it left incomplete."""
+    spark, beside = df.sparkSession, f"{path.rstrip('/')}.rewrite"
+    touched = [tuple(t) for t in touched]
+    finish_rewrite(spark, path, schema=schema, partition_by=partition_by)
+    if not touched:
+        return
+    by = list(partition_by)
+    listed = spark.createDataFrame([tuple(None if v is None else str(v) for v in t) for t in touched], ", ".join(f"`{c}` string" for c in by))
+    listed.coalesce(1).write.mode("overwrite").parquet(f"{beside}/touched")
+    _rebalanced(df, by).write.mode("overwrite").partitionBy(*by).parquet(f"{beside}/rows")
+    finish_rewrite(spark, path, schema=schema, partition_by=by)
+
+
+def finish_rewrite(spark: SparkSession, path: str, *, schema: T.StructType, partition_by: Sequence[str]) -> bool:
+    """Put a rewrite that is complete beside the table in place; True if there was one."""
+    by, beside = list(partition_by), f"{path.rstrip('/')}.rewrite"
+    if not exists(spark, f"{beside}/rows/{DONE}"):
+        drop_folder(spark, beside)
+        return False
+    touched = [tuple(r) for r in spark.read.parquet(f"{beside}/touched").collect()]
+    rows = spark.read.schema(schema).parquet(f"{beside}/rows")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    for values in touched:
+        if not exists(spark, _folder(f"{beside}/rows", by, values)):
+            drop_folder(spark, _folder(path, by, values))  # all of its rows went
+    drop_folder(spark, beside)
+    return True
+
+
+def upsert(changes: DataFrame, path: str, *, key: Sequence[str], partition_by: Sequence[str], schema: T.StructType,
+           deleted: str | None = None) -> list[tuple]:
+    """Merge ``changes`` into a table partitioned by ``partition_by`` (part of ``key``): rows
+    whose key is there are replaced, others added, and those where the boolean column
+    ``deleted`` holds go. At most one change for each key; null keys are equal.
+
+    Only partitions that the changes name are read, joined (full outer on the key) and
+    rewritten; returns them."""
+    spark, names = changes.sparkSession, schema.names
+    gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
+    new = changes.select(*[F.col(n).alias(f"_n_{n}") for n in names], gone.alias("_gone"), F.lit(True).alias("_is_new"))
+    touched = touched_partitions(changes, partition_by)
+    if not exists(spark, path):
+        old = spark.createDataFrame([], schema)
+    else:
+        finish_rewrite(spark, path, schema=schema, partition_by=partition_by)
+        old = read_table(spark, path, schema).where(in_partitions(touched, partition_by))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in key))
+    merged = old.withColumn("_is_old", F.lit(True)).join(new, same, "full_outer").where(~F.coalesce(F.col("_gone"), F.lit(False)))
+    rows = merged.select(*[F.when(F.col("_is_new"), F.col(f"_n_{n}")).otherwise(F.col(n)).alias(n) for n in names])
+    rewrite_partitions(rows, path, partition_by=partition_by, touched=touched, schema=schema)
+    return touched
+
+
 def compact(spark: SparkSession, path: str, out: str, *, schema: T.StructType | None = None, partition_by: Iterable[str] = ()) -> int:
     """Rows of a table in files of the advisory size, as a new table ``out``; returns its
     row count. Who reads the table switches to ``out``; the old one can then go."""
