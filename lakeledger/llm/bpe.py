@@ -28,6 +28,7 @@ from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.broadcast import Broadcast
@@ -49,6 +50,8 @@ REMEMBERED, LONGEST = 150_000, 40
 SHORT = 24
 #: Rank of a pair that is never joined.
 NEVER = 1 << 60
+#: Fragments up to these many bytes are merged together; longer ones by themselves.
+WIDTHS = (4, 6, 8, 10, 12, 16, 24, 32)
 
 
 def printed_bytes() -> dict[str, int]:
@@ -67,7 +70,7 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", []) if t.get("special")}
         self.bytes_of = {i: b for b, i in self.id_of.items()} | {i: s.encode() for s, i in self.special.items()}
         self.known = Remembered(self.piece_ids)
-        self.both = Remembered(self.piece_both)
+        self.both = Generations()
         self.pieces = regex.compile(PATTERN).findall
         names = sorted(self.special, key=len, reverse=True)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -150,24 +153,107 @@ class Vocabulary:
             ids.byteswap()
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def piece_both(self, piece: str) -> tuple[bytes, bytes]:
-        """Packed ids of a piece, and the bytes that these decode to."""
-        packed = self.piece_ids(piece)
-        return packed, self.packed_bytes(packed)
-
-    def encode_decode(self, text: str) -> tuple[bytes, str]:
-        """Packed ids of a text and the text they decode to. Decoded bytes are those of the
-        ids, one after the other, so a piece's ids are looked up and joined once."""
-        packed, decoded, of = [], [], self.both.__getitem__
-        for part in self.split_special.split(text) if self.split_special else [text]:
-            if part in self.special:
-                ids = self.special[part].to_bytes(4, "little")
-                packed.append(ids), decoded.append(self.packed_bytes(ids))
-            elif pieces := self.pieces(part):
-                ids, shown = zip(*map(of, pieces))
-                packed += ids
-                decoded += shown
-        return b"".join(packed), b"".join(decoded).decode("utf-8", errors="replace")
+    @cached_property
+    def lookup(self) -> tuple[np.ndarray, ...]:
+        """The merges as arrays: packed pairs in order, their ranks; rank -> joined id; byte ->
+        id; pair of bytes -> whether it is a certain cut."""
+        joins, joined = self.ranked
+        pairs = np.fromiter(joins, np.int64, len(joins))
+        order = np.argsort(pairs)
+        cut = np.zeros(1 << 16, bool)
+        cut[list(self.certain)] = True
+        return pairs[order], np.fromiter(joins.values(), np.int64, len(joins))[order], np.array(joined, np.int64), np.array(self.single, np.int64), cut
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids (-1: no token, never joined)."""
+        pairs, ranks, *_ = self.lookup
+        key = (left << 32) | right
+        at = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        return np.where((pairs[at] == key) & (left >= 0) & (right >= 0), ranks[at], NEVER)
+
+    def _merge_rows(self, parts: np.ndarray) -> np.ndarray:
+        """Ids of fragments, one a row (padded with -1): a round joins the leftmost pair of
+        lowest rank in every row that has one."""
+        out = np.full(parts.shape, -1, np.int64)
+        at, ranks, joined = np.arange(len(parts)), self._ranks(parts[:, :-1], parts[:, 1:]), self.lookup[2]
+        while True:
+            best = ranks.argmin(1) if ranks.shape[1] else np.zeros(len(parts), np.int64)
+            least = np.take_along_axis(ranks, best[:, None], 1)[:, 0] if ranks.shape[1] else np.full(len(parts), NEVER)
+            open_ = least != NEVER
+            out[at[~open_], :parts.shape[1]] = parts[~open_]
+            if not open_.any():
+                return out
+            at, parts, ranks, best, least = at[open_], parts[open_], ranks[open_], best[open_], least[open_]
+            rows, places = np.arange(len(parts)), np.arange(parts.shape[1] - 1)
+            parts[rows, best] = joined[least]
+            parts = np.take_along_axis(parts, places + (places > best[:, None]), 1)
+            ranks = np.take_along_axis(ranks, places[:-1] + (places[:-1] >= best[:, None]), 1)
+            width = parts.shape[1]
+            before, after = rows[best > 0], rows[best < width - 1]
+            ranks[before, best[before] - 1] = self._ranks(parts[before, best[before] - 1], parts[before, best[before]])
+            ranks[after, best[after]] = self._ranks(parts[after, best[after]], parts[after, best[after] + 1])
+
+    def ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, and where each piece's begin and end. Fragments
+        are cut for all pieces at once and merged together by length."""
+        if not pieces:
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
+        *_, single, cut = self.lookup
+        raw = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        ends = np.cumsum([len(p) for p in pieces])
+        first = np.zeros(len(raw) + 1, bool)
+        first[1:-1] = cut[raw[:-1] * 256 + raw[1:]]
+        first[np.r_[0, ends[:-1]]] = True
+        start = np.flatnonzero(first[:-1])
+        size = np.diff(np.r_[start, len(raw)])
+        merged, count = [None] * (len(WIDTHS) + 1), np.ones(len(start), np.int64)
+        for k, (low, high) in enumerate(zip((0, *WIDTHS), WIDTHS)):
+            own = np.flatnonzero((size > low) & (size <= high))
+            spread = np.arange(high)
+            inside = spread < size[own][:, None]
+            ids = single[raw[np.minimum(start[own][:, None] + spread, len(raw) - 1)]]
+            rows = self._merge_rows(np.where(inside, ids, -1))
+            merged[k] = (own, rows)
+            count[own] = (rows >= 0).sum(1)
+        long = np.flatnonzero(size > WIDTHS[-1])
+        made = [self.merge(raw[start[i]:start[i] + size[i]].astype(np.uint8).tobytes()) for i in long]
+        count[long] = [len(m) for m in made]
+        to = np.r_[0, np.cumsum(count)]
+        flat = np.empty(to[-1], np.int64)
+        for own, rows in merged[:-1]:
+            held = rows >= 0
+            flat[(to[own][:, None] + np.cumsum(held, 1) - 1)[held]] = rows[held]
+        for i, m in zip(long, made):
+            flat[to[i]:to[i + 1]] = m
+        return flat, np.r_[0, to[np.searchsorted(start, ends)]]
+
+    def both_of(self, pieces: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Packed ids of each piece, and the bytes that these decode to."""
+        flat, at = self.ids_of([p.encode() for p in pieces])
+        packed, ids, of, at = flat.astype("<u4").tobytes(), flat.tolist(), self.bytes_of.__getitem__, at.tolist()
+        return [packed[4 * a:4 * b] for a, b in zip(at, at[1:])], [b"".join(map(of, ids[a:b])) for a, b in zip(at, at[1:])]
+
+    def encode_decode_all(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """Packed ids of each text and the text they decode to. Decoded bytes are those of the
+        ids, one after the other, so a piece's ids are looked up and joined once; the pieces
+        not remembered are made together."""
+        special = self.special
+        parts = [self.split_special.split(t) if self.split_special else [t] for t in texts]
+        cut = [[None if p in special else self.pieces(p) for p in own] for own in parts]
+        wanted = set(chain.from_iterable(pieces for own in cut for pieces in own if pieces))
+        ids_of, shown_of = (table.__getitem__ for table in self.both.holding(wanted, self.both_of))
+        out = []
+        for own, found in zip(parts, cut):
+            packed, decoded = [], []
+            for part, pieces in zip(own, found):
+                if pieces is None:
+                    ids = special[part].to_bytes(4, "little")
+                    packed.append(ids), decoded.append(self.packed_bytes(ids))
+                elif pieces:
+                    packed += map(ids_of, pieces)
+                    decoded += map(shown_of, pieces)
+            out.append((b"".join(packed), b"".join(decoded).decode("utf-8", errors="replace")))
+        return out
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a text."""
@@ -184,7 +270,7 @@ class Vocabulary:
 
 
 class Remembered(dict):
-    """piece -> what is computed of it, when missing. Two generations: when the young one is
+    """piece -> packed ids, computed when missing. Two generations: when the young one is
     full it becomes the old one, and what is used again moves over."""
 
     def __init__(self, compute):
@@ -203,6 +289,28 @@ class Remembered(dict):
         return made
 
 
+class Generations:
+    """What was made of pieces (ids, decoded bytes), as two generations: the young one becomes
+    the old one when it is full, and what is used again moves over."""
+
+    def __init__(self):
+        self.young, self.old = ({}, {}), ({}, {})
+
+    def holding(self, wanted: set[str], make) -> tuple[dict, dict]:
+        """Two tables that hold ``wanted``; ``make`` gives what is missing, all at once."""
+        if len(self.young[0]) >= REMEMBERED:
+            self.young, self.old = ({}, {}), self.young
+        missing = wanted - self.young[0].keys()
+        back = missing & self.old[0].keys()
+        made = list(missing - back)
+        tables = []
+        for young, old, new in zip(self.young, self.old, make(made)):
+            fresh = {p: old[p] for p in back} | dict(zip(made, new))
+            young.update((p, x) for p, x in fresh.items() if len(p) <= LONGEST)
+            tables.append(young if all(len(p) <= LONGEST for p in made) else young | fresh)
+        return tuple(tables)
+
+
 @lru_cache(maxsize=2)
 def vocabulary(text: str) -> Vocabulary:
     """Parsed once per Python worker."""
@@ -237,9 +345,9 @@ def encode_decode(df: DataFrame, vocab: Broadcast, *, text: str = "text", decode
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("ids", T.BinaryType()), T.StructField(decoded, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        do = vocabulary(vocab.value).encode_decode
+        do = vocabulary(vocab.value).encode_decode_all
         for batch in small_batches(batches):
-            made = [do(v or "") for v in batch.column(batch.num_columns - 1).to_pylist()]
+            made = do([v or "" for v in batch.column(batch.num_columns - 1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.string())],
                 names=[*keep, "ids", decoded])

@@ -73,9 +73,29 @@ def test_frames(spark, library, edge_docs, empty_docs):
     assert bpe.decode(bpe.encode(empty_docs, vocab), vocab).count() == 0
 
 
+def test_pieces_made_together(library, vocab, monkeypatch):
+    """Fragments of all lengths merged in one go, with a memory that forgets on the way."""
+    rng = random.Random(9)
+    monkeypatch.setattr(bpe, "REMEMBERED", 200)
+    words = ["".join(rng.choice("thearn_Xqz0é中") for _ in range(rng.randrange(1, 45))) for _ in range(4000)]
+    texts = [" ".join(rng.sample(words, 30)) for _ in range(300)] + ["", "a" * 3000, "<|endoftext|>", "x<|endoftext|>  <|endoftext|>y", " " * 77]
+    own, got = bpe.Vocabulary(vocab.text), []
+    for at in range(0, len(texts), 50):
+        got += own.encode_decode_all(texts[at:at + 50])
+    for text, want, (ids, shown) in zip(texts, library.encode_batch(texts, add_special_tokens=False), got, strict=True):
+        assert list(array("I", ids)) == want.ids and shown == library.decode(want.ids, skip_special_tokens=False)
+    assert own.encode_decode_all([]) == [] and len(own.both.young[0]) < 4000
+
+
+def test_every_character_together(library, vocab):
+    texts = [f"a{c}b {c}{c}  x{c} 1{c}2 .{c}. {c}\n {c} " for c in map(chr, [*range(0xD800), *range(0xE000, 0x20000, 3)])]
+    for text, want, (ids, _) in zip(texts, library.encode_batch(texts, add_special_tokens=False), vocab.encode_decode_all(texts)):
+        assert list(array("I", ids)) == want.ids, text
+
+
 def test_both_in_one_pass(spark, vocab, edge_docs, empty_docs):
     for text in ("the cat <|endoftext|> sat", "", "é" * 5000, "\x00\U0001F600", "a b  c\n\n"):
-        assert vocab.encode_decode(text) == (vocab.encode(text), vocab.decode(vocab.encode(text)))
+        assert vocab.encode_decode_all([text]) == [(vocab.encode(text), vocab.decode(vocab.encode(text)))]
     shared = bpe.load(spark, PATH)
     docs = edge_docs.withColumn("ids", F.lit("mine")).withColumn("a.b", F.lit(1))
     got = bpe.encode_decode(docs, shared)
