@@ -12,7 +12,8 @@ predecessor kept and calls one operator of ``lakeledger.llm``:
 - tokens: texts become token ids; the digest of the decoded text shows the round trip.
 
 Edge cases are those of the operators: a document without a text is rejected by the
-first stage, so later stages see texts; empty tables pass through empty.
+first stage, so later stages see texts; rows that share an id are told apart by their
+texts, so unlinked ones both stay; empty tables pass through empty.
 """
 
 from __future__ import annotations
@@ -56,10 +57,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocab = bpe.load(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocab).withColumn("tokens", F.col("ids"))
-    return bpe.decode(coded, vocab).select(
-        "doc_id", "lang", "source", F.col("tokens").alias("ids"), (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"),
-        F.length("text").cast("long").alias("decoded_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    coded = bpe.encode_decode(docs.select("doc_id", "lang", "source", "text"), vocab)
+    return coded.select(
+        "doc_id", "lang", "source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.length("decoded").cast("long").alias("decoded_chars"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Stage]] = [
