@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +30,7 @@ from lakeledger.operators.bronze import split_parseable, to_bronze
 from lakeledger.operators.silver import IDENTITY, deduplicate
 from lakeledger.schemas import BRONZE_SCHEMA, GOLD_PARTITION
 from lakeledger.sources.tables import BATCH, append_once, exists, read_table
-from lakeledger.streaming.ingest import start
+from lakeledger.streaming.ingest import evaluated, start
 
 APP_ID = "dedup"
 DATED = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(GOLD_PARTITION, T.DateType())])
@@ -63,8 +62,7 @@ def late_before(spark: SparkSession, root: str, batch_id: int, delay: str) -> in
 
 def split_batch(batch: DataFrame, batch_id: int, *, root: str, delay: str) -> None:
     """Write a batch's first copies under ``root``/kept, its late rows under ``root``/late."""
-    held = batch.persist(StorageLevel.DISK_ONLY)  # computed once: it advances the state
-    try:
+    with evaluated(batch) as held:
         line = late_before(batch.sparkSession, root, batch_id, delay)
         is_late: Column = F.lit(False) if line is None else F.unix_micros(MARK) <= line * 1000
         rows = held.where(~F.col(IS_NEW))
@@ -74,8 +72,6 @@ def split_batch(batch: DataFrame, batch_id: int, *, root: str, delay: str) -> No
         append_once(first, f"{root}/kept", app_id=APP_ID, version=batch_id, partition_by=(GOLD_PARTITION,))
         append_once(rows.where(is_late).select(*DATED.names), f"{root}/late", app_id=APP_ID, version=batch_id, partition_by=(GOLD_PARTITION,))
         append_once(newest, f"{root}/newest", app_id=APP_ID, version=batch_id)
-    finally:
-        held.unpersist()
 
 
 def start_dedup_stream(raw: DataFrame, *, root: str, checkpoint_path: str, delay: str, clock: Column | None = None,

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +20,7 @@ from lakeledger.operators.gold import GRAIN, MEASURES, daily_account_totals, dat
 from lakeledger.schemas import GOLD_PARTITION, MART_SCHEMA
 from lakeledger.sources.tables import BATCH, append_once, read_table
 from lakeledger.streaming.dedup import MARK, late_before
-from lakeledger.streaming.ingest import start
+from lakeledger.streaming.ingest import evaluated, start
 
 APP_ID, IS_TOTAL = "windowed", "_is_total"
 
@@ -39,8 +38,7 @@ def with_totals(silver: DataFrame, *, delay: str) -> DataFrame:
 def land_totals(batch: DataFrame, batch_id: int, *, root: str, delay: str) -> None:
     """Write the batch's closed days to ``root``/closed, what its late rows add to days that
     were closed before to ``root``/restated."""
-    held = batch.persist(StorageLevel.DISK_ONLY)
-    try:
+    with evaluated(batch) as held:
         line = late_before(batch.sparkSession, root, batch_id, delay)
         ends = F.unix_micros(F.date_trunc("day", MARK)) + 86_400_000_000
         rows = held.where(~F.col(IS_TOTAL))
@@ -49,8 +47,6 @@ def land_totals(batch: DataFrame, batch_id: int, *, root: str, delay: str) -> No
         for name, part in (("closed", held.where(IS_TOTAL)), ("restated", daily_account_totals(late))):
             append_once(part.select(*MART_SCHEMA.names), f"{root}/{name}", app_id=APP_ID, version=batch_id, partition_by=(GOLD_PARTITION,))
         append_once(newest, f"{root}/newest", app_id=APP_ID, version=batch_id)
-    finally:
-        held.unpersist()
 
 
 def start_mart_stream(silver: DataFrame, *, root: str, checkpoint_path: str, delay: str, trigger: dict | None = None) -> StreamingQuery:

@@ -176,9 +176,15 @@ def test_a_crash_between_the_writes_changes_nothing(spark, log_dir, tmp_path, mo
         calls.append(path)
         if len(calls) == 8:  # the late rows of batch 2, after its kept rows
             raise RuntimeError("killed")
-        return real(df, path, **how)
+        done = real(df, path, **how)
+        if len(calls) == 6:  # batch 1 has landed in full, and Spark hasn't heard of it
+            raise RuntimeError("killed")
+        return done
 
     monkeypatch.setattr(dedup, "append_once", dying)
+    with pytest.raises(Exception, match="killed"):
+        run_parts(spark, log, tmp_path / "crashed")
+    calls.append("batch 1 again")
     with pytest.raises(Exception, match="killed"):
         run_parts(spark, log, tmp_path / "crashed")
     monkeypatch.setattr(dedup, "append_once", real)
