@@ -13,12 +13,17 @@ import sys
 
 from lakeledger.functions.rules import QUARANTINE_RULES, WIRE_RULES
 from lakeledger.operators.quality import DataQualityBreach
+from lakeledger.plans.incremental import IncrementalLayout, refine_new
 from lakeledger.plans.medallion import Layout, ingest, refine, run_daily, threshold_override
 from lakeledger.schemas import DEFAULT_RETAIN_HOURS
 from lakeledger.session import build_session
 from lakeledger.sources import tables as tb
 
 
+#: Fixed value: what a scheduler looks for on stderr when the gate closes.
+GATE_MESSAGE = "DATA QUALITY GATE FAILED"
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lakeledger", description="Payments log medallion.")
     p.add_argument("command",
@@ -28,14 +33,19 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--seconds", type=float, default=None,
                    help="ingest: run this long on the default trigger (default: drain)")
     p.add_argument("--max-per-trigger", type=int, default=None, help="ingest: batch cap")
-    p.add_argument("--run-id", default=None, help="refine/daily: label of the DQ rows")
+    p.add_argument("--run-id", default=None, help="refine/daily: name its DQ rows are kept under")
     p.add_argument("--dq-threshold", type=float, default=None,
-                   help="refine/daily: one failure-rate limit for every check")
+                   help="refine/daily: highest share of failed rows that any check may have")
+    p.add_argument("--new-only", action="store_true",
+                   help="refine: only batches that landed since the last such run (tables of its own)")
     p.add_argument("--rules", choices=["silver", "domain"], default="silver",
                    help="refine: the four silver rules, or the domain model's checks")
     p.add_argument("--tables", default="bronze,silver,gold",
                    help="optimize/vacuum: comma list of tables, or 'all'")
-    p.add_argument("--retain-hours", type=float, default=DEFAULT_RETAIN_HOURS)
+    p.add_argument("--retain-hours", type=float, default=DEFAULT_RETAIN_HOURS,
+                   help="vacuum/daily: age from which an unfinished batch may go")
+    p.add_argument("--short-retention", action="store_true",
+                   help="vacuum/daily: allow --retain-hours under a week (a slow writer's batch could go)")
     p.add_argument("--bootstrap-servers", default=None, help="ingest/generate: Kafka brokers (with --topic)")
     p.add_argument("--topic", default=None, help="ingest/generate: Kafka topic")
     p.add_argument("--starting-offsets", default="earliest", help="ingest: where a new checkpoint starts")
@@ -75,6 +85,8 @@ def _generate(spark, args) -> int:
 
 def _upkeep(spark, layout, args, name: str) -> dict:
     """optimize: a compacted copy beside the table; vacuum: remove crashed batches."""
+    if name == "quarantine":  # a verdict of the judged rows, stored with silver
+        return _upkeep(spark, layout, args, "silver") | {"table": name, "kept_with": "silver"}
     if name not in layout.TABLES:
         return {"table": name, "skipped": "unknown table"}
     path, (_, schema, parts) = layout.path(name), layout.TABLES[name]
@@ -94,7 +106,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if not args.warehouse:
         print(f"{args.command} needs --warehouse", file=sys.stderr)
         return 2
-    layout = Layout(args.warehouse)
+    if args.command in ("vacuum", "daily") and args.retain_hours < DEFAULT_RETAIN_HOURS and not args.short_retention:
+        print(f"{args.command}: under {DEFAULT_RETAIN_HOURS} hours a batch that is still being written could go; "
+              "add --short-retention if none is", file=sys.stderr)
+        return 2
+    layout = IncrementalLayout(args.warehouse) if args.new_only else Layout(args.warehouse)
     try:
         if args.command == "ingest":
             if not (args.log or args.bootstrap_servers):
@@ -106,8 +122,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             print(json.dumps({"ingested_into": layout.path("bronze")}))
         elif args.command == "refine":
             rules = WIRE_RULES if args.rules == "domain" else QUARANTINE_RULES
-            out = refine(spark, layout, run_id=args.run_id, rules=rules,
-                         thresholds=threshold_override(args.dq_threshold, rules))
+            if args.new_only and rules != QUARANTINE_RULES:
+                print("refine --new-only keeps its counts by the silver rules", file=sys.stderr)
+                return 2
+            out = (refine_new if args.new_only else refine)(
+                spark, layout, run_id=args.run_id, rules=rules, thresholds=threshold_override(args.dq_threshold, rules))
             print(json.dumps(out, default=str))
         elif args.command == "daily":
             out = run_daily(spark, layout, args.run_id or "daily",
@@ -117,6 +136,6 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             for name in layout.TABLES if args.tables == "all" else args.tables.split(","):
                 print(json.dumps(_upkeep(spark, layout, args, name), default=str))
     except DataQualityBreach as exc:
-        print(f"DATA QUALITY GATE FAILED: {exc.args[0]}", file=sys.stderr)
+        print(f"{GATE_MESSAGE}: {exc.args[0]}", file=sys.stderr)
         return 1
     return 0

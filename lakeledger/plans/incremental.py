@@ -31,9 +31,9 @@ from pyspark.sql import types as T
 
 from lakeledger.functions.rules import QUARANTINE_RULES
 from lakeledger.operators import delta_mart
-from lakeledger.operators.quality import DataQualityBreach, breaches, dq_counts, dq_results_of
+from lakeledger.operators.quality import dq_counts, dq_results_of, enforce_gate, run_name
 from lakeledger.operators.silver import IDENTITY, QUARANTINE_REASON, judged
-from lakeledger.plans.medallion import JUDGED_SCHEMA, VERDICT, Layout, run_name
+from lakeledger.plans.medallion import JUDGED_SCHEMA, VERDICT, Layout
 from lakeledger.schemas import BRONZE_SCHEMA, DEFAULT_LATENESS_SECONDS, DQ_PARTITION, GOLD_PARTITION
 from lakeledger.sources import tables as tb
 
@@ -157,11 +157,9 @@ def refine_new(spark: SparkSession, layout: IncrementalLayout, *, run_id: str |
     tb.replace_partitions(results, layout.path("dq_results"), column=DQ_PARTITION, values=[name], present=[name])
     layout.append_run(spark.createDataFrame(batches, BATCH_COLUMNS).coalesce(1), "refine_done", run)
 
-    failed = breaches(layout.read(spark, "dq_results").where(F.col(DQ_PARTITION) == name))
-    summary = {"run_id": name, "run": run, "batches": batches, "rewritten": touched, "dq_breaches": failed,
-               "gold_dates": sorted({str(d) for d, in tb.touched_partitions(layout.run_rows(spark, "mart_deltas", run), [GOLD_PARTITION])})}
-    if failed:
-        raise DataQualityBreach(f"run {name}: {len(failed)} check(s) over threshold: {failed}", summary)
+    dates = tb.touched_partitions(layout.run_rows(spark, "mart_deltas", run), [GOLD_PARTITION])
+    summary = {"run_id": name, "run": run, "batches": batches, "rewritten": touched, "gold_dates": sorted(str(d) for d, in dates)}
+    enforce_gate(layout.read(spark, "dq_results"), run_id=name, summary=summary)
     return summary
 
 

@@ -305,6 +305,10 @@ SELECT 4 :: BIGINT AS dq_rows, (SELECT count(*) FROM dq_rates WHERE failure_rate
     (SELECT count(*) FROM mart) AS gold_rows,
     (SELECT CAST(coalesce(sum(total_amount_minor), 0) AS BIGINT) FROM mart) AS gold_amount,
     (SELECT count(*) FROM dq_rates WHERE failure_rate > 0.02) > 0 AS raised"""),
+    "daily_rerun": _q("""
+SELECT 4 :: BIGINT AS dq_rows, (SELECT count(*) FROM b) AS rows_checked, (SELECT count(*) FROM mart) AS gold_rows,
+    (SELECT CAST(coalesce(sum(total_amount_minor), 0) AS BIGINT) FROM mart) AS gold_amount,
+    1 :: BIGINT AS swept_first, 0 :: BIGINT AS swept_again, (SELECT count(*) FROM b) AS bronze_rows"""),
     "refine_incremental": _q("SELECT * FROM t"),
     "refine_incremental_dq": _q(f"""
 SELECT 'fixture-run' AS run_id, 'silver.transactions' AS table_name, check_name,

@@ -24,7 +24,7 @@ from lakeledger.operators.gold import GRAIN, MEASURES, affected_dates, affected_
 from lakeledger.operators.quality import DataQualityBreach, breach_frame, dq_results, dq_results_by, dq_trend
 from lakeledger.operators.silver import deduplicate, flag_lateness, judged, to_silver
 from lakeledger.plans.incremental import IncrementalLayout, fold_deltas, refine_new
-from lakeledger.plans.medallion import VERDICT, CheckpointLost, Layout, ingest, refine, threshold_override
+from lakeledger.plans.medallion import VERDICT, CheckpointLost, Layout, ingest, refine, run_daily, threshold_override
 from lakeledger.schemas import BRONZE_PARTITION, BRONZE_SCHEMA, DQ_PARTITION, DQ_SCHEMA, GOLD_PARTITION, MART_SCHEMA, SILVER_SCHEMA
 from lakeledger.session import ensure_utc, scratch_path
 from lakeledger.sources import tables as tb
@@ -416,6 +416,22 @@ def q_refine_gate(spark, sf_dir):
     return checks.join(mart).withColumn("raised", F.lit(raised))
 
 
+def q_daily_rerun(spark, sf_dir):
+    """The daily sequence over a warehouse in which a batch died half way, then again under the
+    same name: nothing doubles, and the dead batch's rows are gone."""
+    layout = _landed_batches(spark, sf_dir, "daily_rerun")
+    good, _ = _good_dead(spark, sf_dir)
+    crashed = tb.batch_folder(layout.path("bronze"), "bronze-dead", 0)
+    good.where("kafka_partition = 0").write.partitionBy(BRONZE_PARTITION).parquet(crashed)
+    tb.drop_folder(spark, f"{crashed}/{tb.DONE}")
+    swept = [len(run_daily(spark, layout, RUN_ID, retain_hours=0)["swept"]) for _ in range(2)]
+    checks = layout.read(spark, "dq_results").agg(F.count(F.lit(1)).alias("dq_rows"), F.max("rows_checked").alias("rows_checked"))
+    mart = layout.read(spark, "gold").agg(F.count(F.lit(1)).alias("gold_rows"),
+                                          F.coalesce(F.sum("total_amount_minor"), F.lit(0)).cast("long").alias("gold_amount"))
+    return checks.join(mart).withColumns({"swept_first": F.lit(swept[0]).cast("long"), "swept_again": F.lit(swept[1]).cast("long"),
+                                          "bronze_rows": F.lit(layout.read(spark, "bronze").count())})
+
+
 def _refined_by_run(spark, sf_dir, name) -> IncrementalLayout:
     """Three runs over batches that arrive out of order: retries and the last days first, then
     the first days, then the rest, so that rows taken early lose their place later."""
@@ -624,6 +640,7 @@ QUERIES: dict[str, Query] = {
     "stream_dedup_watermark": q_stream_dedup_watermark,
     "refine_summary": q_refine_summary,
     "refine_gate": q_refine_gate,
+    "daily_rerun": q_daily_rerun,
     "refine_incremental": q_refine_incremental,
     "refine_incremental_dq": q_refine_incremental_dq,
     "mart_deltas": q_mart_deltas,

@@ -14,8 +14,17 @@ from lakeledger.functions.wire import kafka_key
 from lakeledger.schemas import LOG_PARTITIONS, LOG_SCHEMA, RAW_TOPIC
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Static log frame (S2)."""
+def read_log(spark: SparkSession, path: str | None = None, *, bootstrap_servers: str | None = None, topic: str = RAW_TOPIC,
+             starting_offsets: str = "earliest", ending_offsets: str = "latest") -> DataFrame:
+    """Static log frame (S2): a folder, or a topic between two offsets ('earliest' and
+    'latest', or the JSON that names an offset for each partition; the end is not read).
+    A lost range is an error here: an audit must not pass over it."""
+    if bootstrap_servers:
+        reader = spark.read.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("subscribe", topic)
+        reader = reader.option("startingOffsets", starting_offsets).option("endingOffsets", ending_offsets)
+        return reader.option("failOnDataLoss", "true").load().select(*LOG_SCHEMA.names)
+    if path is None:
+        raise ValueError("a file log needs a path")
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 

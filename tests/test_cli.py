@@ -50,3 +50,24 @@ def test_generate_then_ingest(spark, tmp_path, capsys):
     assert main(["ingest", "--warehouse", wh, "--log", log], spark=spark) == 0
     layout = Layout(wh)
     assert layout.read(spark, "bronze").count() + layout.read(spark, "bronze_dlq").count() == 400
+
+
+def test_new_only_retention_and_quarantine(spark, tmp_path, capsys):
+    ensure_utc(spark)
+    log, wh = str(tmp_path / "log"), str(tmp_path / "wh")
+    write_log(payments_log(spark, SF_SMALL), log, max_records_per_file=400)
+
+    def call(*args):
+        return main([*args, "--warehouse", wh], spark=spark)
+
+    assert call("ingest", "--log", log) == 0
+    assert call("refine", "--new-only", "--rules", "domain") == 2
+    assert call("refine", "--new-only", "--run-id", "a") == 0 and call("refine", "--new-only", "--run-id", "b") == 0
+    first, second = said(capsys)[-2:]
+    assert first["batches"] and second["batches"] == [] and second["run"] == 1
+    assert call("vacuum", "--retain-hours", "1") == 2 and "--short-retention" in capsys.readouterr().err
+    assert call("vacuum", "--retain-hours", "1", "--short-retention", "--tables", "bronze") == 0
+    assert call("refine", "--run-id", "c") == 0
+    capsys.readouterr()
+    assert call("vacuum", "--tables", "quarantine") == 0
+    assert said(capsys)[-1] == {"table": "quarantine", "removed": [], "kept_with": "silver"}

@@ -240,6 +240,20 @@ def test_kafka_options_reach_the_reader(spark, monkeypatch):
         "maxOffsetsPerTrigger": 7}
 
 
+def test_bounded_kafka_read(spark):
+    seen = Recorder()
+    seen.select = lambda *columns: (seen, columns)
+    session = type("S", (), {"read": seen})()
+    ends = '{"pay": {"0": 40, "1": -1}}'
+    got, columns = read_log(session, bootstrap_servers="b:9092", topic="pay", starting_offsets='{"pay": {"0": 7, "1": -2}}', ending_offsets=ends)
+    assert got is seen and columns == ("key", "value", "topic", "partition", "offset", "timestamp")
+    assert seen.kind == "kafka" and seen.options == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "pay", "startingOffsets": '{"pay": {"0": 7, "1": -2}}', "endingOffsets": ends,
+        "failOnDataLoss": "true"}
+    with pytest.raises(ValueError, match="path"):
+        read_log(session)
+
+
 def test_ingest_passes_the_topic_through(spark, tmp_path, monkeypatch):
     from lakeledger.plans import medallion
 
