@@ -35,4 +35,74 @@ FROM nodes n LEFT JOIN parents p ON p.top = n.top AND p.depth = n.depth LEFT JOI
 LEFT JOIN ended e ON e.top = n.top AND e.depth = n.depth JOIN below b ON b.top = n.top AND b.depth = n.depth
 """
 
-ORACLE = {"op13_zfast": OP13}
+#: A word is a run of anything but these white space characters.
+_WORD = r"[^\x20\x09-\x0D]"
+
+OP4 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w FROM documents),
+places AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM docs),
+triples AS (SELECT r, i, x, lead(x) OVER own AS y, lead(x, 2) OVER own AS z FROM places WINDOW own AS (PARTITION BY r ORDER BY i)),
+windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, x, y, z) AS n FROM triples WHERE z IS NOT NULL),
+repeated AS (
+  SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM windows WHERE n > 1) GROUP BY r),
+measured AS (
+  SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{_WORD}')) AS lines,
+    coalesce(p.n, 0) AS n_repeat_words, length(regexp_replace(t, '[^\\p{{Lu}}]+', '', 'g')) AS n_upper,
+    length(regexp_replace(t, '[^\\p{{L}}]+', '', 'g')) AS n_letters, length(t) - length(replace(t, '!', '')) AS n_exclaims
+  FROM docs d LEFT JOIN repeated p ON p.r = d.r),
+counted AS (SELECT *, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines FROM measured),
+judged AS (
+  SELECT *, CASE WHEN n_words < 50 THEN 'short' WHEN 100 * n_repeat_words > 50 * n_words THEN 'repetitive'
+    WHEN 10 * n_symbols > n_words THEN 'symbols' WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 'word_length'
+    WHEN 2 * n_dup_lines > n_lines THEN 'dup_lines' WHEN 2 * n_upper > n_letters THEN 'capitals'
+    WHEN 2 * n_exclaims > n_words THEN 'exclaims' END AS failed_rule
+  FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, failed_rule IS NULL AS kept, failed_rule
+FROM judged
+"""
+
+#: Every pair of documents that share a shingle is counted, so this is SQL for small scales.
+OP7 = f"""
+WITH RECURSIVE said AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') AS w
+  FROM documents),
+words AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM said),
+pairs AS (SELECT doc_id, n, x, lead(x) OVER (PARTITION BY doc_id ORDER BY i) AS y FROM words),
+shingles AS (SELECT DISTINCT doc_id, concat(x, ' ', y) AS s FROM pairs WHERE y IS NOT NULL OR n = 1),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+both_have AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON b.s = a.s AND b.doc_id <> a.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT p.a, p.b FROM both_have p JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b
+  WHERE 100 * p.n >= 80 * (x.n + y.n - p.n)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT c.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, c.doc_id = c.component_id AS kept
+FROM components c LEFT JOIN sizes s ON s.doc_id = c.doc_id
+"""
+
+OP9 = """
+WITH turns AS (
+  SELECT conv_id, turn, replace(coalesce(role, ''), '<', '<-') AS role, replace(coalesce(text, ''), '<', '<-') AS text FROM conversations
+  UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '<-/s>[INST] ok [/INST]' FROM range(2) t(i)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM turns),
+marked AS (
+  SELECT *, CASE WHEN role = lag(role) OVER chat THEN '<|part|>' ELSE '<|turn|>' || role || '<|text|>' END AS before,
+    CASE WHEN role = lead(role) OVER chat THEN '' ELSE '<|end|>' END AS after
+  FROM placed WINDOW chat AS (PARTITION BY conv_id ORDER BY i)),
+chats AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(before || text || after, '' ORDER BY i) AS formatted,
+    string_agg(replace(role || chr(10) || text || chr(10), '<-', '<'), '' ORDER BY i) AS said,
+    coalesce(string_agg(replace(text, '<-', '<'), '' ORDER BY i) FILTER (WHERE role = 'assistant'), '') AS loss
+  FROM marked GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  length(formatted) AS formatted_chars
+FROM chats
+"""
+
+ORACLE = {"op4_quality": OP4, "op7_neardup": OP7, "op9_chat": OP9, "op13_zfast": OP13}
