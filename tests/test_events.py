@@ -202,3 +202,52 @@ def test_all_queries_have_an_oracle():
     from lakeledger.plans import events_oracle
 
     assert set(events.QUERIES) == set(events_oracle.ORACLE)
+
+
+# ------------------------------------------------------------------ growth of the stream queries
+
+
+def test_silver_of_a_stream_is_computed_once(spark, tmp_path, monkeypatch):
+    rows = [r for b in BATCHES for r in b]
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(account):
+        computed.add(1)
+        return account
+
+    silver = to_silver(landed(spark, *rows))[0].withColumn("account_id", seen("account_id"))
+    monkeypatch.setattr(events.base, "_silver", lambda *_: (silver, None))
+    stream = events._silver_stream(spark, "unused", str(tmp_path), lagging=False)
+    assert spark.read.schema(SILVER_SCHEMA).parquet(f"{tmp_path}/silver").count() == len(rows)
+    assert stream.isStreaming and computed.value == len(rows)
+
+
+@pytest.mark.parametrize("within", ["1 day", "90 minutes"])
+def test_pairs_meet_in_one_span(spark, within):
+    rng, day = random.Random(3), {"1 day": 24, "90 minutes": 1.5}[within]
+    hours = [0, day, 2 * day, -day, -day / 3] + [rng.uniform(-4 * day, 4 * day) for _ in range(60)]
+    rows = [pay(i, h, status=rng.choice(["PENDING", "SETTLED"]), account_id=rng.choice(["ann", "bob", None])) for i, h in enumerate(hours)]
+    rows += [pay(900, 0, status="PENDING"), pay(901, day, status="SETTLED"), pay(902, 0, status="SETTLED")]
+    columns = ("transaction_id", "status", "event_time", "account_id")
+    frame = settled_within(spark.createDataFrame(
+        [tuple(({"account_id": "ann"} | r)[c] for c in columns) for r in rows], "transaction_id string, status string, event_time timestamp, account_id string"), within=within)
+    want = Counter()
+    for p in (r for r in rows if r["status"] == "PENDING"):
+        hits = [s["transaction_id"] for s in rows if s["status"] == "SETTLED" and p.get("account_id", "ann") is not None
+                and s.get("account_id", "ann") == p.get("account_id", "ann")
+                and timedelta(0) <= s["event_time"] - p["event_time"] <= timedelta(hours=day)]
+        want.update((p["transaction_id"], s) for s in hits or [None])
+    assert Counter((r.pending_id, r.settled_id) for r in frame.collect()) == want
+    assert "_settled_span" in frame._jdf.queryExecution().optimizedPlan().toString()  # no account is compared whole
+
+
+def test_log_files_do_not_multiply(spark, tmp_path, monkeypatch):
+    registry = events.base
+    monkeypatch.setattr(registry, "RECORDS_PER_FILE", 2)
+    monkeypatch.setattr(registry, "LOG_FILES", 8)
+    rows = [(b"k", b"{}", RAW_TOPIC, 0, n, NOON) for n in range(400)]
+    log = spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
+    path, admitted = registry._log_files(log, str(tmp_path), registry._records_per_file(log))
+    files = list((tmp_path / "log").glob("part-*"))
+    assert len(files) == 8 and admitted == 2 and spark.read.parquet(path).count() == 400
