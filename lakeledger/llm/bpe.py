@@ -44,8 +44,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: printed, in order, as the characters from 256 on.
 PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
-#: Remembered pieces per worker, and the longest piece (in characters) remembered.
-REMEMBERED, LONGEST = 150_000, 40
+#: Remembered pieces per generation and worker, and the longest piece (in characters)
+#: remembered. Most pieces of a corpus come once: more than this holds memory, not hits.
+REMEMBERED, LONGEST = 20_000, 40
 #: Below this many bytes a fragment is merged by plain search for the best pair.
 SHORT = 24
 #: Rank of a pair that is never joined.

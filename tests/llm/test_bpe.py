@@ -113,3 +113,14 @@ def test_query(spark, library):
         want = library.encode(docs[r.doc_id], add_special_tokens=False).ids
         assert r.n_tokens == len(want) and r.ids_sha256 == hashlib.sha256(array("I", want).tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_what_a_worker_remembers_stays_small():
+    table = bpe.Generations()
+
+    def made(pieces):
+        return [p.encode() for p in pieces], [p.encode() for p in pieces]
+
+    for at in range(0, 400_000, 500):
+        table.holding({f"piece{i}" for i in range(at, at + 500)}, made)
+    assert sum(len(t) for g in (table.young, table.old) for t in g) <= 4 * 21_000
