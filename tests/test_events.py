@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
-from datetime import timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from lakeledger.operators import asof, audit, bitmaps, diff, sessions, sketches
@@ -16,7 +17,7 @@ from lakeledger.streaming.ingest import drain, land_stateful, start
 from lakeledger.streaming.pairs import settled_within
 from lakeledger.streaming.windowed import closed_mart, start_mart_stream
 from pyspark.sql import functions as F
-from rows import NOON, landed
+from rows import NOON, SF_SMALL, landed
 
 
 def rows_of(df):
@@ -251,3 +252,79 @@ def test_log_files_do_not_multiply(spark, tmp_path, monkeypatch):
     path, admitted = registry._log_files(log, str(tmp_path), registry._records_per_file(log))
     files = list((tmp_path / "log").glob("part-*"))
     assert len(files) == 8 and admitted == 2 and spark.read.parquet(path).count() == 400
+
+
+def micro_batches(spark, root):
+    """(rows, first, last time of the log) of each micro-batch, in the order they come."""
+    files = sorted((root / "silver").glob("part-*"), key=lambda f: f.stat().st_mtime_ns)
+    assert len(files) % 4 == 0
+    groups = [[str(f) for f in files[n:n + 4]] for n in range(0, len(files), 4)]
+    return [tuple(spark.read.schema(SILVER_SCHEMA).parquet(*g).agg(F.count("*"), F.min("kafka_timestamp"), F.max("kafka_timestamp")).first())
+            for g in groups]
+
+
+def test_a_large_delivery_comes_in_pieces(spark, tmp_path, monkeypatch):
+    (tmp_path / "whole").mkdir()
+    events._silver_stream(spark, SF_SMALL, str(tmp_path / "whole"), lagging=False)
+    whole = micro_batches(spark, tmp_path / "whole")
+    monkeypatch.setattr(events, "ROWS_A_BATCH", 60)
+    events._silver_stream(spark, SF_SMALL, str(tmp_path / "cut"), lagging=False)
+    cut = micro_batches(spark, tmp_path / "cut")
+    assert len(whole) == 4 and len(cut) >= 16 and sum(n for n, *_ in cut) == sum(n for n, *_ in whole)
+    assert max(n for n, *_ in cut) <= 120 < min(n for n, *_ in whole)
+    assert all(a[2] <= b[1] for a, b in zip(cut, cut[1:]))
+
+
+@pytest.mark.parametrize("name", ["stream_pairs", "stream_sessions", "stream_mart"])
+def test_pieces_give_the_same_rows(spark, monkeypatch, name):
+    whole = rows_of(events.QUERIES[name](spark, SF_SMALL))
+    monkeypatch.setattr(events, "ROWS_A_BATCH", 120)
+    assert rows_of(events.QUERIES[name](spark, SF_SMALL)) == whole and whole
+
+
+def test_a_trigger_takes_in_one_delivery(spark, tmp_path, monkeypatch):
+    """Deliveries of one and two rows, between them one without any."""
+    def on(day, n, **more):
+        return pay(n, (datetime(2024, 1, day, tzinfo=UTC) - NOON) / timedelta(hours=1), **more)
+
+    silver = to_silver(landed(spark, on(3, 0, status="PENDING"), on(17, 1, status="PENDING"), on(18, 2), on(28, 3)))[0]
+    monkeypatch.setattr(events.base, "_silver", lambda *_: (silver, None))
+    events._silver_stream(spark, "unused", str(tmp_path), lagging=False)
+    assert [(n, first.day, last.day) for n, first, last in micro_batches(spark, tmp_path)] == [(1, 3, 3), (2, 17, 18), (1, 28, 28)]
+    got = events.q_stream_pairs(spark, "unused").collect()
+    assert sorted((r.pending_id, r.settled_id) for r in got) == [("t0", None), ("t1", "t2")]
+    monkeypatch.setattr(events.base, "_silver", lambda *_: (silver.where("false"), None))
+    assert events.q_stream_pairs(spark, "unused").count() == 0
+
+
+def slow_tasks(spark, tasks, seconds):
+    @F.udf("long")
+    def slow(n):
+        time.sleep(seconds)
+        return n
+
+    spark.range(0, tasks, 1, tasks).select(slow("id")).write.format("noop").mode("overwrite").save()
+
+
+@pytest.mark.parametrize("work", ["batches", "tasks"])
+def test_a_stream_that_works_is_not_timed_out(spark, tmp_path, work):
+    files, done = [[pay(n, n)] for n in range(5 if work == "batches" else 1)], []
+
+    def body(batch, n):
+        if work == "batches":
+            time.sleep(2.5)
+        else:
+            slow_tasks(batch.sparkSession, 24 * spark.sparkContext.defaultParallelism, 0.5)
+        done.append(n)
+
+    rows = silver_files(spark, str(tmp_path / "silver"), *files)
+    drain(start(rows, body, checkpoint_path=str(tmp_path / "ck"), trigger={"availableNow": True}), 5)
+    assert done == list(range(len(files)))
+
+
+def test_a_stream_that_does_nothing_is_stopped(spark, tmp_path):
+    rows = silver_files(spark, str(tmp_path / "silver"), [pay(0, 0)])
+    query = start(rows, lambda batch, n: time.sleep(12), checkpoint_path=str(tmp_path / "ck"), trigger={"availableNow": True})
+    with pytest.raises(TimeoutError, match="ended no task"):
+        drain(query, 3)
+    assert not query.isActive
